@@ -1,0 +1,44 @@
+"""Joining a one-row-per-key table to rows whose keys may be very uneven."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A key below this many rows is no trouble for one task.
+HOT_ROWS = 1_000_000
+# At most this many keys are broadcast. Beyond the 1024 largest keys no key can hold more
+# than 1/1025 of all rows, so the ordinary shuffle copes with the rest.
+HOT_KEYS = 1024
+SALTS = 64
+
+
+def hot_keys(per_key: DataFrame, key: str, count: str, threshold: int = HOT_ROWS) -> DataFrame:
+    """The largest keys, never more than HOT_KEYS rows."""
+    return per_key.where(F.col(count) >= threshold) \
+        .orderBy(F.col(count).desc(), F.col(key)).limit(HOT_KEYS).select(key)
+
+
+def attach(rows: DataFrame, per_key: DataFrame, key: str, count: str,
+           threshold: int = HOT_ROWS, how: str = "inner",
+           total_rows: int | None = None) -> DataFrame:
+    """
+    Join `per_key` (one row per key, with its row count) to `rows`.
+
+    Rows of hot keys are spread over SALTS reducers and their per-key row is repeated that
+    often; every other key has the single salt 0. The salt follows the input partition, so
+    exact copies of one row spread as well, and a task run again sends its rows to the same
+    place. The count column is dropped. If the number of rows is known to be below the
+    threshold, no key can be hot and this is an ordinary join.
+    """
+    if total_rows is not None and total_rows < threshold:
+        return rows.join(per_key.drop(count), key, how)
+    hot = F.broadcast(hot_keys(per_key, key, count, threshold)
+                      .select(F.col(key), F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(SALTS))) \
+        .otherwise(F.lit(0))
+    left = rows.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))) \
+        .otherwise(F.array(F.lit(0)))
+    right = per_key.join(hot, key, "left").withColumn("_salt", F.explode(salts)) \
+        .drop("_hot", count)
+    return left.join(right, [key, "_salt"], how).drop("_salt")
