@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 def bare_hex(text: Column) -> Column:
     """Lower-case digits without 0x; NULL unless they spell whole bytes."""
     digits = F.regexp_replace(F.lower(F.coalesce(text, F.lit("0x"))), "^0x", "")
-    return F.when(digits.rlike("^([0-9a-f]{2})*$"), digits)
+    return F.when(~digits.rlike("[^0-9a-f]") & (F.char_length(digits) % 2 == 0), digits)
 
 
 def quantity(text: Column) -> Column:
@@ -83,5 +83,5 @@ def utf8_lenient(payload_digits: Column) -> Column:
 def text_or_hex(payload_digits: Column) -> Column:
     """Printable UTF-8 as text, everything else, the empty value too, as 0x-hex."""
     text = F.unhex(payload_digits).cast("string")
-    printable = F.is_valid_utf8(text) & text.rlike(r"^(?:[^\p{C}\p{Z}]| )+\z")
+    printable = F.is_valid_utf8(text) & (text != "") & ~text.rlike(r"[\p{C}\p{Z}&&[^ ]]")
     return F.when(printable, text).otherwise(F.concat(F.lit("0x"), payload_digits))

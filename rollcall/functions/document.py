@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.constants import CANONICAL_TYPES, ENDPOINT_TYPE_KEYS, ENDPOINT_URL_KEYS, \
     MAX_ENDPOINTS, REGISTRY_CAIP_ID, SERVICE_LIST_KEYS, TYPE_KEYS
+from rollcall.functions.staging import stage
 from rollcall.functions.text import sha256_hex, strip
 
 
@@ -181,15 +182,15 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
     """
     source = F.col(body)
     staged = df.withColumn("_body", finite_json(source) if exact_json else source)
-    staged = staged.withColumn("_doc", parse_document(F.col("_body")))
+    staged = stage(staged, {"_doc": parse_document(F.col("_body"))})
     doc = F.col("_doc")
-    staged = staged.withColumns({
+    staged = stage(staged, {
         "_kind": json_category(doc),
         "_type": type_field(doc),
         "_regs": registry_entries(doc),
         "_service": service_list(doc),
     })
-    staged = staged.withColumns({
+    staged = stage(staged, {
         "_entries": F.coalesce(service_entries(F.col("_service"), F.col("_body"), study),
                                F.array().cast("array<struct<kind:string,url:string>>")),
         "_matches": names_registry(F.col("_regs"), registry_id),
@@ -212,5 +213,5 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
         F.substring(F.array_join(kinds, "|"), 1, 300).alias("service_types"),
         sha256_hex(source).alias("doc_sha256"),
     )
-    return staged.withColumn("analysis", analysis) \
+    return stage(staged, {"analysis": analysis}) \
         .drop("_body", "_doc", "_kind", "_type", "_regs", "_service", "_entries", "_matches")

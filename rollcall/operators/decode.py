@@ -2,38 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.constants import EVENT_TOPICS, TOPIC_METADATA_SET, TOPIC_METADATA_UPDATE, \
     TOPIC_REGISTERED, TOPIC_TRANSFER, TOPIC_URI_UPDATED
 from rollcall.functions import abi
+from rollcall.functions.staging import stage
 from rollcall.functions.text import has_nul, without_nul
 
 
-def _with_payload(df: DataFrame, index: int, wanted: Column) -> DataFrame:
+def _follow_offsets(df: DataFrame, wanted: Sequence[Column]) -> DataFrame:
     """
-    Follow the offset word at `index` to its length and payload.
+    Follow the offset words at the head of the data to their lengths and payloads.
 
-    Adds _payload{index} (hex digits) and _fault{index}. Each step is its own projection so
-    that a word is cut out and converted once.
+    Argument i gets _payload{i} (hex digits), or a reason in _fault{i}; both stay NULL where
+    `wanted[i]` does not hold.
     """
-    size = F.col("_size")
-    offset, length = F.col(f"_offset{index}"), F.col(f"_length{index}")
-    head = abi.word_at(F.col("_digits"), F.lit(32 * index))
-    df = df.withColumn(f"_offset{index}", F.when(wanted, abi.small_number(head)))
-    df = df.withColumn(
-        f"_length{index}",
-        F.when(offset + 32 <= size, abi.small_number(abi.word_at(F.col("_digits"), offset))))
-    fault = (
-        F.when(F.col("_digits").isNull(), "data is not hex")
-        .when(size < 32 * (index + 1), "data too short")
-        .when(offset.isNull() | (offset + 32 > size), "offset past the end")
-        .when(length.isNull() | (offset + 32 + length > size), "length past the end"))
-    df = df.withColumn(f"_fault{index}", F.when(wanted, fault))
-    payload = F.substr(F.col("_digits"), ((offset + 32) * 2 + 1).cast("int"),
-                       (length * 2).cast("int"))
-    return df.withColumn(f"_payload{index}",
-                         F.when(wanted & F.col(f"_fault{index}").isNull(), payload))
+    digits, size = F.col("_digits"), F.col("_size")
+    offset, length = (lambda i: F.col(f"_offset{i}")), (lambda i: F.col(f"_length{i}"))
+    df = stage(df, {f"_wanted{i}": F.coalesce(want, F.lit(False))
+                    for i, want in enumerate(wanted)})
+    df = stage(df, {f"_head{i}": F.when(F.col(f"_wanted{i}"), abi.word_at(digits, F.lit(32 * i)))
+                    for i in range(len(wanted))})
+    df = stage(df, {f"_offset{i}": abi.small_number(F.col(f"_head{i}"))
+                    for i in range(len(wanted))})
+    df = stage(df, {f"_tail{i}": F.when(offset(i) + 32 <= size, abi.word_at(digits, offset(i)))
+                    for i in range(len(wanted))})
+    df = stage(df, {f"_length{i}": abi.small_number(F.col(f"_tail{i}"))
+                    for i in range(len(wanted))})
+
+    def fault(i: int) -> Column:
+        reason = (F.when(digits.isNull(), "data is not hex")
+                  .when(size < 32 * (i + 1), "data too short")
+                  .when(offset(i).isNull() | (offset(i) + 32 > size), "offset past the end")
+                  .when(length(i).isNull() | (offset(i) + 32 + length(i) > size),
+                        "length past the end"))
+        return F.when(F.col(f"_wanted{i}"), reason)
+
+    df = stage(df, {f"_fault{i}": fault(i) for i in range(len(wanted))})
+    return stage(df, {
+        f"_payload{i}": F.when(
+            F.col(f"_wanted{i}") & F.col(f"_fault{i}").isNull(),
+            F.substr(digits, ((offset(i) + 32) * 2 + 1).cast("int"), (length(i) * 2).cast("int")))
+        for i in range(len(wanted))})
 
 
 def decode_logs(raw_logs: DataFrame) -> DataFrame:
@@ -47,65 +60,50 @@ def decode_logs(raw_logs: DataFrame) -> DataFrame:
     for name, signature in EVENT_TOPICS.items():
         kind = F.when(F.col("_topic0") == signature, name).otherwise(kind)
 
-    df = raw_logs.withColumns({
-        "_topic0": F.coalesce(F.lower(topic(0)), F.lit("")),
-        "_digits": abi.bare_hex(F.col("data")),
-    })
-    df = df.withColumns({
-        "_kind": kind,
-        "_size": F.coalesce(F.char_length("_digits") / 2, F.lit(0)).cast("bigint"),
-    })
-    is_transfer = F.col("_kind") == "Transfer"
+    df = stage(raw_logs, {"_topic0": F.coalesce(F.lower(topic(0)), F.lit("")),
+                          "_digits": abi.bare_hex(F.col("data"))})
+    df = stage(df, {"_kind": kind,
+                    "_size": F.coalesce(F.char_length("_digits") / 2, F.lit(0)).cast("bigint")})
+    is_transfer = F.coalesce(F.col("_kind") == "Transfer", F.lit(False))
     is_metadata = F.col("_kind") == "MetadataSet"
-    has_text = F.coalesce(F.col("_kind").isin("Registered", "URIUpdated", "MetadataSet"),
-                          F.lit(False))
-
+    sets_uri = F.col("_kind").isin("Registered", "URIUpdated")
     id_topic = F.when(is_transfer, topic(3)).otherwise(topic(1))
-    df = df.withColumn("_word", F.when(F.col("_kind").isNotNull(), abi.topic_word(id_topic)))
-    df = _with_payload(df, 0, has_text)
-    df = _with_payload(df, 1, F.coalesce(is_metadata, F.lit(False)))
-
-    holder_topic = F.when(F.col("_kind").isin("Registered", "URIUpdated"), topic(2)) \
-        .when(is_transfer, topic(2))
-    # Fields are read left to right, so a missing one hides those after it.
-    holder = F.when(is_transfer & topic(1).isNotNull(), abi.topic_address(holder_topic)) \
-        .when(~is_transfer & F.col("_word").isNotNull(), abi.topic_address(holder_topic))
-    reachable = F.col("_word").isNotNull() \
-        & F.when(is_transfer, topic(1).isNotNull() & topic(2).isNotNull()).otherwise(F.lit(True))
-    missing_topic = (
-        F.when(F.col("_kind").isNull(), "unknown topic0")
-        .when(is_transfer & (topic(1).isNull() | topic(2).isNull() | F.col("_word").isNull()),
-              "topic missing or not a number")
-        .when(~is_transfer & F.col("_word").isNull(), "topic missing or not a number")
-        .when(F.col("_kind").isin("Registered", "URIUpdated") & topic(2).isNull(),
-              "topic missing or not a number"))
-    df = df.withColumn("decode_error",
-                       F.coalesce(missing_topic, F.col("_fault0"), F.col("_fault1")))
+    df = stage(df, {"_word": F.when(F.col("_kind").isNotNull(), abi.topic_word(id_topic))})
+    df = _follow_offsets(df, [sets_uri | is_metadata, is_metadata])
+
+    # Topics are read left to right, so a missing one hides those after it.
+    ends_read = F.col("_word").isNotNull()
+    reads_id = F.when(is_transfer, topic(1).isNotNull() & topic(2).isNotNull() & ends_read) \
+        .otherwise(ends_read)
+    reads_holder = F.when(is_transfer, topic(1).isNotNull()).when(sets_uri, ends_read) \
+        .otherwise(False)
+    complete = reads_id & (~sets_uri | topic(2).isNotNull())
+    df = stage(df, {
+        "decode_error": F.when(F.col("_kind").isNull(), "unknown topic0")
+        .when(~complete, "topic missing or not a number")
+        .otherwise(F.coalesce("_fault0", "_fault1"))})
     decoded = F.col("decode_error").isNull()
-    first_text = abi.utf8_lenient(F.col("_payload0"))
-    df = df.withColumns({
-        "_uri": F.when(decoded & F.col("_kind").isin("Registered", "URIUpdated"), first_text),
-        "_key": F.when(decoded & is_metadata, first_text),
+    df = stage(df, {
+        "_text": F.when(decoded, abi.utf8_lenient(F.col("_payload0"))),
         "_value": F.when(decoded & is_metadata, abi.text_or_hex(F.col("_payload1"))),
     })
     return df.select(
         F.when(decoded, F.col("_kind")).otherwise("unknown").alias("event_type"),
-        F.when(reachable, abi.decimal_text("_word")).alias("agent_id"),
-        F.when(reachable, F.col("_word")).alias("agent_id_hex"),
+        F.when(reads_id, abi.decimal_text("_word")).alias("agent_id"),
+        F.when(reads_id, F.col("_word")).alias("agent_id_hex"),
         abi.quantity(F.col("blockNumber")).alias("block_number"),
         F.lower("transactionHash").alias("tx_hash"),
         abi.quantity(F.col("logIndex")).cast("int").alias("log_index"),
         F.col("_topic0").alias("topic0"),
-        holder.alias("owner"),
+        F.when(reads_holder, abi.topic_address(topic(2))).alias("owner"),
         F.when(is_transfer, abi.topic_address(topic(1))).alias("from_address"),
-        without_nul(F.col("_uri")).alias("agent_uri"),
-        without_nul(F.col("_key")).alias("metadata_key"),
+        F.when(sets_uri, without_nul(F.col("_text"))).alias("agent_uri"),
+        F.when(is_metadata, without_nul(F.col("_text"))).alias("metadata_key"),
         without_nul(F.col("_value")).alias("metadata_value"),
         topics.alias("raw_topics"),
         F.coalesce(F.col("data"), F.lit("0x")).alias("raw_data"),
-        F.col("decode_error"),
-        (has_nul(F.col("_uri")) | has_nul(F.col("_key")) | has_nul(F.col("_value")))
-        .alias("sanitized"),
+        "decode_error",
+        (has_nul(F.col("_text")) | has_nul(F.col("_value"))).alias("sanitized"),
     )
 
 

@@ -18,6 +18,7 @@ from rollcall.constants import CANONICAL_TYPES, GATEWAYS, MAX_DOCUMENT_BYTES, MA
     STUDY_CANONICAL_TYPES, STUDY_GATEWAYS
 from rollcall.functions.document import analyse_documents
 from rollcall.functions.failures import error_category, http_category, looks_throttled
+from rollcall.functions.staging import stage
 from rollcall.functions.text import is_blank
 from rollcall.functions.uri import clean_uri, data_uri_parts, dot_suffixes, host_of, \
     is_generic_host, registrable_domain, uri_scheme
@@ -71,8 +72,9 @@ def _capped(body: Column, limit: int) -> Column:
 def _inline_attempts(targets: DataFrame, dialect: Dialect) -> DataFrame:
     """Documents that are part of the URI itself, as attempts that need no fetching."""
     parts = data_uri_parts(F.col("_clean"), keep_parameters=dialect.study)
-    inline = targets.withColumn("_clean", clean_uri(F.col("uri"))) \
-        .where(uri_scheme(F.col("_clean")) == "data").withColumn("_parts", parts)
+    inline = stage(targets, {"_clean": clean_uri(F.col("uri"))}) \
+        .where(uri_scheme(F.col("_clean")) == "data")
+    inline = stage(inline, {"_parts": parts})
     text = F.col("_parts.text")
     return inline.select(
         *KEY, F.lit(0).alias("pos"),
@@ -113,11 +115,11 @@ def fetch_outcomes(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MO
         .when(F.col("_category") == "empty_body", host)
         .when(F.col("_category").isNotNull(),
               F.concat(F.col("status").cast("string"), F.lit(" from "), host)))
-    judged = attempts.withColumns({"_category": category, "_blocked": blocked})
+    judged = stage(attempts, {"_category": category, "_blocked": blocked})
     ok = F.col("_category").isNull()
     # The study stops at the first 2xx answer even if it is empty.
     stops = (answered & (in_2xx | F.col("inline"))) if dialect.study else ok | F.col("_blocked")
-    judged = judged.withColumns({
+    judged = stage(judged, {
         "_detail": detail, "_ok": ok, "_stops": stops,
         "_document": F.when(ok, _capped(F.col("body"), max_bytes))})
     found = analyse_documents(judged, "_document", dialect.canonical_types, dialect.type_length,
@@ -199,33 +201,32 @@ def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect:
             exact_json: bool) -> DataFrame:
     outcomes = fetch_outcomes(targets, fetches, dialect, exact_json)
     chosen = choose_attempt(outcomes, len(dialect.gateways))
-    rows = targets.withColumn("_clean", clean_uri(F.col("uri"))) \
-        .withColumn("uri_scheme", uri_scheme(F.col("_clean"))) \
+    cleaned = stage(targets, {"_clean": clean_uri(F.col("uri"))})
+    rows = stage(cleaned, {"uri_scheme": uri_scheme(F.col("_clean"))}) \
         .join(chosen, KEY, "left").join(gather_probes(probes), KEY, "left")
     fetchable = F.col("uri_scheme").isin("http", "https", "ipfs", "data")
     found = F.col("decided.analysis")
     yes = lambda c: F.coalesce(c, F.lit(False))
     enough = (F.col("decided.analysis.services_count") > 0) if dialect.study else \
         (F.col("decided.analysis.endpoints_total") > 0)
-    rows = rows.withColumns({
+    rows = stage(rows, {
         "s1": F.col("uri_scheme") != "empty",
         "s2": fetchable & yes(F.col("decided.ok")),
+        "_fetchable": fetchable,
     })
-    rows = rows.withColumn("s3", F.col("s2") & found["json_category"].isNull())
-    rows = rows.withColumn("s4", F.col("s3") & yes(found["schema_match"]))
-    rows = rows.withColumn("s5", F.col("s4") & yes(enough))
-    details = F.when(F.col("s5"), _endpoint_details(found["urls"], dialect))
-    rows = rows.withColumn("endpoint_details", details.cast(ENDPOINT_DETAILS))
-    alive = F.filter(F.col("endpoint_details"), lambda e: e["ok"])
-    rows = rows.withColumn("_alive", alive).withColumns({
-        "_ok": F.coalesce(F.when(F.col("s5"), F.size("_alive")), F.lit(0)),
-        "_specific": F.coalesce(F.when(F.col("s5"), F.size(
-            F.filter("_alive", lambda e: ~e["generic"]))), F.lit(0)),
-    })
-    rows = rows.withColumns({"s6": F.col("_ok") > 0})
+    s3 = F.col("s2") & found["json_category"].isNull()
+    rows = stage(rows, {"s3": s3, "s4": s3 & yes(found["schema_match"])})
+    rows = stage(rows, {"s5": F.col("s4") & yes(enough)})
+    rows = stage(rows, {"endpoint_details": F.when(
+        F.col("s5"), _endpoint_details(found["urls"], dialect)).cast(ENDPOINT_DETAILS)})
+    rows = stage(rows, {"_alive": F.coalesce(
+        F.filter("endpoint_details", lambda e: e["ok"]), F.array().cast(ENDPOINT_DETAILS))})
+    rows = stage(rows, {
+        "_ok": F.size("_alive"), "_specific": F.size(F.filter("_alive", lambda e: ~e["generic"])),
+        "s6": F.size("_alive") > 0})
     reached = sum((F.when(F.col(f"s{i}"), 1).otherwise(0) for i in range(2, 7)),
                   F.when(F.col("s1"), 1).otherwise(0))
-    return rows.withColumns({"funnel_stage": reached, "_fetchable": fetchable})
+    return stage(rows, {"funnel_stage": reached})
 
 
 def grade(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
