@@ -11,7 +11,7 @@ import json
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollcall.constants import CANONICAL_TYPES, ENDPOINT_TYPE_KEYS, ENDPOINT_URL_KEYS, \
     MAX_ENDPOINTS, REGISTRY_CAIP_ID, SERVICE_LIST_KEYS, TYPE_KEYS
@@ -34,7 +34,7 @@ def parse_document(body: Column) -> Column:
     return F.when((F.size(boxed) == 1) & ~closes_box, F.get(boxed, F.lit(0)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _finite_json(bodies: pd.Series) -> pd.Series:
     def rewrite(body):
         if body is None or ("NaN" not in body and "Infinity" not in body):

@@ -395,11 +395,11 @@ def grade_study(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
 
 
 def documents_of_run(targets: DataFrame, fetches: DataFrame, exact_json: bool = False) -> DataFrame:
-    """(run_id, agent_id, pos, body) of every attempt that brought back a JSON object."""
+    """(run_id, agent_id, pass, pos, body) of every attempt that brought back a JSON object."""
     judged = fetches.where("error_class IS NULL AND status >= 200 AND status < 300")
     found = analyse_documents(judged, "body", exact_json=exact_json)
     return found.where("analysis.json_category IS NULL") \
-        .join(targets.select(*KEY), KEY, "left_semi").select("run_id", "agent_id", "pos", "body")
+        .join(targets.select(*KEY), KEY, "left_semi").select(*KEY, "pos", "body")
 
 
 __all__ = [

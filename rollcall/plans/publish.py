@@ -135,21 +135,14 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     history = survival.panel_history(checks, check_runs)
     outcomes = materialise(survival.agent_outcomes(history, agents, horizons, tolerance_days),
                            "outcomes")
-    cohort = survival.survival_by_cohort(outcomes)
-    per_horizon = []
-    for horizon in horizons:
-        own = cohort.where(F.col("horizon_days") == horizon)
-        overall = survival.survival(outcomes, [horizon])
-        per_horizon.append(F.struct(
-            F.lit(horizon).alias("horizon_days"),
-            _single(overall, "n", "k", "pct", "ci_low", "ci_high").alias("overall"),
-            _rows(own, [F.col("month")], "month", "n", "k", "pct", "ci_low", "ci_high")
-            .alias("by_cohort")))
-    flattened = F.transform(F.array(*per_horizon), lambda h: F.struct(
-        h["horizon_days"].alias("horizon_days"), h["overall"]["n"].alias("n"),
-        h["overall"]["k"].alias("k"), h["overall"]["pct"].alias("pct"),
-        h["overall"]["ci_low"].alias("ci_low"), h["overall"]["ci_high"].alias("ci_high"),
-        h["by_cohort"].alias("by_cohort")))
+    cohorts = survival.survival_by_cohort(outcomes).groupBy("horizon_days").agg(F.array_sort(
+        F.collect_list(F.struct("month", "n", "k", "pct", "ci_low", "ci_high")))
+        .alias("by_cohort"))
+    by_horizon = survival.survival(outcomes, horizons).join(cohorts, "horizon_days", "left") \
+        .withColumn("by_cohort", F.coalesce("by_cohort", F.array().cast(
+            cohorts.schema["by_cohort"].dataType)))
+    horizon_rows = _rows(by_horizon, [F.col("horizon_days")], "horizon_days", "n", "k", "pct",
+                         "ci_low", "ci_high", "by_cohort")
     status = survival.survival_status(history, agents, horizons).select(F.struct(
         "status", "history_span_days", "days_until_first_horizon", "agents_with_history",
         "note")).scalar()
@@ -157,7 +150,7 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     return one.select(
         iso(generated_at).alias("generated_at"), registry_value.alias("registry"),
         monthly.alias("registrations_monthly"), liveness_value.alias("liveness"),
-        status.alias("_status"), flattened.alias("_horizons")).select(
+        status.alias("_status"), horizon_rows.alias("_horizons")).select(
         "generated_at", "registry", "registrations_monthly", "liveness",
         F.struct("_status.status", "_status.history_span_days",
                  "_status.days_until_first_horizon", "_status.agents_with_history",
