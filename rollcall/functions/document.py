@@ -19,19 +19,21 @@ from rollcall.functions.staging import stage
 from rollcall.functions.text import sha256_hex, strip
 
 
-def parse_document(body: Column) -> Column:
+def boxed_document(body: Column) -> Column:
     """
-    The document as VARIANT, NULL unless the whole text is one JSON value.
+    The text as first element of a VARIANT array whose second element is the text's hash.
 
-    The parser stops after the first value and ignores what follows, so the text is boxed:
-    in an array it must be the only element. Text that closes the array itself could still
-    hide a tail behind it, but not inside an object as well.
+    The parser stops after the first value and ignores what follows, so a bare document could
+    have a tail. In the box it is complete exactly if the element after it is the hash.
     """
-    boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))),
-                              "$", "array<variant>")
-    closes_box = body.contains("]") & F.try_parse_json(
-        F.concat(F.lit('{"w":'), body, F.lit("}"))).isNull()
-    return F.when((F.size(boxed) == 1) & ~closes_box, F.get(boxed, F.lit(0)))
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(","),
+                                     F.xxhash64(body).cast("string"), F.lit("]")))
+
+
+def unboxed_document(boxed: Column, body: Column) -> Column:
+    """The document, NULL unless the whole text is one JSON value."""
+    return F.when(F.try_variant_get(boxed, "$[1]", "bigint") == F.xxhash64(body),
+                  F.try_variant_get(boxed, "$[0]", "variant"))
 
 
 @F.pandas_udf(T.StringType())
@@ -57,7 +59,8 @@ def finite_json(body: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    """Only an object casts to a struct, whatever fields it has; nothing is copied."""
+    return F.try_variant_get(value, "$", "struct<_: variant>").isNotNull()
 
 
 def json_category(doc: Column) -> Column:
@@ -116,21 +119,24 @@ def names_registry(entries: Column, registry_id: str = REGISTRY_CAIP_ID) -> Colu
         F.lower(F.to_json(_member(entry, "agentRegistry"))).contains(registry_id), F.lit(False)))
 
 
+def _filled(value: Column) -> Column:
+    return F.try_variant_get(value, "$[0]", "variant").isNotNull() \
+        | (is_object(value) & (F.size(_object(value)) > 0))
+
+
 def service_list(doc: Column) -> Column:
     """Struct(key, value) of the first non-empty service list or object."""
-    candidates = F.array(*[
-        F.struct(F.lit(key).alias("key"), _member(doc, key).alias("value"))
+    return F.coalesce(*[
+        F.when(_filled(_member(doc, key)),
+               F.struct(F.lit(key).alias("key"), _member(doc, key).alias("value")))
         for key in SERVICE_LIST_KEYS])
-    filled = F.filter(candidates, lambda c: (F.size(_list(c["value"])) > 0)
-                      | (F.size(_object(c["value"])) > 0))
-    return F.get(filled, F.lit(0))
 
 
 def _first_text(item: Column, keys: Sequence[str], allow_empty: bool = False) -> Column:
-    values = [_text(_member(item, key)) for key in keys]
-    if not allow_empty:
-        values = [F.nullif(value, F.lit("")) for value in values]
-    return F.coalesce(*values, F.lit(""))
+    texts = F.filter(F.array(*[_member(item, key) for key in keys]), lambda v: _is_text(v)
+                     if allow_empty else _is_text(v)
+                     & (F.try_variant_get(v, "$", "string") != ""))
+    return F.coalesce(F.try_variant_get(F.get(texts, F.lit(0)), "$", "string"), F.lit(""))
 
 
 def _entry(kind: Column, url: Column) -> Column:
@@ -147,9 +153,9 @@ def service_entries(service: Column, body: Column, study: bool = False) -> Colum
     value = service["value"]
     from_list = F.filter(
         F.transform(_list(value), lambda item: F.when(
-            _is_text(item), _entry(F.lit(""), _text(item)))
-            .when(is_object(item), _entry(_first_text(item, ENDPOINT_TYPE_KEYS),
-                                          _first_text(item, ENDPOINT_URL_KEYS)))),
+            is_object(item), _entry(_first_text(item, ENDPOINT_TYPE_KEYS),
+                                    _first_text(item, ENDPOINT_URL_KEYS)))
+            .when(_is_text(item), _entry(F.lit(""), F.try_variant_get(item, "$", "string")))),
         lambda entry: entry.isNotNull())
     raw = F.try_element_at(F.from_json(body, "map<string,string>"), service["key"])
     ordered_keys = F.array_distinct(F.json_object_keys(raw))
@@ -173,30 +179,35 @@ def service_count(service: Column) -> Column:
 
 def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] = CANONICAL_TYPES,
                       type_length: int = 400, study: bool = False, exact_json: bool = False,
-                      registry_id: str = REGISTRY_CAIP_ID) -> DataFrame:
+                      registry_id: str = REGISTRY_CAIP_ID,
+                      services_of_all: bool = True) -> DataFrame:
     """
     Add the column `analysis` for the document text in `body`.
 
     Everything later steps need is small, so the text itself can be dropped before the first
-    shuffle.
+    shuffle. With services_of_all=False only documents that match the schema have their
+    services listed, which is all that grading needs.
     """
     source = F.col(body)
     staged = df.withColumn("_body", finite_json(source) if exact_json else source)
-    staged = stage(staged, {"_doc": parse_document(F.col("_body"))})
-    doc = F.col("_doc")
+    staged = stage(staged, {"_boxed": boxed_document(F.col("_body"))})
+    staged = stage(staged, {"_doc": unboxed_document(F.col("_boxed"), F.col("_body"))})
+    doc, raw_type, canonical = F.col("_doc"), F.col("_type"), F.col("_canonical")
     staged = stage(staged, {
         "_kind": json_category(doc),
         "_type": type_field(doc),
         "_regs": registry_entries(doc),
-        "_service": service_list(doc),
     })
     staged = stage(staged, {
-        "_entries": F.coalesce(service_entries(F.col("_service"), F.col("_body"), study),
-                               F.array().cast("array<struct<kind:string,url:string>>")),
+        "_canonical": (raw_type != "") & F.lower(strip(raw_type)).isin(*canonical_types),
         "_matches": names_registry(F.col("_regs"), registry_id),
     })
-    raw_type = F.col("_type")
-    canonical = (raw_type != "") & F.lower(strip(raw_type)).isin(*canonical_types)
+    listed = service_list(doc) if services_of_all \
+        else F.when(canonical | F.col("_matches"), service_list(doc))
+    staged = stage(staged, {"_service": listed})
+    staged = stage(staged, {
+        "_entries": F.coalesce(service_entries(F.col("_service"), F.col("_body"), study),
+                               F.array().cast("array<struct<kind:string,url:string>>"))})
     urls = F.filter(F.transform(F.col("_entries"), lambda e: e["url"]), lambda u: u != "")
     kinds = F.filter(F.transform(F.col("_entries"), lambda e: e["kind"]), lambda k: k != "")
     analysis = F.struct(
@@ -214,4 +225,5 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
         sha256_hex(source).alias("doc_sha256"),
     )
     return stage(staged, {"analysis": analysis}) \
-        .drop("_body", "_doc", "_kind", "_type", "_regs", "_service", "_entries", "_matches")
+        .drop("_body", "_boxed", "_doc", "_kind", "_type", "_regs", "_canonical", "_matches",
+              "_service", "_entries")

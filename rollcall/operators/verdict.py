@@ -123,7 +123,7 @@ def fetch_outcomes(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MO
         "_detail": detail, "_ok": ok, "_stops": stops,
         "_document": F.when(ok, _capped(F.col("body"), max_bytes))})
     found = analyse_documents(judged, "_document", dialect.canonical_types, dialect.type_length,
-                              dialect.study, exact_json)
+                              dialect.study, exact_json, services_of_all=False)
     return found.select(
         *KEY, "pos", F.col("_stops").alias("stops"), F.col("_ok").alias("ok"),
         F.col("_blocked").alias("blocked"), F.col("_category").alias("category"),

@@ -24,6 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """
+    Deal a scan that comes in fewer pieces than there are cores out to all of them.
+
+    The small benchmark files are one row group each, so costly work on them would run in one
+    task. Files of a real size are split by the scan and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- event log from `events` ------------------------------------------------------------
 
 BLOCK_OF = "CAST(floor(({micros} - 1704067200000000) / 2000000.0) AS BIGINT)"
@@ -224,7 +235,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics, NUL characters, unknown signatures, ids beyond 64 bits.
     """
     block = BLOCK_OF.format(micros="unix_micros(CAST(ts AS TIMESTAMP))")
-    base = table(spark, sf_dir, "events").selectExpr(
+    base = spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id", "user_id", "event_type", "props", f"{block} + {ANCHOR_BLOCK} AS block",
         "CASE WHEN event_id % 5 = 0 THEN '' WHEN event_id % 23 = 0 "
         "THEN 'https://h' || (event_id % 97) || '.t' || chr(0) || 'est/ü' "
@@ -309,7 +320,7 @@ CASE_COLUMNS = """o_orderkey AS k, o_orderkey % 12 AS u,
 
 
 def order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(table(spark, sf_dir, "orders"), CASE_COLUMNS)
+    return _select(spread(table(spark, sf_dir, "orders")), CASE_COLUMNS)
 
 
 _BODY = f"""CASE d
