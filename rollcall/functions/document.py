@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from rollcall.constants import CANONICAL_TYPES, ENDPOINT_TYPE_KEYS, ENDPOINT_URL_KEYS, \
     MAX_ENDPOINTS, REGISTRY_CAIP_ID, SERVICE_LIST_KEYS, TYPE_KEYS
 from rollcall.functions.staging import stage
-from rollcall.functions.text import sha256_hex, strip
+from rollcall.functions.text import strip
 
 
 def boxed_document(body: Column) -> Column:
@@ -58,123 +58,117 @@ def finite_json(body: Column) -> Column:
     return _finite_json(body)
 
 
-def is_object(value: Column) -> Column:
-    """Only an object casts to a struct, whatever fields it has; nothing is copied."""
-    return F.try_variant_get(value, "$", "struct<_: variant>").isNotNull()
+# The functions below return SQL text over named columns and lambda variables. They nest
+# deeply; as text a whole finding is one expression for the session to parse.
 
+def _member(value: str, key: str) -> str:
+    return f"""try_variant_get({value}, '$["{key}"]', 'variant')"""
 
-def json_category(doc: Column) -> Column:
-    """not_json, json_not_object, or NULL for an object."""
-    return F.when(doc.isNull(), "not_json").when(~is_object(doc), "json_not_object")
 
+def _object_test(value: str) -> str:
+    """Only an object casts to a struct, whatever fields it has; nothing is copied."""
+    return f"(try_variant_get({value}, '$', 'struct<_: variant>') IS NOT NULL)"
 
-def top_level_name(doc: Column) -> Column:
-    """What the document is, for the failure detail of one that is not an object."""
-    kind = F.schema_of_variant(doc)
-    return (F.when(kind.startswith("ARRAY"), "list").when(kind == "STRING", "str")
-            .when(kind == "BIGINT", "int").when(kind == "BOOLEAN", "bool")
-            .when(kind == "VOID", "NoneType").when(doc.isNotNull(), "float"))
 
+def _text_test(value: str) -> str:
+    return f"coalesce(schema_of_variant({value}) = 'STRING', false)"
 
-def _is_text(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
+def _text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
 
-def _text(value: Column) -> Column:
-    return F.when(_is_text(value), F.try_variant_get(value, "$", "string"))
 
+def _list(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'array<variant>')"
 
-def _member(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f'$["{key}"]', "variant")
 
+def _object(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'map<string,variant>')"
 
-def _list(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
 
+def json_category(doc: str) -> str:
+    """not_json, json_not_object, or NULL for an object."""
+    return f"CASE WHEN {doc} IS NULL THEN 'not_json' " \
+           f"WHEN NOT {_object_test(doc)} THEN 'json_not_object' END"
 
-def _object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>")
 
+def top_level_name(doc: str) -> str:
+    """What the document is, for the failure detail of one that is not an object."""
+    return f"""CASE WHEN startswith(schema_of_variant({doc}), 'ARRAY') THEN 'list'
+        ELSE CASE schema_of_variant({doc}) WHEN 'STRING' THEN 'str' WHEN 'BIGINT' THEN 'int'
+            WHEN 'BOOLEAN' THEN 'bool' WHEN 'VOID' THEN 'NoneType' ELSE 'float' END END"""
 
-def type_field(doc: Column) -> Column:
+
+def type_field(doc: str) -> str:
     """The first type-like key holding a string, or a list that starts with one."""
     found = []
     for key in TYPE_KEYS:
         value = _member(doc, key)
-        items = _list(value)
-        joined = F.when(
-            _is_text(F.get(items, F.lit(0))),
-            F.array_join(F.transform(F.filter(items, _is_text), _text), ","))
-        found += [_text(value), joined]
-    return F.coalesce(*found, F.lit(""))
-
-
-def registry_entries(doc: Column) -> Column:
-    return F.coalesce(_list(_member(doc, "registrations")),
-                      F.array().cast("array<variant>"))
+        first = f"try_variant_get({doc}, '$[\"{key}\"][0]', 'variant')"
+        found.append(f"CASE WHEN {_text_test(value)} THEN {_text(value)} "
+                     f"WHEN {_text_test(first)} THEN array_join(transform(filter({_list(value)}, "
+                     f"t -> {_text_test('t')}), t -> {_text('t')}), ',') END")
+    return f"coalesce({', '.join(found)}, '')"
 
 
-def names_registry(entries: Column, registry_id: str = REGISTRY_CAIP_ID) -> Column:
-    return F.exists(entries, lambda entry: F.coalesce(
-        F.lower(F.to_json(_member(entry, "agentRegistry"))).contains(registry_id), F.lit(False)))
+def registry_entries(doc: str) -> str:
+    return f"coalesce({_list(_member(doc, 'registrations'))}, CAST(array() AS ARRAY<VARIANT>))"
 
 
-def _filled(value: Column) -> Column:
-    return F.try_variant_get(value, "$[0]", "variant").isNotNull() \
-        | (is_object(value) & (F.size(_object(value)) > 0))
+def names_registry(entries: str, registry_id: str) -> str:
+    return f"""exists({entries}, entry -> coalesce(contains(
+        lower(to_json({_member('entry', 'agentRegistry')})), '{registry_id}'), false))"""
 
 
-def service_list(doc: Column) -> Column:
+def service_list(doc: str) -> str:
     """Struct(key, value) of the first non-empty service list or object."""
-    return F.coalesce(*[
-        F.when(_filled(_member(doc, key)),
-               F.struct(F.lit(key).alias("key"), _member(doc, key).alias("value")))
-        for key in SERVICE_LIST_KEYS])
+    found = []
+    for key in SERVICE_LIST_KEYS:
+        value = _member(doc, key)
+        found.append(f"""CASE WHEN try_variant_get({doc}, '$["{key}"][0]', 'variant') IS NOT NULL
+            OR ({_object_test(value)} AND size({_object(value)}) > 0)
+            THEN named_struct('key', '{key}', 'value', {value}) END""")
+    return f"coalesce({', '.join(found)})"
 
 
-def _first_text(item: Column, keys: Sequence[str], allow_empty: bool = False) -> Column:
-    texts = F.filter(F.array(*[_member(item, key) for key in keys]), lambda v: _is_text(v)
-                     if allow_empty else _is_text(v)
-                     & (F.try_variant_get(v, "$", "string") != ""))
-    return F.coalesce(F.try_variant_get(F.get(texts, F.lit(0)), "$", "string"), F.lit(""))
+def _first_text(item: str, keys: Sequence[str], allow_empty: bool = False) -> str:
+    members = ", ".join(_member(item, key) for key in keys)
+    wanted = _text_test("m") if allow_empty else f"{_text_test('m')} AND {_text('m')} <> ''"
+    return f"coalesce({_text(f'get(filter(array({members}), m -> {wanted}), 0)')}, '')"
 
 
-def _entry(kind: Column, url: Column) -> Column:
-    return F.struct(kind.alias("kind"), url.alias("url"))
+def _entry(kind: str, url: str) -> str:
+    return f"named_struct('kind', {kind}, 'url', {url})"
 
 
-def service_entries(service: Column, body: Column, study: bool = False) -> Column:
+def service_entries(service: str, body: str, study: bool = False) -> str:
     """
     array<struct(kind, url)> in document order.
 
     A VARIANT object keeps its keys sorted, so the order of an object's entries is read from
     the text; only documents that use the object form pay for that second look.
     """
-    value = service["value"]
-    from_list = F.filter(
-        F.transform(_list(value), lambda item: F.when(
-            is_object(item), _entry(_first_text(item, ENDPOINT_TYPE_KEYS),
-                                    _first_text(item, ENDPOINT_URL_KEYS)))
-            .when(_is_text(item), _entry(F.lit(""), F.try_variant_get(item, "$", "string")))),
-        lambda entry: entry.isNotNull())
-    raw = F.try_element_at(F.from_json(body, "map<string,string>"), service["key"])
-    ordered_keys = F.array_distinct(F.json_object_keys(raw))
-    members = _object(value)
-
-    def named(key: Column) -> Column:
-        item = F.try_element_at(members, key)
-        return _entry(key, F.coalesce(
-            _text(item), _first_text(item, ENDPOINT_URL_KEYS, allow_empty=study)))
-
-    return F.when(_list(value).isNotNull(), from_list) \
-        .when(members.isNotNull(), F.transform(ordered_keys, named))
-
-
-def service_count(service: Column) -> Column:
+    value = f"{service}.value"
+    of_object = _entry(_first_text("item", ENDPOINT_TYPE_KEYS),
+                       _first_text("item", ENDPOINT_URL_KEYS))
+    of_text = _entry("''", _text("item"))
+    from_list = f"""filter(transform({_list(value)}, item -> CASE
+        WHEN {_object_test('item')} THEN {of_object}
+        WHEN {_text_test('item')} THEN {of_text} END), entry -> entry IS NOT NULL)"""
+    raw = f"try_element_at(from_json({body}, 'map<string,string>'), {service}.key)"
+    member = f"try_element_at({_object(value)}, key)"
+    url = f"CASE WHEN {_text_test(member)} THEN {_text(member)} " \
+          f"ELSE {_first_text(member, ENDPOINT_URL_KEYS, allow_empty=study)} END"
+    named = f"transform(array_distinct(json_object_keys({raw})), key -> {_entry('key', url)})"
+    return f"""CASE WHEN {_object_test(value)} THEN {named}
+        WHEN {value} IS NOT NULL THEN {from_list} END"""
+
+
+def service_count(service: str) -> str:
     """Entries without a URL count too."""
-    value = service["value"]
-    return F.coalesce(F.when(_list(value).isNotNull(), F.size(_list(value)))
-                      .when(is_object(value), F.size(_object(value))), F.lit(0))
+    value = f"{service}.value"
+    return f"""coalesce(CASE WHEN {_object_test(value)} THEN size({_object(value)})
+        WHEN {value} IS NOT NULL THEN size({_list(value)}) END, 0)"""
 
 
 def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] = CANONICAL_TYPES,
@@ -192,38 +186,36 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
     staged = df.withColumn("_body", finite_json(source) if exact_json else source)
     staged = stage(staged, {"_boxed": boxed_document(F.col("_body"))})
     staged = stage(staged, {"_doc": unboxed_document(F.col("_boxed"), F.col("_body"))})
-    doc, raw_type, canonical = F.col("_doc"), F.col("_type"), F.col("_canonical")
     staged = stage(staged, {
-        "_kind": json_category(doc),
-        "_type": type_field(doc),
-        "_regs": registry_entries(doc),
+        "_kind": F.expr(json_category("_doc")),
+        "_type": F.expr(type_field("_doc")),
+        "_regs": F.expr(registry_entries("_doc")),
     })
+    raw_type = F.col("_type")
     staged = stage(staged, {
         "_canonical": (raw_type != "") & F.lower(strip(raw_type)).isin(*canonical_types),
-        "_matches": names_registry(F.col("_regs"), registry_id),
+        "_matches": F.expr(names_registry("_regs", registry_id)),
     })
-    listed = service_list(doc) if services_of_all \
-        else F.when(canonical | F.col("_matches"), service_list(doc))
-    staged = stage(staged, {"_service": listed})
+    wanted = "true" if services_of_all else "_canonical OR _matches"
     staged = stage(staged, {
-        "_entries": F.coalesce(service_entries(F.col("_service"), F.col("_body"), study),
-                               F.array().cast("array<struct<kind:string,url:string>>"))})
-    urls = F.filter(F.transform(F.col("_entries"), lambda e: e["url"]), lambda u: u != "")
-    kinds = F.filter(F.transform(F.col("_entries"), lambda e: e["kind"]), lambda k: k != "")
-    analysis = F.struct(
-        F.col("_kind").alias("json_category"),
-        F.when(F.col("_kind") == "json_not_object", top_level_name(doc)).alias("top_level"),
-        F.substring(raw_type, 1, type_length).alias("type_field_raw"),
-        canonical.alias("type_is_canonical"),
-        (F.size("_regs") > 0).alias("registry_field_present"),
-        F.col("_matches").alias("registry_field_matches"),
-        (canonical | F.col("_matches")).alias("schema_match"),
-        service_count(F.col("_service")).alias("services_count"),
-        F.size(urls).alias("endpoints_total"),
-        F.slice(urls, 1, MAX_ENDPOINTS).alias("urls"),
-        F.substring(F.array_join(kinds, "|"), 1, 300).alias("service_types"),
-        sha256_hex(source).alias("doc_sha256"),
-    )
+        "_service": F.expr(f"CASE WHEN {wanted} THEN {service_list('_doc')} END")})
+    staged = stage(staged, {"_entries": F.expr(
+        f"coalesce({service_entries('_service', '_body', study)}, "
+        "CAST(array() AS ARRAY<STRUCT<kind: STRING, url: STRING>>))")})
+    staged = stage(staged, {"_urls": F.expr("filter(_entries.url, u -> u <> '')")})
+    analysis = F.expr(f"""named_struct(
+        'json_category', _kind,
+        'top_level', CASE WHEN _kind = 'json_not_object' THEN {top_level_name('_doc')} END,
+        'type_field_raw', substring(_type, 1, {type_length}),
+        'type_is_canonical', _canonical,
+        'registry_field_present', size(_regs) > 0,
+        'registry_field_matches', _matches,
+        'schema_match', _canonical OR _matches,
+        'services_count', {service_count('_service')},
+        'endpoints_total', size(_urls),
+        'urls', slice(_urls, 1, {MAX_ENDPOINTS}),
+        'service_types', substring(array_join(filter(_entries.kind, k -> k <> ''), '|'), 1, 300),
+        'doc_sha256', sha2({body}, 256))""")
     return stage(staged, {"analysis": analysis}) \
         .drop("_body", "_boxed", "_doc", "_kind", "_type", "_regs", "_canonical", "_matches",
-              "_service", "_entries")
+              "_service", "_entries", "_urls")

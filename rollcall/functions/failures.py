@@ -8,9 +8,8 @@ from rollcall.constants import HTTP_CATEGORIES, THROTTLED_CATEGORIES
 
 
 def http_category(status: Column) -> Column:
-    named = F.lit(None).cast("string")
-    for code, name in HTTP_CATEGORIES.items():
-        named = F.when(status == code, name).otherwise(named)
+    pairs = ", ".join(f"{code}, '{name}'" for code, name in HTTP_CATEGORIES.items())
+    named = F.try_element_at(F.expr(f"map({pairs})"), status.cast("int"))
     code = status.cast("string")
     by_class = (
         F.when((status >= 300) & (status < 400), F.concat(F.lit("http_"), code, F.lit("_redirect")))

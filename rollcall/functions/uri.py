@@ -12,6 +12,10 @@ from rollcall.constants import BUCKET_SUFFIXES, GATEWAYS, GENERIC_HOSTS, SHARED_
 from rollcall.functions.text import percent_decode, strip
 
 
+def _any_of(names: Sequence[str]) -> str:
+    return "|".join(re.escape(name) for name in names)
+
+
 def clean_uri(uri: Column) -> Column:
     return strip(F.coalesce(uri, F.lit("")))
 
@@ -89,10 +93,7 @@ def host_of(url: Column) -> Column:
 def is_bucket_host(host: Column) -> Column:
     """Object storage and CDNs, where the leftmost label is the tenant."""
     low = F.rtrim(F.lower(F.coalesce(host, F.lit(""))), F.lit("."))
-    storage = low.endswith(".amazonaws.com") & (low.contains(".s3.") | low.contains(".s3-"))
-    for suffix in BUCKET_SUFFIXES:
-        storage = storage | low.endswith("." + suffix)
-    return storage
+    return low.rlike(r"\.s3(?:\.|[.-].*\.)amazonaws\.com\z|\.(?:" + _any_of(BUCKET_SUFFIXES) + r")\z")
 
 
 def registrable_domain(host: Column) -> Column:
@@ -104,7 +105,7 @@ def registrable_domain(host: Column) -> Column:
     return (
         F.when((low == "") | low.rlike("^[0-9.]+$") | (F.size(labels) <= 2), low)
         .when(is_bucket_host(low), low)
-        .when(last_two.isin(*TWO_LABEL_SUFFIXES),
+        .when(last_two.rlike("^(?:" + _any_of(TWO_LABEL_SUFFIXES) + r")\z"),
               F.when(third == "", last_two).otherwise(F.concat_ws(".", third, last_two)))
         .otherwise(last_two)
     )
@@ -128,8 +129,7 @@ def is_or_is_below(value: Column, names: Sequence[str]) -> Column:
 
     One anchored pattern: the host is computed once and the test stays in generated code.
     """
-    pattern = r"(?:^|\.)(?:" + "|".join(re.escape(n) for n in names) + r")\z"
-    return _normal_host(value).rlike(pattern)
+    return _normal_host(value).rlike(r"(?:^|\.)(?:" + _any_of(names) + r")\z")
 
 
 def is_generic_host(host: Column) -> Column:

@@ -154,15 +154,22 @@ def choose_attempt(outcomes: DataFrame, positions: int) -> DataFrame:
     return gathered.select(*KEY, decided.alias("decided"), made.alias("made"))
 
 
-def gather_probes(probes: DataFrame) -> DataFrame:
+def gather_probes(probes: DataFrame, dialect: Dialect = MONITOR) -> DataFrame:
     """
     The final answer of each of the first five endpoints, one row per agent.
 
     A GET was only sent where HEAD did not do, so it overrides HEAD.
     """
+    error = F.col("error_class") if dialect.study \
+        else error_category(F.col("error_class"), F.col("error_message"))
+    shown = F.when(F.lit(not dialect.study) & F.col("excluded"), "excluded_by_request") \
+        .when(F.lit(not dialect.study) & ~F.col("robots_allowed"), "robots_disallowed") \
+        .otherwise(F.coalesce(F.col("status").cast("string"), error))
+    asked = F.lit(dialect.study) | (~F.col("excluded") & F.col("robots_allowed"))
     answer = F.struct(
-        F.when(F.col("method") == "GET", 0).otherwise(1).alias("rank"),
-        "excluded", "robots_allowed", "status", "error_class", "error_message", "latency_ms")
+        F.when(F.col("method") == "GET", 0).otherwise(1).alias("rank"), shown.alias("shown"),
+        asked.alias("asked"), (asked & F.coalesce(
+            F.col("status").between(200, 399), F.lit(False))).alias("ok"), "latency_ms")
     wanted = probes.where(F.col("pos") < MAX_ENDPOINTS)
     return wanted.groupBy(*KEY).agg(*[
         F.min(F.when(F.col("pos") == i, answer)).alias(f"_p{i}")
@@ -176,21 +183,12 @@ def _endpoint_details(urls: Column, dialect: Dialect) -> Column:
         answer = F.get(answers, index)
         host = host_of(url)
         web = F.lower(url).rlike("^https?://")
-        error = answer["error_class"] if dialect.study \
-            else error_category(answer["error_class"], answer["error_message"])
-        excluded = web & answer["excluded"] if not dialect.study else F.lit(False)
-        refused = web & ~answer["robots_allowed"] if not dialect.study else F.lit(False)
-        status = (
-            F.when(~web, "unsupported_scheme").when(excluded, "excluded_by_request")
-            .when(refused, "robots_disallowed")
-            .when(answer["status"].isNotNull(), answer["status"].cast("string"))
-            .otherwise(F.coalesce(error, F.lit("not_probed"))))
-        asked = web & ~F.coalesce(excluded, F.lit(False)) & ~F.coalesce(refused, F.lit(False))
-        ok = asked & F.coalesce((answer["status"] >= 200) & (answer["status"] < 400),
-                                F.lit(False))
+        asked = web & F.coalesce(answer["asked"], F.lit(True))
         return F.struct(
             (url if dialect.study else F.substring(url, 1, 200)).alias("url"),
-            host.alias("host"), ok.alias("ok"), status.alias("status"),
+            host.alias("host"), (web & F.coalesce(answer["ok"], F.lit(False))).alias("ok"),
+            F.when(~web, "unsupported_scheme")
+            .otherwise(F.coalesce(answer["shown"], F.lit("not_probed"))).alias("status"),
             F.when(asked, answer["latency_ms"]).alias("latency_ms"),
             (asked & is_generic_host(host)).alias("generic"))
 
@@ -203,7 +201,7 @@ def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect:
     chosen = choose_attempt(outcomes, len(dialect.gateways))
     cleaned = stage(targets, {"_clean": clean_uri(F.col("uri"))})
     rows = stage(cleaned, {"uri_scheme": uri_scheme(F.col("_clean"))}) \
-        .join(chosen, KEY, "left").join(gather_probes(probes), KEY, "left")
+        .join(chosen, KEY, "left").join(gather_probes(probes, dialect), KEY, "left")
     fetchable = F.col("uri_scheme").isin("http", "https", "ipfs", "data")
     found = F.col("decided.analysis")
     yes = lambda c: F.coalesce(c, F.lit(False))

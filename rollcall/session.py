@@ -34,6 +34,8 @@ def local_session(name: str = "rollcall", cores: int | str = "*", memory: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        # Plans here have thousands of expressions; recording where each was written is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
