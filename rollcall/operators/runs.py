@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.operators.sample import numbered
+
 
 def latest_check(checks: DataFrame) -> DataFrame:
     """
@@ -83,15 +85,16 @@ def document_changes(checks: DataFrame) -> DataFrame:
     """
     How often each agent's document differs from the one before it.
 
-    Consecutive checks are compared, so this needs the order within an agent; the narrow
-    projection keeps the sorted rows small.
+    All checks are numbered in the order of agent and time, and each row meets its predecessor
+    by number. Unlike a window per agent this has no hot key: the sort splits an agent with a
+    very long history, and the numbers are unique.
     """
-    from pyspark.sql import Window
-
     narrow = checks.where("doc_sha256 IS NOT NULL").select("agent_id", "checked_at", "id",
                                                            "doc_sha256")
-    before = F.lag("doc_sha256").over(Window.partitionBy("agent_id").orderBy("checked_at", "id"))
-    return narrow.withColumn("_before", before).groupBy("agent_id").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(F.col("_before").isNotNull() & (F.col("_before") != F.col("doc_sha256")))
-        .alias("changes"))
+    rows = numbered(narrow, ["agent_id", "checked_at", "id"]).select("position", "agent_id",
+                                                                     "doc_sha256")
+    before = rows.select((F.col("position") + 1).alias("position"),
+                         F.col("agent_id").alias("_agent"), F.col("doc_sha256").alias("_before"))
+    changed = (F.col("_agent") == F.col("agent_id")) & (F.col("_before") != F.col("doc_sha256"))
+    return rows.join(before, "position", "left").groupBy("agent_id").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(changed).alias("changes"))

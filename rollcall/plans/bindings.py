@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.constants import STAGES, TOPIC_METADATA_SET, TOPIC_METADATA_UPDATE, \
     TOPIC_REGISTERED, TOPIC_TRANSFER, TOPIC_URI_UPDATED, ZERO_ADDRESS, ANCHOR_BLOCK, \
-    REGISTRY_CAIP_ID, REGISTRY_CONTRACT
+    REGISTRY_CONTRACT
+from rollcall.functions.staging import stage
+from rollcall.session import materialise
 
 _SCHEMAS: dict[str, object] = {}
 
@@ -144,7 +146,11 @@ analysed AS (SELECT * FROM order_checks WHERE coalesce(failure_category, '') NOT
 
 def document_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks of one run, one per document; first and last lines tie documents together."""
-    return _select(_select(table(spark, sf_dir, "documents"), DOCUMENT_BASE), DOCUMENT_REST)
+    base = _select(spread(table(spark, sf_dir, "documents")), DOCUMENT_BASE)
+    # The two keys come from whole texts; compute them once per document.
+    keys = {"owner": "_owner", "uri_root_domain": "_root"}
+    base = stage(base.withColumnsRenamed(keys), {k: F.col(v) for k, v in keys.items()})
+    return _select(base.drop(*keys.values()), DOCUMENT_REST)
 
 
 DOCUMENT_CHECKS_SQL = f"""document_base AS (SELECT {DOCUMENT_BASE} FROM documents),
@@ -276,6 +282,11 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'0xTX' || event_id AS transactionHash", "'0x' || lower(hex(event_id)) AS logIndex")
 
 
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same logs as a stored table, for jobs that read it more than once."""
+    return materialise(raw_logs(spark, sf_dir), "logs")
+
+
 # What decoding those logs must give, from the events themselves.
 DECODED_SQL = f"""log_base AS (SELECT *,
     {BLOCK_OF.format(micros="epoch_us(ts)")} + {ANCHOR_BLOCK} AS block_number,

@@ -9,7 +9,7 @@ from rollcall.constants import ANCHOR_BLOCK, ANCHOR_EPOCH_SECONDS, TOPIC_METADAT
 from rollcall.operators import blocktime, decode, dedupe, sample
 from rollcall.plans import bindings as b
 from rollcall.plans.catalog import query
-from rollcall.session import fresh_path
+from rollcall.session import fresh_path, materialise
 from rollcall.sources import logs
 from rollcall.streaming import ingest
 
@@ -132,7 +132,8 @@ def replace_checks(spark, sf_dir):
 def ingest_counters(spark, sf_dir):
     """A chunk that overlaps what is stored already."""
     block = lambda day: ANCHOR_BLOCK + (day - 1) * 43_200
-    rows = decode.decode_logs(b.raw_logs(spark, sf_dir))
+    rows = materialise(decode.decode_logs(b.raw_logs(spark, sf_dir)).select(
+        "tx_hash", "log_index", "agent_id", "block_number", "sanitized"), "decoded")
     chunk = rows.where(F.col("block_number") >= block(15))
     stored = rows.where(F.col("block_number") < block(20))
     return dedupe.append_counters(chunk, dedupe.new_rows(chunk, stored, dedupe.LOG_KEY))
@@ -154,8 +155,8 @@ _TIMES_SQL = f"""WITH {b.DECODED_SQL},
         FROM chunks LEFT JOIN blocks ON block_number = top_block)"""
 
 
-def _block_table(spark, sf_dir):
-    numbers = logs.with_block_number(b.raw_logs(spark, sf_dir)).select("block_number").distinct()
+def _block_table(raw):
+    numbers = logs.with_block_number(raw).select("block_number").distinct()
     late = F.when(F.col("block_number") > ANCHOR_BLOCK + 600_000, 3600).otherwise(0)
     return numbers.where("block_number % 900 <> 0").withColumn(
         "block_time", F.timestamp_seconds(
@@ -169,9 +170,10 @@ def _block_table(spark, sf_dir):
         ON chunk = CAST(floor((block_number - {ANCHOR_BLOCK}) / 5000.0) AS BIGINT)
     LEFT JOIN blocks USING (block_number)""")
 def block_times(spark, sf_dir):
-    rows = logs.with_block_number(b.raw_logs(spark, sf_dir)).select(
+    raw = b.log_table(spark, sf_dir)
+    rows = logs.with_block_number(raw).select(
         F.lower("transactionHash").alias("tx_hash"), "block_number")
-    return blocktime.with_block_time(rows, _block_table(spark, sf_dir)) \
+    return blocktime.with_block_time(rows, _block_table(raw)) \
         .select("tx_hash", F.unix_seconds("block_time").alias("seconds"))
 
 
@@ -179,8 +181,9 @@ def block_times(spark, sf_dir):
     coalesce(max(abs(drift)), 0) AS max_drift_seconds,
     count(*) FILTER (WHERE drift IS NULL) AS unverified_chunks FROM drifts""")
 def block_clock(spark, sf_dir):
-    rows = logs.with_block_number(b.raw_logs(spark, sf_dir)).select("block_number")
-    return blocktime.clock_report(blocktime.chunk_drift(rows, _block_table(spark, sf_dir)))
+    raw = b.log_table(spark, sf_dir)
+    rows = logs.with_block_number(raw).select("block_number")
+    return blocktime.clock_report(blocktime.chunk_drift(rows, _block_table(raw)))
 
 
 @query("readable_through", """WITH ranges AS (SELECT CAST(day(ts) AS BIGINT) * 100 AS from_block,
@@ -232,13 +235,13 @@ def stream_ingest(spark, sf_dir):
     The logs as files, taken in batch by batch; the last files repeat logs of the first.
     """
     source = fresh_path(spark, "logs")
-    raw = b.raw_logs(spark, sf_dir)
+    raw = b.log_table(spark, sf_dir)
     half = logs.with_block_number(raw).where(F.col("block_number") < ANCHOR_BLOCK + 648_000) \
         .drop("block_number")
-    half.coalesce(1).write.mode("append").parquet(source)
-    raw.coalesce(1).write.mode("append").parquet(source)
+    for rows in (half, raw):
+        rows.repartition(8).write.mode("append").parquet(source)
     store = ingest.Store(fresh_path(spark, "store"), buckets=8)
-    run = ingest.start_ingest(spark, source, store, files_per_batch=1)
+    run = ingest.start_ingest(spark, source, store, files_per_batch=8)
     run.awaitTermination()
     return ingest.stored_agents(spark, store) \
         .withColumn("registered_at", F.unix_seconds("registered_at"))

@@ -11,7 +11,7 @@ from rollcall.plans import bindings as b, publish, study
 from rollcall.plans.catalog import percent_sql, query, round_sql
 from rollcall.plans.queries_ingest import _block_table, _TIMES_SQL
 from rollcall.plans.queries_measure import GRADED_SQL
-from rollcall.session import fresh_path
+from rollcall.session import fresh_path, materialise
 from rollcall.sources import csvfiles, jsondocs
 
 
@@ -26,9 +26,9 @@ from rollcall.sources import csvfiles, jsondocs
     FROM decoded LEFT JOIN blocks USING (block_number)
     WHERE source_type = 'signup' AND event_id % 31 <> 0""")
 def study_registrations(spark, sf_dir):
-    rows = decode.study_registrations(b.raw_logs(spark, sf_dir))
-    number = F.conv(F.substring("log_index", 1, 20), 10, 10).cast("bigint")
-    return study.with_times(rows.where(number % 31 != 0), _block_table(spark, sf_dir)) \
+    raw = b.log_table(spark, sf_dir)
+    rows = decode.study_registrations(raw)
+    return study.with_times(rows.where("log_index % 31 <> 0"), _block_table(raw)) \
         .drop("tx_hash", "log_index")
 
 
@@ -52,10 +52,10 @@ def study_cut_payloads(spark, sf_dir):
     FROM decoded WHERE source_type = 'signup' AND event_id % 31 <> 0 AND event_id % 23 <> 0""")
 def study_current_uris(spark, sf_dir):
     """Current URIs by lookup; one agent in seven did not answer."""
-    rows = decode.decode_logs(b.raw_logs(spark, sf_dir)).where("event_type = 'Registered'") \
-        .where("log_index % 23 <> 0").select(
+    rows = materialise(decode.decode_logs(b.raw_logs(spark, sf_dir)).where(
+        "event_type = 'Registered' AND log_index % 23 <> 0").select(
         F.col("tx_hash").alias("agent_id"), F.col("agent_uri").alias("agent_uri_at_registration"),
-        "log_index")
+        "log_index"), "registered")
     answers = rows.where("log_index % 7 <> 0").select("agent_id", F.concat(
         F.lit("https://h"), (F.col("log_index") % 97).cast("string"), F.lit(".test/ü")).alias("uri"))
     return study.with_current_uris(rows, answers).select(
