@@ -111,36 +111,29 @@ HTTP_CATEGORIES = {
 # --- fixed values: hosts whose answer is no evidence of a working agent ------------------
 
 GENERIC_HOSTS = (
-    # code hosting and package registries
     "github.com", "raw.githubusercontent.com", "gist.github.com",
     "githubusercontent.com", "gitlab.com", "bitbucket.org", "sourceforge.net",
     "npmjs.com", "pypi.org",
-    # social and messaging
     "facebook.com", "twitter.com", "x.com", "t.me", "telegram.me",
     "discord.com", "discord.gg", "linkedin.com", "instagram.com",
     "youtube.com", "youtu.be", "reddit.com", "medium.com", "mirror.xyz",
     "warpcast.com", "farcaster.xyz",
-    # public gateways
     "ipfs.io", "cloudflare-ipfs.com", "dweb.link", "gateway.pinata.cloud",
     "pinata.cloud", "mypinata.cloud", "nftstorage.link", "w3s.link",
     "4everland.io", "ipfs.filebase.io", "arweave.net", "gateway.irys.xyz",
-    # specifications, documentation and naming
     "eips.ethereum.org", "ethereum.org", "schema.org", "w3.org",
     "base.eth", "docs.google.com", "drive.google.com",
     "notion.so", "notion.site",
-    # placeholders
     "example.com", "example.org", "localhost",
 )
 
 # --- fixed values: hosts where a shared name says nothing about a shared operator -------
 
 HOSTING_ONLY_HOSTS = (
-    # object storage and CDNs
     "amazonaws.com", "storage.googleapis.com", "blob.core.windows.net",
     "digitaloceanspaces.com", "r2.cloudflarestorage.com", "r2.dev",
     "cloudfront.net", "b-cdn.net", "fastly.net", "akamaized.net",
     "azureedge.net", "supabase.co",
-    # application hosting, one subdomain per tenant
     "vercel.app", "netlify.app", "workers.dev", "pages.dev", "github.io",
     "gitlab.io", "onrender.com", "fly.dev", "railway.app", "herokuapp.com",
     "web.app", "firebaseapp.com", "ngrok.io", "ngrok-free.app",
@@ -163,3 +156,13 @@ BUCKET_SUFFIXES = (
     "r2.cloudflarestorage.com", "r2.dev", "supabase.co", "cloudfront.net",
     "b-cdn.net", "fastly.net", "akamaized.net", "azureedge.net",
 )
+
+# --- fixed values: texts of the published documents -------------------------------------
+
+CENSORED_NOTE = ("not measured: excluded by request, disallowed by robots.txt, or throttled on "
+                 "both passes. Kept out of every denominator rather than counted as dead.")
+SURVIVAL_NOTE = ("Survival at {days} days needs {days} days of measurements. There are {span}. "
+                 "The horizons below are computed on whatever qualifies so far and will be empty "
+                 "or unstable until then.")
+UNDETERMINED_DETAIL = "throttled on both passes; not counted for or against the agent"
+DATA_LICENSE = "CC BY 4.0"

@@ -42,7 +42,7 @@ def _picks(arcs: DataFrame, round_no: int, by_degree: bool, hot_rows: int,
         # Each arc learns the degree of its source; its target sees that as a neighbour's.
         weights = degrees.withColumn("weight", F.col("arcs"))
         offers = attach(arcs, _local(weights, arc_total // 2), "a", "arcs", hot_rows,
-                        total_rows=arc_total)
+                        at_most=arc_total)
         own_weight = F.col("arcs")
 
     def bid(weight: Column, vertex: Column) -> Column:
@@ -82,7 +82,7 @@ def component_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
                 target = picks.select(F.col("vertex").alias(end), F.col("pick").alias("_pick"),
                                       "arcs")
                 rewritten = attach(rewritten, _local(target, left), end, "arcs", hot_rows,
-                                   total_rows=left) \
+                                   at_most=left) \
                     .drop(end).withColumnRenamed("_pick", end)
             before = left
             current, left = scratch.write(_ordered(rewritten))

@@ -45,7 +45,7 @@ def with_project(checks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     per_anchor = sizes.join(labels.withColumnRenamed("vertex", "_anchor"), "_anchor", "left") \
         .select("_anchor", "_rows", F.coalesce("label", "_anchor").alias("project"))
     return attach(anchored, per_anchor, "_anchor", "_rows", hot_rows,
-                  total_rows=total).drop("_anchor")
+                  at_most=total).drop("_anchor")
 
 
 def project_funnel(checks: DataFrame) -> DataFrame:

@@ -20,17 +20,17 @@ def hot_keys(per_key: DataFrame, key: str, count: str, threshold: int = HOT_ROWS
 
 def attach(rows: DataFrame, per_key: DataFrame, key: str, count: str,
            threshold: int = HOT_ROWS, how: str = "inner",
-           total_rows: int | None = None) -> DataFrame:
+           at_most: int | None = None) -> DataFrame:
     """
     Join `per_key` (one row per key, with its row count) to `rows`.
 
     Rows of hot keys are spread over SALTS reducers and their per-key row is repeated that
     often; every other key has the single salt 0. The salt follows the input partition, so
     exact copies of one row spread as well, and a task run again sends its rows to the same
-    place. The count column is dropped. If the number of rows is known to be below the
-    threshold, no key can be hot and this is an ordinary join.
+    place. The count column is dropped. If no key can have more than `at_most` rows and that is
+    below the threshold, no key is hot and this is an ordinary join.
     """
-    if total_rows is not None and total_rows < threshold:
+    if at_most is not None and at_most < threshold:
         return rows.join(per_key.drop(count), key, how)
     hot = F.broadcast(hot_keys(per_key, key, count, threshold)
                       .select(F.col(key), F.lit(True).alias("_hot")))

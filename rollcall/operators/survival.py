@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.constants import SURVIVAL_HORIZONS_DAYS, SURVIVAL_TOLERANCE_DAYS
+from rollcall.constants import SURVIVAL_HORIZONS_DAYS, SURVIVAL_NOTE, \
+    SURVIVAL_TOLERANCE_DAYS
 from rollcall.functions.stats import wilson_columns
 from rollcall.functions.text import month
 from rollcall.operators.funnel import is_censored
 from rollcall.operators.skew import HOT_ROWS, attach
+from rollcall.session import materialise
 
 DAY = 86_400_000_000  # microseconds
 
@@ -54,17 +56,20 @@ def agent_outcomes(history: DataFrame, agents: DataFrame,
     symmetric. Among equally near checks the earlier wins, then a dead one.
 
     Nearness, side and verdict are packed into one number, so the choice is a plain minimum
-    that is taken before the shuffle.
+    that is taken before the shuffle. The anchors, one row per agent, are written once; they
+    also tell whether any agent has so many checks that the join must be spread.
     """
     anchors = history.groupBy("agent_id").agg(
         F.min(F.when(F.col("live"), F.col("at"))).alias("anchor"),
         F.count(F.lit(1)).alias("_checks")).where("anchor IS NOT NULL")
+    anchors = materialise(anchors, "anchors")
+    most = anchors.agg(F.max("_checks")).first()[0] or 0
     offset = F.col("at") - F.col("anchor") - F.col("horizon_days") * F.lit(DAY)
     inside = (offset >= -tolerance_days * DAY) & (offset < (tolerance_days + 1) * DAY) \
         & (F.col("at") > F.col("anchor"))
     packed = F.abs(offset) * 4 + F.when(offset > 0, 2).otherwise(0) \
         + F.when(F.col("live"), 1).otherwise(0)
-    nearest = attach(history, anchors, "agent_id", "_checks", hot_rows) \
+    nearest = attach(history, anchors, "agent_id", "_checks", hot_rows, at_most=most) \
         .withColumn("horizon_days", F.explode(F.array(*[F.lit(h) for h in horizons]))) \
         .where(inside).groupBy("agent_id", "horizon_days").agg(F.min(packed).alias("_best"))
     known = agents.select("agent_id", month(F.col("registered_at")).alias("month"))
@@ -101,11 +106,7 @@ def survival_status(history: DataFrame, agents: DataFrame,
     one_digit = lambda c: F.floor(c * 10 + F.lit(0.5)) / F.lit(10.0)
     enough = F.col("_span") >= first_horizon
     span_text = F.format_string("%.1f", one_digit(F.col("_span")))
-    days = str(min(horizons))
-    note = F.concat(F.lit(f"Survival at {days} days needs {days} days of measurements. "
-                          "There are "), span_text,
-                    F.lit(". The horizons below are computed on whatever qualifies so far and "
-                          "will be empty or unstable until then."))
+    note = F.format_string(SURVIVAL_NOTE.format(days=min(horizons), span="%s"), span_text)
     return totals.select(
         F.when(enough, "ok").otherwise("insufficient_history").alias("status"),
         one_digit(F.col("_span")).alias("history_span_days"),

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.constants import CANONICAL_TYPES, GATEWAYS, MAX_DOCUMENT_BYTES, MAX_ENDPOINTS, \
-    STUDY_CANONICAL_TYPES, STUDY_GATEWAYS
+    STUDY_CANONICAL_TYPES, STUDY_GATEWAYS, UNDETERMINED_DETAIL
 from rollcall.functions.document import analyse_documents
 from rollcall.functions.failures import error_category, http_category, looks_throttled
 from rollcall.functions.staging import stage
@@ -326,7 +326,7 @@ def reconcile(checks: DataFrame) -> DataFrame:
         "failure_category": F.when(twice, "undetermined")
         .otherwise(F.col("_row.failure_category")),
         "failure_detail": F.when(
-            twice, "throttled on both passes; not counted for or against the agent")
+            twice, UNDETERMINED_DETAIL)
         .otherwise(F.col("_row.failure_detail")),
     }
     return kept.select("run_id", "agent_id",

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollcall.constants import REGISTRY_CHAIN, REGISTRY_CHAIN_ID, REGISTRY_CONTRACT, STAGES, \
-    SURVIVAL_HORIZONS_DAYS, SURVIVAL_TOLERANCE_DAYS
+from rollcall.constants import CENSORED_NOTE, DATA_LICENSE, REGISTRY_CHAIN, REGISTRY_CHAIN_ID, \
+    REGISTRY_CONTRACT, STAGES, SURVIVAL_HORIZONS_DAYS, SURVIVAL_TOLERANCE_DAYS
 from rollcall.functions.stats import wilson
 from rollcall.functions.text import iso
 from rollcall.operators import funnel, projects, runs, survival, totals
 from rollcall.session import materialise
 from rollcall.sources.jsondocs import DOCUMENTS
 
-LICENSE = "CC BY 4.0"
-CENSOR_NOTE = ("not measured: excluded by request, disallowed by robots.txt, or throttled on "
-               "both passes. Kept out of every denominator rather than counted as dead.")
-
 
 def headline_figures(registry: DataFrame, by_agent: DataFrame, by_owner: DataFrame) -> DataFrame:
     """The number the page exists for: final-stage share per agent and per owner."""
@@ -110,7 +106,7 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     top = projects.top_projects(grouped, limit)
     liveness = F.struct(
         F.lit("ok").alias("status"), run_value.alias("run"),
-        F.struct(skipped_count.alias("n"), F.lit(CENSOR_NOTE).alias("note"),
+        F.struct(skipped_count.alias("n"), F.lit(CENSORED_NOTE).alias("note"),
                  _failures_value(skipped).alias("by_category")).alias("censored"),
         _funnel_value(funnel.agent_funnel(measured)).alias("by_agent"),
         _funnel_value(funnel.owner_funnel(measured)).alias("by_owner"),
@@ -165,7 +161,7 @@ def documents(summary_row: DataFrame, source: str = "") -> DataFrame:
     """
     row = materialise(summary_row, "summary")
     c = F.col
-    src, licence = F.lit(source).alias("source"), F.lit(LICENSE).alias("license")
+    src, licence = F.lit(source).alias("source"), F.lit(DATA_LICENSE).alias("license")
     contents = {
         "summary.json": F.struct("generated_at", "registry", "registrations_monthly",
                                  "liveness", "survival"),

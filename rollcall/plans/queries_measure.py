@@ -13,6 +13,7 @@ from rollcall.functions.text import sha256_hex
 from rollcall.operators import state, verdict
 from rollcall.plans import bindings as b
 from rollcall.plans.catalog import query
+from rollcall.session import materialise
 
 # --- URIs -------------------------------------------------------------------------------
 
@@ -272,7 +273,7 @@ GRADED_SQL = f"""cases AS (SELECT {b.CASE_COLUMNS} FROM orders),
 
 
 def _graded(spark, sf_dir):
-    targets = b.probe_targets(spark, sf_dir)
+    targets = materialise(b.probe_targets(spark, sf_dir), "targets")
     return verdict.grade(targets.select("run_id", "agent_id", "pass", "uri", "checked_at"),
                          b.fetches(targets), b.endpoint_probes(targets))
 
@@ -361,7 +362,7 @@ def retry_counters(spark, sf_dir):
     CASE WHEN u = 5 THEN 'site.test' WHEN u > 5 THEN 'b.co.uk' ELSE 'old.test' END
         AS uri_root_domain, u >= 5 AS host_changed FROM graded WHERE pass = 1""")
 def agent_hosts(spark, sf_dir):
-    targets = b.probe_targets(spark, sf_dir).where("pass = 1")
+    targets = materialise(b.probe_targets(spark, sf_dir).where("pass = 1"), "targets")
     first = verdict.grade(targets.select("run_id", "agent_id", "pass", "uri", "checked_at"),
                           b.fetches(targets), b.endpoint_probes(targets))
     agents = targets.select("agent_id", F.lit("old.test").alias("uri_host"),

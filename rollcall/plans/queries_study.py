@@ -197,8 +197,8 @@ def owner_top5(spark, sf_dir):
     FROM t""")
 def study_verdict(spark, sf_dir):
     """The same attempts under the study's rules, which know neither robots nor exclusions."""
-    targets = b.probe_targets(spark, sf_dir).where(
-        "pass = 1 AND q <> 4 AND NOT (u = 2 AND q % 3 = 2) AND d <> 6")
+    targets = materialise(b.probe_targets(spark, sf_dir).where(
+        "pass = 1 AND q <> 4 AND NOT (u = 2 AND q % 3 = 2) AND d <> 6"), "targets")
     rows = targets.select("run_id", "agent_id", "pass", "uri", F.lit("").alias("owner"),
                           F.lit("agent_uri_current").alias("uri_source"), "checked_at")
     graded = verdict.grade_study(rows, _study_fetches(targets), b.endpoint_probes(targets))
