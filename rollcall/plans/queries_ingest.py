@@ -189,7 +189,8 @@ def block_clock(spark, sf_dir):
 @query("readable_through", """WITH ranges AS (SELECT CAST(day(ts) AS BIGINT) * 100 AS from_block,
         CAST(day(ts) AS BIGINT) * 100 + 99 AS to_block, count(*) FILTER (WHERE event_id % 5000 = 0
             AND day(ts) > 3) = 0 AS readable FROM events GROUP BY ALL)
-    SELECT min(from_block) - 1 AS commit_to FROM ranges WHERE NOT readable""")
+    SELECT coalesce((SELECT min(from_block) - 1 FROM ranges WHERE NOT readable),
+        (SELECT max(to_block) FROM ranges)) AS commit_to""")
 def readable_through(spark, sf_dir):
     """Days as block ranges; a day that holds a certain event could not be read."""
     day = F.day("ts").cast("bigint")
