@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import setsketch
+from rollcall.llm import classifier, setsketch
 from rollcall.llm.queries import query, table
 
 
 @query("op3_minhash_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+LEARNING = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> classifier.Model:
+    labels = table(spark, sf_dir, "labels").where(LEARNING) \
+        .select("doc_id", (F.col("quality") == 1).alias("good"))
+    return classifier.train(table(spark, sf_dir, "documents"), labels)
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = classifier.score(F.col("text"), quality_model(spark, sf_dir))
+    return table(spark, sf_dir, "documents") \
+        .select("doc_id", F.coalesce(~F.expr(LEARNING), F.lit(False)).alias("held_out"),
+                score.alias("score")) \
+        .withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int"))
