@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import classifier, setsketch
+from rollcall.llm import classifier, packing, setsketch
 from rollcall.llm.queries import query, table
 
 
@@ -29,3 +30,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", F.coalesce(~F.expr(LEARNING), F.lit(False)).alias("held_out"),
                 score.alias("score")) \
         .withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int"))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length",
+                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
