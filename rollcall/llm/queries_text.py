@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import classifier, packing, setsketch
+from rollcall.llm import classifier, packing, setsketch, sharding
 from rollcall.llm.queries import query, table
 
 
@@ -38,3 +38,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length",
                          F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op10_histogram_sharding")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    return sharded.select("doc_id", "size", F.crc32("text").alias("text_crc32"),
+                          F.lit("bytes").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
