@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import classifier, packing, setsketch, sharding
+from rollcall.llm import classifier, mixing, packing, setsketch, sharding
 from rollcall.llm.queries import query, table
 
 
@@ -46,3 +46,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "size", F.crc32("text").alias("text_crc32"),
                           F.lit("bytes").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op4_source_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken()
