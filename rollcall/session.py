@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -20,10 +21,18 @@ SQL_SETTINGS = {
 }
 
 
+# Where this package lies, for Python workers that start elsewhere. Clusters install it.
+_HOME = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session somebody else created."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _HOME not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, _HOME])
     return spark
 
 
@@ -46,6 +55,10 @@ def local_session(name: str = "rollcall", cores: int | str = "*", memory: str =
     return tune(spark)
 
 
+# The fallback of each local application; the setting itself cannot be changed at run time.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """
     The folder for intermediate tables: the one the cluster names in spark.checkpoint.dir.
@@ -58,9 +71,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can read")
-    fallback = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
