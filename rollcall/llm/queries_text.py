@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import classifier, mixing, packing, setsketch, sharding
+from rollcall.llm import classifier, mixing, packing, passages, setsketch, sharding
 from rollcall.llm.queries import query, table
 
 
@@ -51,3 +51,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_source_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
+
+
+@query("op8_passage_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = passages.without_repeats(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "units", F.to_json("removed").alias("removed"),
+                        F.length("text").alias("kept_chars"),
+                        F.crc32("text").alias("text_crc32"))
