@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import urlfilter
+from rollcall.llm import html_text, urlfilter
 from rollcall.llm.queries import query, table
 
 URL_RULES = """('org', '/', 'allow'), ('example.org', '/es/', 'block'),
@@ -31,3 +31,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS r(host, path, verdict)")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", "text", F.length("text").alias("n_chars"))
