@@ -17,16 +17,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 LEARNING = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
 
 
-def quality_model(spark: SparkSession, sf_dir: str) -> classifier.Model:
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> classifier.Model:
+    """A model of labels.quality, from labels outside the fold that is held out."""
     labels = table(spark, sf_dir, "labels").where(LEARNING) \
         .select("doc_id", (F.col("quality") == 1).alias("good"))
-    return classifier.train(table(spark, sf_dir, "documents"), labels)
+    return classifier.train(docs, labels)
 
 
 @query("op1_quality_classifier")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = classifier.score(F.col("text"), quality_model(spark, sf_dir))
-    return table(spark, sf_dir, "documents") \
+    docs = table(spark, sf_dir, "documents")
+    score = classifier.score(F.col("text"), quality_model(spark, sf_dir, docs))
+    return docs \
         .select("doc_id", F.coalesce(~F.expr(LEARNING), F.lit(False)).alias("held_out"),
                 score.alias("score")) \
         .withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int"))
