@@ -33,6 +33,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("ul ol menu dir".split())
 SECTIONS = frozenset("tbody thead tfoot".split())
 CELLS = frozenset("td th".split())
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 BARRIER = frozenset("table td th caption html template object marquee".split())
 # A start tag on the left ends the nearest open element on the right, if none of the last
 # column is between them.
@@ -145,10 +146,19 @@ class _Builder:
             self.pop_to(len(self.open) - 1)
         elif tag in ("html", "body"):
             self.leave_head()
+        elif tag in FORMATTING:
+            # Blocks opened inside stay open: only the formatting ends.
+            if place := self.find({tag}, BARRIER):
+                if any(n.tag in CLOSES_P for n in self.open[place + 1:]):
+                    self.count[tag] -= 1
+                    del self.open[place]
+                else:
+                    self.pop_to(place)
         else:
             tags = HEADINGS if tag in HEADINGS else {tag}
-            own = {"table"} if tag in CELLS | SECTIONS | {"tr", "caption"} else BARRIER - {tag}
-            self.end(tags, own - tags)
+            own = {"template"} if tag == "table" else {"table"} if tag in \
+                CELLS | SECTIONS | {"tr", "caption"} else BARRIER - tags
+            self.end(tags, own)
 
     def text(self, text: str) -> None:
         if self.open[-1].tag == "head" and text.strip(" \t\n\f\r"):
