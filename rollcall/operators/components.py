@@ -1,123 +1,55 @@
 """
-Connected components of a graph given as edges, by randomised contraction.
-
-In each round every vertex picks the neighbour (or itself) with the best rank, and edges are
-rewritten to the picked vertices. Normally the vertex with the most edges wins, which folds a
-hub and all its leaves at once. After a round that removed less than half of the edges a hash
-decides once, which shrinks the vertex set by a constant factor in expectation on any graph,
-long chains too. So the number of rounds grows with the logarithm of the size, and each round
-reads what the previous one left. The picks of all rounds, put behind each other, give the labels.
-Method after Bögeholz, Brand and Todor, "In-database connected component analysis" (2020).
+Connected components of a graph given as edges, by alternating star rounds.
+
+Large star: every vertex tells its higher neighbours the lowest vertex it knows. Small star: it
+tells its lower ones, and keeps to the lowest itself. In the end every vertex hangs on the lowest
+of its component (Kiveris and others, "Connected components in MapReduce and beyond", 2014). The
+rounds grow with the square of the logarithm of the size at most. A hub is aggregated before the
+shuffle, and the join that tells its neighbours is split by the adaptive planner. Each round reads
+what the one before wrote to the shared folder, so a lost executor costs a part of one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from rollcall.operators.skew import HOT_ROWS, attach
-from rollcall.session import Scratch, materialise
-
-MAX_ROUNDS = 200
-
-
-# A graph of at most this many edges, a few megabytes, is handled in one partition: then no
-# step needs a shuffle, and a round is a single short job. Counted before it is relied on.
-SMALL_EDGES = 100_000
-
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select(F.inline(F.array(F.struct("a", "b"),
-                                         F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-
-
-def _picks(arcs: DataFrame, round_no: int, by_degree: bool, hot_rows: int,
-           arc_total: int) -> DataFrame:
-    """vertex -> picked vertex, with the number of arcs of the vertex."""
-    arc_count = F.count(F.lit(1)).alias("arcs")
-    if not by_degree:
-        offers = arcs.withColumn("weight", F.lit(0).cast("bigint"))
-        own_weight = F.lit(0).cast("bigint")
-    else:
-        degrees = arcs.groupBy("a").agg(arc_count)
-        # Each arc learns the degree of its source; its target sees that as a neighbour's.
-        weights = degrees.withColumn("weight", F.col("arcs"))
-        offers = attach(arcs, _local(weights, arc_total // 2), "a", "arcs", hot_rows,
-                        at_most=arc_total)
-        own_weight = F.col("arcs")
-
-    def bid(weight: Column, vertex: Column) -> Column:
-        return F.struct(weight.alias("weight"),
-                        F.xxhash64(vertex, F.lit(round_no)).alias("hash"),
-                        vertex.alias("vertex"))
+from pyspark.sql import DataFrame, Observation, functions as F
 
-    grouped = offers.groupBy(F.col("b").alias("vertex")).agg(
-        F.max(bid(F.col("weight"), F.col("a"))).alias("best"), arc_count)
-    winner = F.greatest(F.col("best"), bid(own_weight, F.col("vertex")))
-    return grouped.select("vertex", winner["vertex"].alias("pick"), "arcs")
+from rollcall.session import discard, fresh_path
 
 
-def component_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def component_labels(edges: DataFrame) -> DataFrame:
     """
-    (vertex, label) for every vertex of the edges (a, b); two vertices share a label exactly
-    if they are connected. Labels are vertices.
-
-    The edges of each round are written to the shared folder. The picks are only cached: they
-    are one aggregation away from those files, so a lost executor costs little.
+    (vertex, label) for every vertex of the edges (a, b), of any type with an order; the label is
+    the lowest vertex of the component. Loops and nulls are left out.
     """
-    scratch = Scratch(edges.sparkSession, "edges")
-    current, left = scratch.write(_ordered(edges))
-    rounds: list[DataFrame] = []
-    by_degree = True
-    try:
-        while left:
-            if left <= SMALL_EDGES:
-                current = current.coalesce(1)
-            if len(rounds) == MAX_ROUNDS:
-                raise RuntimeError("components did not converge")
-            picks = _picks(_both_ways(current), len(rounds), by_degree, hot_rows,
-                           2 * left).persist()
-            rounds.append(picks)
-            rewritten = current
-            for end in ("a", "b"):
-                target = picks.select(F.col("vertex").alias(end), F.col("pick").alias("_pick"),
-                                      "arcs")
-                rewritten = attach(rewritten, _local(target, left), end, "arcs", hot_rows,
-                                   at_most=left) \
-                    .drop(end).withColumnRenamed("_pick", end)
-            before = left
-            current, left = scratch.write(_ordered(rewritten))
-            by_degree = not by_degree or 2 * left <= before
-        return materialise(_follow(rounds, edges), "labels")
-    finally:
-        for picks in rounds:
-            picks.unpersist()
-        scratch.remove()
-
-
-def _local(per_key: DataFrame, edges: int) -> DataFrame:
-    """Two single partitions are joined where they are; a broadcast would be one more job."""
-    return per_key.coalesce(1).hint("shuffle_hash") if edges <= SMALL_EDGES else per_key
-
-
-def _ordered(edges: DataFrame) -> DataFrame:
-    """Distinct edges without loops, the smaller end first."""
-    return edges.where("a <> b") \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _follow(rounds: list[DataFrame], edges: DataFrame) -> DataFrame:
-    """
-    Put the picks of all rounds behind each other, last round first.
-
-    Each round has a fraction of the vertices of the one before, so the joins together cost
-    about as much as the first.
-    """
-    if not rounds:
-        return edges.select(F.col("a").alias("vertex"), F.col("a").alias("label")).limit(0)
-    chain = [picks.select("vertex", F.col("pick").alias("label")) for picks in rounds]
-    labels = chain[-1]
-    for picks in reversed(chain[:-1]):
-        later = labels.select(F.col("vertex").alias("label"), F.col("label").alias("_final"))
-        labels = picks.join(later, "label", "left") \
-            .select("vertex", F.coalesce("_final", "label").alias("label"))
-    return labels
+    base = fresh_path(edges.sparkSession, "edges")
+    current, mark = _stored(edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{base}/0")
+    done, turn = None, 0
+    # A round that leaves all edges as they are is the last; every other brings one lower.
+    while mark[0] and mark != done:
+        done, turn = mark, turn + 1
+        current, mark = _stored(_round(current), f"{base}/{turn}")
+        discard(edges.sparkSession, f"{base}/{turn - 1}")
+    lowest = current.select("b").distinct().select(F.col("b").alias("a"), "b")
+    return current.union(lowest).toDF("vertex", "label")
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    both = edges.select(F.inline(F.array(F.struct("a", "b"),
+                                         F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+    known = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+    large = both.where("b > a").join(known, "a") \
+        .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    known = large.groupBy("a").agg(F.min("b").alias("low"))
+    moved = large.join(known, "a").where("b <> low") \
+        .select(F.col("b").alias("a"), F.col("low").alias("b"))
+    return moved.union(known).distinct()
+
+
+def _stored(edges: DataFrame, path: str) -> tuple[DataFrame, tuple[int, int]]:
+    """Write edges; their number and a sum of hashes tell one set of edges from another."""
+    seen = Observation()
+    edges.observe(seen, F.count(F.lit(1)).alias("edges"), F.sum(
+        F.xxhash64("a", "b") % 1_000_000_007).alias("sum")).write.parquet(path)
+    return edges.sparkSession.read.schema(edges.schema).parquet(path), \
+        (seen.get["edges"], seen.get["sum"])

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rollcall.functions.uri import is_shared_hosting
 from rollcall.operators.components import component_labels
 from rollcall.operators.funnel import group_funnel, owner_key
-from rollcall.operators.skew import HOT_ROWS, attach
-from rollcall.session import materialise_counted
 
 
 def linking_domain(domain: Column) -> Column:
@@ -23,29 +21,25 @@ def linking_domain(domain: Column) -> Column:
     return F.when(low.isNotNull() & ~is_shared_hosting(low), low)
 
 
-def with_project(checks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_project(checks: DataFrame) -> DataFrame:
     """
     Add `project`, equal for two rows exactly if their agents belong together.
 
-    An agent with neither an owner nor a linking domain is its own project. The rows are read
-    three times, so they are written once first, with their two keys.
+    An agent with neither an owner nor a linking domain is its own project. Only the distinct
+    pairs of owner and domain are written; the labels come back to the rows by a join that the
+    adaptive planner splits where one owner has very many rows.
     """
     owner = F.concat(F.lit("owner "), owner_key(F.col("owner")))
     domain = F.concat(F.lit("domain "), linking_domain(F.col("uri_root_domain")))
-    tagged, total = materialise_counted(
-        checks.withColumns({"_owner": owner, "_domain": domain}), "checks")
-    pairs = tagged.where("_owner IS NOT NULL AND _domain IS NOT NULL") \
-        .groupBy(F.col("_owner").alias("a"), F.col("_domain").alias("b")).agg(
-        F.count(F.lit(1)).alias("agents"))
-    labels = component_labels(pairs.select("a", "b"), hot_rows)
-    anchor = F.coalesce("_owner", "_domain", F.concat(F.lit("agent "), F.col("agent_id")))
-    anchored = tagged.withColumn("_anchor", anchor).drop("_owner", "_domain")
-    sizes = anchored.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_rows"))
+    tagged = checks.withColumns({"_owner": owner, "_domain": domain})
+    labels = component_labels(tagged.where("_owner IS NOT NULL AND _domain IS NOT NULL").select(
+        F.col("_owner").alias("a"), F.col("_domain").alias("b")))
     # Owners or domains that occur alone carry no edge and label themselves.
-    per_anchor = sizes.join(labels.withColumnRenamed("vertex", "_anchor"), "_anchor", "left") \
-        .select("_anchor", "_rows", F.coalesce("label", "_anchor").alias("project"))
-    return attach(anchored, per_anchor, "_anchor", "_rows", hot_rows,
-                  at_most=total).drop("_anchor")
+    anchor = F.coalesce("_owner", "_domain", F.concat(F.lit("agent "), F.col("agent_id")))
+    return tagged.withColumn("_anchor", anchor) \
+        .join(labels.withColumnRenamed("vertex", "_anchor"), "_anchor", "left") \
+        .withColumn("project", F.coalesce("label", "_anchor")) \
+        .drop("_owner", "_domain", "_anchor", "label")
 
 
 def project_funnel(checks: DataFrame) -> DataFrame:

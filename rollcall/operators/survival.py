@@ -11,8 +11,6 @@ from rollcall.constants import SURVIVAL_HORIZONS_DAYS, SURVIVAL_NOTE, \
 from rollcall.functions.stats import wilson_columns
 from rollcall.functions.text import month
 from rollcall.operators.funnel import is_censored
-from rollcall.operators.skew import HOT_ROWS, attach
-from rollcall.session import materialise
 
 DAY = 86_400_000_000  # microseconds
 
@@ -45,8 +43,7 @@ def panel_history(checks: DataFrame, runs: DataFrame, censor: str = "as_dead") -
 
 def agent_outcomes(history: DataFrame, agents: DataFrame,
                    horizons: Sequence[int] = SURVIVAL_HORIZONS_DAYS,
-                   tolerance_days: int = SURVIVAL_TOLERANCE_DAYS,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   tolerance_days: int = SURVIVAL_TOLERANCE_DAYS) -> DataFrame:
     """
     (agent_id, horizon_days, survived, month): the verdict of each agent that has one.
 
@@ -56,20 +53,17 @@ def agent_outcomes(history: DataFrame, agents: DataFrame,
     symmetric. Among equally near checks the earlier wins, then a dead one.
 
     Nearness, side and verdict are packed into one number, so the choice is a plain minimum
-    that is taken before the shuffle. The anchors, one row per agent, are written once; they
-    also tell whether any agent has so many checks that the join must be spread.
+    that is taken before the shuffle. The join with the anchors, one row per agent, is split by the
+    adaptive planner where an agent has very many checks.
     """
     anchors = history.groupBy("agent_id").agg(
-        F.min(F.when(F.col("live"), F.col("at"))).alias("anchor"),
-        F.count(F.lit(1)).alias("_checks")).where("anchor IS NOT NULL")
-    anchors = materialise(anchors, "anchors")
-    most = anchors.agg(F.max("_checks")).first()[0] or 0
+        F.min(F.when(F.col("live"), F.col("at"))).alias("anchor")).where("anchor IS NOT NULL")
     offset = F.col("at") - F.col("anchor") - F.col("horizon_days") * F.lit(DAY)
     inside = (offset >= -tolerance_days * DAY) & (offset < (tolerance_days + 1) * DAY) \
         & (F.col("at") > F.col("anchor"))
     packed = F.abs(offset) * 4 + F.when(offset > 0, 2).otherwise(0) \
         + F.when(F.col("live"), 1).otherwise(0)
-    nearest = attach(history, anchors, "agent_id", "_checks", hot_rows, at_most=most) \
+    nearest = history.join(anchors, "agent_id") \
         .withColumn("horizon_days", F.explode(F.array(*[F.lit(h) for h in horizons]))) \
         .where(inside).groupBy("agent_id", "horizon_days").agg(F.min(packed).alias("_best"))
     known = agents.select("agent_id", month(F.col("registered_at")).alias("month"))

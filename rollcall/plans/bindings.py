@@ -28,13 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """
-    Deal a scan that comes in fewer pieces than there are cores out to all of them.
+    Deal rows out to all cores before costly work on each, whatever their number.
 
-    The small benchmark files are one row group each, so costly work on them would run in one
-    task. Files of a real size are split by the scan and are left as they are.
+    The benchmark files are one row group each, which a scan cannot cut.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 # --- event log from `events` ------------------------------------------------------------

@@ -385,12 +385,10 @@ def run_ledger(spark, sf_dir):
     SELECT agent_id, min(agent_id) OVER (PARTITION BY project) AS first_agent,
         count(*) OVER (PARTITION BY project) AS agents FROM projects""")
 def project_components(spark, sf_dir):
-    from rollcall.operators.skew import attach
-
     rows = projects.with_project(funnel.analysed(b.document_checks(spark, sf_dir))) \
         .select("agent_id", "project")
     names = projects.project_names(rows)
-    return attach(rows, names.withColumn("_n", F.col("agents")), "project", "_n") \
+    return rows.join(names, "project") \
         .select("agent_id", "first_agent", "agents")
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. All of them can be set on a running session.
 SQL_SETTINGS = {
@@ -77,32 +77,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+# Intermediate tables of each application that have not been removed yet.
+_WRITTEN: dict[str, list[str]] = {}
 
 
-def _write_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path for an intermediate table; `clean` removes what lies there."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-class Scratch:
-    """Intermediate tables of one job in the shared folder, removed when it is done."""
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.path = fresh_path(spark, label)
-        self.count = 0
 
-    def write(self, df: DataFrame) -> tuple[DataFrame, int]:
-        """The table as written and its number of rows, counted on the way."""
-        self.count += 1
-        return _write_counted(df, f"{self.path}/{self.count}")
+def clean(spark: SparkSession) -> int:
+    """
+    Remove all intermediate tables of this application; how many there were.
 
-    def remove(self) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+    To be called when a job is over and its results are written: frames that were made before
+    can no longer be read.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        discard(spark, path)
+    return len(paths)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -116,7 +118,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    return _write_counted(df, fresh_path(df.sparkSession, label))

@@ -3,10 +3,9 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from rollcall.operators import components, projects
-from rollcall.operators.skew import attach
+from rollcall.session import clean
 
 
 def groups_of(edges):
@@ -27,10 +26,10 @@ def groups_of(edges):
     return {frozenset(g) for g in found.values()}
 
 
-def labelled(spark, edges, **kw):
+def labelled(spark, edges):
     frame = spark.createDataFrame(edges, "a string, b string")
     found = {}
-    for row in components.component_labels(frame, **kw).collect():
+    for row in components.component_labels(frame).collect():
         found.setdefault(row.label, set()).add(row.vertex)
     return {frozenset(g) for g in found.values()}
 
@@ -52,29 +51,20 @@ def test_components(spark, name):
     assert labelled(spark, edges) == wanted
 
 
-def test_components_with_hot_vertices(spark, monkeypatch):
-    """The salted joins and the shuffled rounds give the same groups."""
-    monkeypatch.setattr(components, "SMALL_EDGES", 0)
-    edges = GRAPHS["two stars with a bridge"]
-    assert labelled(spark, edges, hot_rows=5) == groups_of(edges)
+def test_large_chain_and_star(spark):
+    """Graphs of more edges than one short job handles at a time."""
+    star = spark.range(1, 150_000).selectExpr("'hub' AS a", "concat('leaf', id) AS b")
+    chain = spark.range(3000).selectExpr("lpad(id, 5, '0') AS a", "lpad(id + 1, 5, '0') AS b")
+    labels = components.component_labels(star.union(chain))
+    assert sorted(tuple(r) for r in labels.groupBy("label").count().collect()) == \
+        [("00000", 3001), ("hub", 150_000)]
+    assert clean(spark) > 0
 
 
 def test_no_edges(spark):
     assert labelled(spark, [("a", "a")]) == set()
 
 
-def test_attach_spreads_copies(spark):
-    """A third of all rows are copies of one key; every row keeps its partner."""
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("name", F.concat(F.lit("is "), "k"))
-    joined = attach(rows, per_key, "k", "n", threshold=100)
-    assert joined.columns == ["k", "name"]
-    assert joined.groupBy((F.col("name") == F.concat(F.lit("is "), "k")).alias("ok")) \
-        .count().collect() == [(True, 3000)]
-
-
 AGENTS = [
     # agent, owner, domain: a and b share an owner, b and c a domain
     ("a", "O1", None), ("b", "o1", "d1.test"), ("c", "o3", "D1.test"), ("d", "o4", "ipfs.io"),

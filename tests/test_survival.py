@@ -8,7 +8,7 @@ START = dt.datetime(2026, 1, 1)
 DAYS = dt.timedelta(days=1)
 
 
-def outcome(spark, checks, horizons=(30, 90), tolerance=7, hot_rows=1_000_000, **kw):
+def outcome(spark, checks, horizons=(30, 90), tolerance=7, **kw):
     """checks: (agent, time, live) or (agent, time, live, category)."""
     rows = [(1, a, START + at, live, *(rest or (None,))) for a, at, live, *rest in checks]
     table = spark.createDataFrame(
@@ -19,7 +19,7 @@ def outcome(spark, checks, horizons=(30, 90), tolerance=7, hot_rows=1_000_000, *
     agents = table.select("agent_id").distinct().selectExpr(
         "agent_id", "timestamp '2025-12-01' AS registered_at")
     history = survival.panel_history(table, runs, **kw)
-    return survival.agent_outcomes(history, agents, horizons, tolerance, hot_rows), horizons
+    return survival.agent_outcomes(history, agents, horizons, tolerance), horizons
 
 
 def counts(result):
@@ -42,10 +42,6 @@ def test_published_check(spark):
     assert counts(outcome(spark, history())) == [(30, 50), (20, 50)]
 
 
-def test_hot_agents_give_the_same(spark):
-    assert counts(outcome(spark, history(), hot_rows=2)) == [(30, 50), (20, 50)]
-
-
 def test_window_edges(spark):
     second = dt.timedelta(seconds=1)
     checks = []
