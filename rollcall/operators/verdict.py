@@ -2,9 +2,8 @@
 Grading: fetch attempts and endpoint probes in, one graded check per agent and run out.
 
 Documents are inspected in the scan that reads them. What is shuffled afterwards is the
-findings, a few hundred bytes per attempt, never the documents. The attempts of an agent are
-at most one per gateway and its probes at most five, so both are gathered by position into a
-fixed number of columns.
+findings, a few hundred bytes per attempt, never the documents. An agent's attempts are taken in
+their order, its probes, of which five count, by position into a fixed number of columns.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.constants import CANONICAL_TYPES, GATEWAYS, MAX_DOCUMENT_BYTES, MAX_ENDPOINTS, \
     STUDY_CANONICAL_TYPES, STUDY_GATEWAYS, UNDETERMINED_DETAIL
@@ -89,11 +88,16 @@ def _inline_attempts(targets: DataFrame, dialect: Dialect) -> DataFrame:
         text.alias("body"), F.lit(True).alias("inline"))
 
 
+def all_attempts(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MONITOR) -> DataFrame:
+    """Fetched documents and those that are part of a URI."""
+    return fetches.withColumn("inline", F.lit(False)) \
+        .unionByName(_inline_attempts(targets, dialect))
+
+
 def fetch_outcomes(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MONITOR,
                    exact_json: bool = False, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
     """One row per attempt with its outcome and, where a document came back, its findings."""
-    attempts = fetches.withColumn("inline", F.lit(False)) \
-        .unionByName(_inline_attempts(targets, dialect))
+    attempts = all_attempts(targets, fetches, dialect)
     host = host_of(F.col("target"))
     in_2xx = F.coalesce((F.col("status") >= 200) & (F.col("status") < 300), F.lit(False))
     answered = F.col("error_class").isNull()
@@ -132,26 +136,24 @@ def fetch_outcomes(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MO
         F.when(ok, F.col("analysis")).alias("analysis"))
 
 
-def choose_attempt(outcomes: DataFrame, positions: int) -> DataFrame:
+def choose_attempt(outcomes: DataFrame) -> DataFrame:
     """
-    The attempt that decides, and the last one actually made.
+    The attempt that decides, and the last one actually made, with their positions.
 
-    Attempts are taken in order up to the first that ends the search: a usable document, or a
-    refusal that is ours. Without one the last attempt decides. Attempts recorded after the
-    end are ignored.
+    Attempts are taken in order of `pos`, however many there are, up to the first that ends the
+    search: a usable document, or a refusal that is ours. Without one the last attempt decides.
+    Attempts recorded after the end are ignored. One distribution and one sort by target serve
+    the window and the aggregation.
     """
-    fields = [c for c in outcomes.columns if c not in (*KEY, "pos")]
-    gathered = outcomes.groupBy(*KEY).agg(*[
-        F.min_by(F.struct(*fields), F.when(F.col("pos") == i,
-                                           F.struct("stops", "category", "target")))
-        .alias(f"_a{i}") for i in range(positions)])
-    attempts = [F.col(f"_a{i}") for i in range(positions)]
-    decided = F.coalesce(*[F.when(a["stops"], a) for a in attempts], *reversed(attempts))
-    made, searching = F.lit(None), F.lit(True)
-    for attempt in attempts:
-        made = F.when(searching & ~attempt["blocked"], attempt).otherwise(made)
-        searching = searching & F.coalesce(~attempt["stops"], F.lit(True))
-    return gathered.select(*KEY, decided.alias("decided"), made.alias("made"))
+    fields = [c for c in outcomes.columns if c not in KEY]
+    in_order = Window.partitionBy(*KEY).orderBy("pos", "stops", "category", "target")
+    ended = F.max("stops").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    taken = outcomes.withColumns({"_ended": F.coalesce(ended, F.lit(False)),
+                                  "_nth": F.row_number().over(in_order)}).where("NOT _ended")
+    attempt = F.struct(*fields)
+    return taken.groupBy(*KEY).agg(
+        F.max_by(attempt, "_nth").alias("decided"),
+        F.max_by(attempt, F.when(~F.col("blocked"), F.col("_nth"))).alias("made"))
 
 
 def gather_probes(probes: DataFrame, dialect: Dialect = MONITOR) -> DataFrame:
@@ -198,7 +200,7 @@ def _endpoint_details(urls: Column, dialect: Dialect) -> Column:
 def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect: Dialect,
             exact_json: bool) -> DataFrame:
     outcomes = fetch_outcomes(targets, fetches, dialect, exact_json)
-    chosen = choose_attempt(outcomes, len(dialect.gateways))
+    chosen = choose_attempt(outcomes)
     cleaned = stage(targets, {"_clean": clean_uri(F.col("uri"))})
     rows = stage(cleaned, {"uri_scheme": uri_scheme(F.col("_clean"))}) \
         .join(chosen, KEY, "left").join(gather_probes(probes, dialect), KEY, "left")
@@ -392,15 +394,24 @@ def grade_study(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
         F.col("funnel_stage").cast("smallint"), "checked_at", yes(found.isNotNull()).alias("graded"))
 
 
-def documents_of_run(targets: DataFrame, fetches: DataFrame, exact_json: bool = False) -> DataFrame:
-    """(run_id, agent_id, pass, pos, body) of every attempt that brought back a JSON object."""
-    judged = fetches.where("error_class IS NULL AND status >= 200 AND status < 300")
-    found = analyse_documents(judged, "body", exact_json=exact_json)
-    return found.where("analysis.json_category IS NULL") \
-        .join(targets.select(*KEY), KEY, "left_semi").select(*KEY, "pos", "body")
+def documents_of_run(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MONITOR,
+                     exact_json: bool = False) -> DataFrame:
+    """
+    (run_id, agent_id, pass, pos, body): the JSON object behind each check that has one, of the
+    attempt that decided it, inline documents too.
+
+    Findings are chosen first; then the texts of the chosen attempts only are looked up.
+    """
+    chosen = choose_attempt(fetch_outcomes(targets, fetches, dialect, exact_json)) \
+        .where("decided.ok AND decided.analysis.json_category IS NULL") \
+        .join(targets.select(*KEY), KEY, "left_semi") \
+        .select(*KEY, F.col("decided.pos").alias("pos"), F.col("decided.target").alias("target"))
+    return all_attempts(targets, fetches, dialect) \
+        .join(chosen, [*KEY, "pos", "target"], "left_semi") \
+        .select(*KEY, "pos", "body")
 
 
 __all__ = [
-    "MONITOR", "STUDY", "Dialect", "choose_attempt", "documents_of_run", "excluded_names",
+    "MONITOR", "STUDY", "Dialect", "all_attempts", "choose_attempt", "documents_of_run", "excluded_names",
     "fetch_outcomes", "gather_probes", "grade", "grade_study", "mark_excluded", "reconcile",
     "retry_counters"]

@@ -332,7 +332,7 @@ def order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(spread(table(spark, sf_dir, "orders")), CASE_COLUMNS)
 
 
-_BODY = f"""CASE d
+BODY = f"""CASE d
     WHEN 0 THEN '{{"name": "agent ' || k || '"}} trailing'
     WHEN 1 THEN '[1, 2]'
     WHEN 2 THEN '{{"type": "other", "n": ' || k || '}}'
@@ -351,12 +351,12 @@ _BODY = f"""CASE d
 
 def case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, d, c, body): a document per order, in eight kinds."""
-    return order_cases(spark, sf_dir).selectExpr("k", "d", "c", f"{_BODY} AS body")
+    return order_cases(spark, sf_dir).selectExpr("k", "d", "c", f"{BODY} AS body")
 
 
 def probe_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both passes of run 1: everyone in pass 1, in pass 2 those that will look throttled."""
-    cases = order_cases(spark, sf_dir).selectExpr("*", f"{_BODY} AS body")
+    cases = order_cases(spark, sf_dir).selectExpr("*", f"{BODY} AS body")
     first = cases.selectExpr("CAST(1 AS BIGINT) AS run_id", "CAST(k AS STRING) AS agent_id",
                              "1 AS pass", "k", "u", "q", "d", "c", "seen", "body", """CASE
         WHEN u = 0 THEN '' WHEN u = 1 THEN '  ' WHEN u = 2 THEN 'ipfs://ipfs/cid' || k
@@ -382,13 +382,15 @@ def fetches(targets: DataFrame) -> DataFrame:
         "'slow' AS error_message", "CAST(k % 900 AS INT) AS latency_ms",
         "'application/json' AS content_type", "length(body) AS bytes",
         f"CASE WHEN q = 2 THEN ' \\n ' WHEN q IN (0, 1, 4) THEN {blank} ELSE body END AS body")
-    ipfs = targets.where("u = 2").selectExpr("*", "explode(array(0, 1, 2)) AS pos").where(
-        "pos = 0 OR pos = 1 OR q % 3 = 1").selectExpr(
+    ipfs = targets.where("u = 2").selectExpr("*", "explode(array(0, 1, 2, 3, 7)) AS pos").where(
+        "pos <= 1 OR (pos = 2 AND q % 3 = 1) OR (pos > 2 AND q % 3 = 1 AND c % 5 = 0)").selectExpr(
         "run_id", "agent_id", "pass", "pos",
         "element_at(array('https://ipfs.io/ipfs/', 'https://dweb.link/ipfs/', "
-        "'https://gateway.pinata.cloud/ipfs/'), pos + 1) || 'cid' || k AS target",
+        "'https://gateway.pinata.cloud/ipfs/', 'https://fourth.test/ipfs/'), "
+        "least(pos, 3) + 1) || 'cid' || k AS target",
         "(pos = 1 AND q % 3 = 2) AS excluded", "true AS robots_allowed",
-        "CASE WHEN pos = 0 THEN 504 WHEN pos = 1 AND q % 3 = 2 THEN NULL ELSE 200 END AS status",
+        "CASE WHEN pos = 0 OR (pos = 2 AND c % 5 = 0) THEN 504 "
+        "WHEN pos = 1 AND q % 3 = 2 THEN NULL WHEN pos = 7 THEN 404 ELSE 200 END AS status",
         f"{blank} AS error_class", f"{blank} AS error_message",
         "CAST(k % 900 AS INT) AS latency_ms", "'text/plain' AS content_type",
         "length(body) AS bytes",

@@ -294,23 +294,26 @@ def graded_checks(spark, sf_dir):
 
 @query("document_selection", f"""WITH {GRADED_SQL} SELECT CAST(k AS VARCHAR) AS agent_id, pass,
     CASE WHEN u = 2 THEN CASE q % 3 WHEN 0 THEN 'https://dweb.link/ipfs/cid' || k
-            WHEN 1 THEN 'https://gateway.pinata.cloud/ipfs/cid' || k
+            WHEN 1 THEN CASE WHEN c % 5 = 0 THEN 'https://fourth.test/ipfs/cid' || k
+                ELSE 'https://gateway.pinata.cloud/ipfs/cid' || k END
             ELSE 'https://ipfs.io/ipfs/cid' || k END
         WHEN u = 3 THEN 'inline' WHEN u >= 5 AND q <> 4 THEN CASE WHEN u = 5
             THEN 'HTTP://U:p@H' || (c % 97) || '.Site.test:80/a'
             ELSE 'https://a' || (c % 97) || '.b.co.uk/' || k END END AS resolved_url,
-    CASE WHEN category = 'excluded_by_request' THEN 'dweb.link'
+    CASE WHEN stage > 1 OR category = 'empty_uri' THEN NULL
+        WHEN category = 'unsupported_scheme' THEN 'other'
+        WHEN category = 'excluded_by_request' THEN 'dweb.link'
+        WHEN category IN ('robots_disallowed', 'empty_body') THEN CASE WHEN u = 5
+            THEN 'h' || (c % 97) || '.site.test' ELSE 'a' || (c % 97) || '.b.co.uk' END
         WHEN category = 'timeout_read' THEN 'ReadTimeout: slow'
         WHEN category IN ('http_404_not_found', 'http_429_rate_limited') THEN status || ' from '
             || CASE WHEN u = 5 THEN 'h' || (c % 97) || '.site.test'
                 ELSE 'a' || (c % 97) || '.b.co.uk' END END AS failure_detail
-    FROM graded WHERE stage <= 1 AND category NOT IN ('empty_uri', 'unsupported_scheme',
-        'robots_disallowed', 'empty_body')""")
+    FROM graded""")
 def document_selection(spark, sf_dir):
-    skipped = ("empty_uri", "unsupported_scheme", "robots_disallowed", "empty_body")
-    return _graded(spark, sf_dir).where(
-        (F.col("funnel_stage") <= 1) & ~F.col("failure_category").isin(*skipped)) \
-        .select("agent_id", "pass", "resolved_url", "failure_detail")
+    return _graded(spark, sf_dir).select(
+        "agent_id", "pass", "resolved_url",
+        F.when(F.col("funnel_stage") <= 1, F.col("failure_detail")).alias("failure_detail"))
 
 
 @query("endpoint_rollup", f"""WITH {GRADED_SQL} SELECT CAST(k AS VARCHAR) AS agent_id, pass,
@@ -370,13 +373,14 @@ def agent_hosts(spark, sf_dir):
     return state.with_agent_hosts(agents, first)
 
 
-@query("stored_documents", f"""WITH {GRADED_SQL} SELECT CAST(k AS VARCHAR) AS agent_id, pass
-    FROM graded WHERE d >= 2 AND ((u = 2 AND q % 3 <> 2) OR (u >= 5 AND (q >= 5
-        OR (q = 3 AND pass = 2 AND c % 3 = 0))))""")
+@query("stored_documents", f"""WITH {GRADED_SQL} SELECT CAST(k AS VARCHAR) AS agent_id, pass,
+    CASE WHEN u = 2 THEN CASE WHEN q % 3 = 0 THEN 1 WHEN c % 5 = 0 THEN 3 ELSE 2 END ELSE 0 END
+        AS pos, md5({b.BODY}) AS digest FROM graded WHERE stage >= 3""")
 def stored_documents(spark, sf_dir):
-    """Texts of fetched JSON objects, one per agent and pass."""
+    """Texts of the JSON objects behind the checks, fetched or inline, one per agent and pass."""
     targets = b.probe_targets(spark, sf_dir)
-    return verdict.documents_of_run(targets, b.fetches(targets)).select("agent_id", "pass")
+    return verdict.documents_of_run(targets, b.fetches(targets)).select(
+        "agent_id", "pass", "pos", F.md5("body").alias("digest"))
 
 
 @query("gateway_coverage", f"""SELECT count(*) AS agents, 3 * count(*) AS urls
