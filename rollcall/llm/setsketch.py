@@ -280,7 +280,8 @@ def _confirmed(docs: DataFrame, heads: DataFrame, clusters: DataFrame) -> DataFr
         F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS),
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    sets = members.join(blocks, "root").drop("n_shingles").join(texts, "rep") \
+    # The same plan at every size: both sides are dealt by id.
+    sets = members.join(blocks, "root").drop("n_shingles").hint("merge").join(texts, "rep") \
         .select("root", "blocks", "rep", "d1", "d2", "text") \
         .mapInArrow(_full_sets, "root long, blocks int, rep long, d1 long, d2 long, "
                                 "e1 long, e2 long, codes binary") \
