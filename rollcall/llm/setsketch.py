@@ -40,7 +40,9 @@ PERCENT = 75
 # Pairs whose likeliest similarity is below this are not compared in full: 5 standard errors
 # of 128 registers below the threshold.
 FLOOR = 0.55
-# Members and shingles that a block holds; a tile holds two blocks.
+# What a block holds; a tile holds two blocks: members of a bucket, members and shingles of a
+# cluster whose full sets are compared.
+BUCKET_MEMBERS = 512
 BLOCK_MEMBERS, BLOCK_SHINGLES = 128, 100_000
 
 _FACTORS = stream(11, REGISTERS) | np.uint64(1)
@@ -228,7 +230,7 @@ def _buckets(reps: DataFrame) -> DataFrame:
         b, F.substring(F.col("registers"), b * (2 * BAND) + 1, F.lit(2 * BAND))))
     banded = reps.select(F.explode(keys).alias("key"), "rep")
     full = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    dealt = meet(banded.join(full, "key"), "rep", F.ceil(F.col("n") / BLOCK_MEMBERS))
+    dealt = meet(banded.join(full, "key"), "rep", F.ceil(F.col("n") / BUCKET_MEMBERS))
     return dealt.groupBy("key", "i", "j").agg(F.sort_array(F.collect_set("rep")).alias("reps")) \
         .where("size(reps) > 1").select("reps").distinct() \
         .select(F.xxhash64("reps").alias("tile"), "reps")
