@@ -7,31 +7,38 @@ from pyspark.sql import DataFrame, functions as F
 from rollcall.constants import ZERO_ADDRESS
 
 
-def current_state(events: DataFrame, zero_address: str = ZERO_ADDRESS) -> DataFrame:
+def partial_state(events: DataFrame, zero_address: str = ZERO_ADDRESS) -> DataFrame:
     """
-    One row per agent with a Registered event.
+    What a set of events says about each agent, in a form that merges.
 
-    The earliest registration, the latest URI, the latest holder and the tallies come from a
-    single conditional aggregation: one shuffle, with partial aggregation before it, so an
-    agent with very many events is reduced where its events lie.
+    The earliest registration, the latest URI, the latest holder and the tallies come from one
+    aggregation with partial aggregation before the shuffle, so an agent with very many events
+    is reduced where its events lie. Structs begin with the order they are chosen by.
     """
     kind = F.col("event_type")
-    order = F.struct("block_number", "log_index")
+    order = ["block_number", "log_index"]
     registered = kind == "Registered"
-    sets_uri = kind.isin("Registered", "URIUpdated")
     transferred = kind == "Transfer"
-    when = lambda condition, value: F.when(condition, value)
-    grouped = events.where("agent_id IS NOT NULL").groupBy("agent_id").agg(
-        F.min_by(F.struct("owner", "agent_uri", "block_number", "block_time", "tx_hash"),
-                 when(registered, order)).alias("reg"),
-        F.max_by(F.struct("agent_uri", "block_number", "log_index"),
-                 when(sets_uri, order)).alias("uri"),
-        F.max_by(F.struct("owner"), when(transferred, order)).alias("hold"),
+    when = lambda condition, *fields: F.when(condition, F.struct(*order, *fields))
+    return events.where("agent_id IS NOT NULL").groupBy("agent_id").agg(
+        F.min(when(registered, "owner", "agent_uri", "block_time", "tx_hash")).alias("reg"),
+        F.max(when(kind.isin("Registered", "URIUpdated"), "agent_uri")).alias("uri"),
+        F.max(when(transferred, "owner")).alias("hold"),
         F.count_if(kind == "URIUpdated").alias("uri_changes"),
         F.count_if(transferred & (F.col("from_address") != zero_address)).alias("transfers"),
-        F.count_if(registered).alias("registrations"),
-    )
-    return grouped.where("registrations > 0").select(
+        F.count_if(registered).alias("registrations"))
+
+
+def merged_state(parts: DataFrame) -> DataFrame:
+    """Partial states of disjoint sets of events, put together: again a partial state."""
+    return parts.groupBy("agent_id").agg(
+        F.min("reg").alias("reg"), F.max("uri").alias("uri"), F.max("hold").alias("hold"),
+        *[F.sum(c).alias(c) for c in ("uri_changes", "transfers", "registrations")])
+
+
+def finished_state(state: DataFrame) -> DataFrame:
+    """One row per agent with a Registered event."""
+    return state.where("registrations > 0").select(
         "agent_id",
         F.coalesce("hold.owner", "reg.owner").alias("owner"),
         F.col("reg.owner").alias("minted_to"),
@@ -47,6 +54,11 @@ def current_state(events: DataFrame, zero_address: str = ZERO_ADDRESS) -> DataFr
     )
 
 
+def current_state(events: DataFrame, zero_address: str = ZERO_ADDRESS) -> DataFrame:
+    """The state of every agent from all its events."""
+    return finished_state(partial_state(events, zero_address))
+
+
 def rebuild_touched(events: DataFrame, touched: DataFrame) -> DataFrame:
     """State of the agents in `touched` only; everything else is left out of the shuffle."""
     ids = touched.where("agent_id IS NOT NULL").select("agent_id").distinct()

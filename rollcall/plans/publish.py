@@ -9,6 +9,7 @@ from rollcall.constants import CENSORED_NOTE, DATA_LICENSE, REGISTRY_CHAIN, REGI
 from rollcall.functions.stats import wilson
 from rollcall.functions.text import iso
 from rollcall.operators import funnel, projects, runs, survival, totals
+from rollcall.schemas import PROGRESS
 from rollcall.session import materialise
 from rollcall.sources.jsondocs import DOCUMENTS
 
@@ -80,11 +81,12 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     registry = totals.registry_totals(agents)
     per_type = F.map_from_entries(_rows(totals.events_by_type(events),
                                         [-F.col("n"), F.col("event_type")], "event_type", "n"))
-    state = progress.where("status = 'ok'").agg(F.max("last_block").alias("last_block"),
-                                                F.max("run_at").alias("run_at")) \
-        if progress is not None else spark.range(1).select(
-            F.lit(None).cast("bigint").alias("last_block"),
-            F.lit(None).cast("timestamp").alias("run_at"))
+    progress = spark.createDataFrame([], PROGRESS) if progress is None else progress
+    tried = F.struct("batch_id", "run_at")
+    state = progress.agg(
+        F.max(F.when(F.col("status") == "ok", F.col("last_block"))).alias("last_block"),
+        F.max("run_at").alias("run_at"), F.max_by("status", tried).alias("status"),
+        F.max_by("error", tried).alias("error"))
     registry_value = registry.select(F.struct(
         F.lit(REGISTRY_CHAIN_ID).alias("chain_id"), F.lit(REGISTRY_CHAIN).alias("chain"),
         F.lit(REGISTRY_CONTRACT).alias("contract"), "agents", "distinct_owners",
@@ -93,7 +95,9 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
         "transferred", iso(F.col("first_registration")).alias("first_registration"),
         iso(F.col("last_registration")).alias("last_registration"), per_type.alias("events"),
         state.select("last_block").scalar().alias("indexed_through_block"),
-        state.select(iso(F.col("run_at"))).scalar().alias("indexer_last_run"))).scalar()
+        state.select(iso(F.col("run_at"))).scalar().alias("indexer_last_run"),
+        state.select("status").scalar().alias("indexer_last_status"),
+        state.select("error").scalar().alias("indexer_last_error"))).scalar()
     monthly = _rows(totals.monthly(agents, F.col("registered_at")), [F.col("month")],
                     "month", "registered", "cumulative")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rollcall.constants import ANCHOR_BLOCK, ANCHOR_EPOCH_SECONDS, TOPIC_METADATA_SET, \
@@ -241,13 +244,50 @@ def stream_ingest(spark, sf_dir):
         .drop("block_number")
     for rows in (half, raw):
         rows.repartition(8).write.mode("append").parquet(source)
-    store = ingest.Store(fresh_path(spark, "store"), buckets=8)
+    store = ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
     run = ingest.start_ingest(spark, source, store, files_per_batch=8)
     run.awaitTermination()
     return ingest.stored_agents(spark, store) \
         .withColumn("registered_at", F.unix_seconds("registered_at"))
 
 
+@query("stream_gap", f"""WITH {STREAM_STATE_SQL.replace(
+    "max(block_number) - 50 AS height", f"max({ANCHOR_BLOCK} + 299999) AS height")}""")
+def stream_gap(spark, sf_dir):
+    """The same logs with a range that could not be read: nothing behind it is taken in."""
+    source = fresh_path(spark, "logs")
+    b.raw_logs(spark, sf_dir).repartition(8).write.parquet(source)
+    store = ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
+    first = F.col("id") * 100_000 + ANCHOR_BLOCK
+    ranges = spark.range(0, 40).select(
+        first.alias("from_block"), (first + 99_999).alias("to_block"),
+        (F.col("id") != 3).alias("readable"))
+    ingest.start_ingest(spark, source, store, ranges=ranges).awaitTermination()
+    return ingest.stored_agents(spark, store) \
+        .withColumn("registered_at", F.unix_seconds("registered_at"))
+
+
+@query("stall_report", f"""WITH {b.DECODED_SQL} SELECT 'never run' AS store, true AS stalled,
+    CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS last_block
+    UNION ALL SELECT 'just run', false, 'ok', max(block_number) - 50 FROM decoded
+    WHERE source_type <> 'error'
+    UNION ALL SELECT 'failed', true, 'error', NULL""")
+def stall_report(spark, sf_dir):
+    """Three stores: one that nothing was taken into, one that is up to date, one that failed."""
+    batch = b.raw_logs(spark, sf_dir)
+    stores = {n: ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
+              for n in ("never run", "just run", "failed")}
+    ingest.ingest_batch(batch, 0, stores["just run"], ingest.Settings())
+    broken = batch.withColumn("data", F.assert_true(F.col("blockNumber") == "").cast("string"))
+    with contextlib.suppress(PySparkException):
+        ingest.ingest_batch(broken, 0, stores["failed"], ingest.Settings())
+    rows = [ingest.stall_report(spark, s).crossJoin(ingest.last_run(spark, s))
+            .crossJoin(ingest.cursor(spark, s)).select(
+                F.lit(n).alias("store"), "stalled", "status", "last_block")
+            for n, s in stores.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # --- samples ----------------------------------------------------------------------------
 
 @query("sample_every_53", """SELECT event_id FROM (SELECT event_id,

@@ -264,17 +264,36 @@ def _publishable(spark, sf_dir):
         p.nn AS project_n, p.kk AS project_k, CAST(7 AS BIGINT) AS documents,
         (SELECT count(*) FROM document_checks WHERE live_strict) AS survival_n,
         (SELECT max(c) FROM (SELECT count(*) AS c FROM projects GROUP BY project))
-            AS largest_project FROM f, p""")
+            AS largest_project,
+        (SELECT max(o_orderkey) FROM orders) AS indexed_through, 'error' AS last_status,
+        'node unreachable' AS last_error, (SELECT max(o_orderkey) FROM orders) AS meta_block,
+        (SELECT count(*) FROM documents) AS totals_agents,
+        (SELECT count(DISTINCT lower(owner)) FROM analysed WHERE owner <> '') AS owner_n,
+        (SELECT count(DISTINCT lower(owner)) FROM analysed WHERE owner <> '' AND live_strict)
+            AS owner_k,
+        (SELECT count(*) FROM document_checks WHERE live_strict) AS survival_document_n,
+        (SELECT least(20, count(DISTINCT project)) FROM projects) AS top_projects,
+        CAST(6 AS BIGINT) AS endpoints FROM f, p""")
 def summary_documents(spark, sf_dir):
     """Build the seven published documents, write them, read them back and pick figures."""
     agents, checks, runs = _publishable(spark, sf_dir)
-    row = publish.summary(agents, b.event_log(spark, sf_dir), checks, runs, None,
+    progress = b.table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("last_block")) \
+        .select("last_block", F.inline(F.array(
+            *[F.struct(F.lit(n).alias("batch_id"), F.lit(status).alias("status"),
+                       F.lit(error).cast("string").alias("error"))
+              for n, status, error in ((1, "ok", None), (2, "error", "node unreachable"))]))) \
+        .withColumn("last_block", F.when(F.col("status") == "ok", F.col("last_block"))) \
+        .withColumn("run_at", F.timestamp_seconds(F.col("batch_id") + 1_700_000_000))
+    row = publish.summary(agents, b.event_log(spark, sf_dir), checks, runs, progress,
                           F.timestamp_seconds(F.lit(1_710_000_000)), horizons=(30, 90))
     path = fresh_path(spark, "documents")
     jsondocs.write_documents(publish.documents(row), path)
     documents = jsondocs.read_documents(spark, path)
     pick = lambda p, kind: F.get_json_object("json", p).cast(kind)
     number = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+    def other(name, p, kind="bigint"):
+        return documents.where(F.col("name") == name).select(pick(p, kind)).scalar()
     return documents.where("name = 'summary.json'").select(
         pick("$.registry.agents", "bigint").alias("agents"),
         pick("$.liveness.censored.n", "bigint").alias("censored"),
@@ -285,6 +304,20 @@ def summary_documents(spark, sf_dir):
         pick("$.liveness.by_project.stages[6].k", "bigint").alias("project_k"),
         number.alias("documents"),
         pick("$.survival.horizons[0].n", "bigint").alias("survival_n"),
-        pick("$.liveness.top_projects[0].agents", "bigint").alias("largest_project"))
+        pick("$.liveness.top_projects[0].agents", "bigint").alias("largest_project"),
+        pick("$.registry.indexed_through_block", "bigint").alias("indexed_through"),
+        pick("$.registry.indexer_last_status", "string").alias("last_status"),
+        pick("$.registry.indexer_last_error", "string").alias("last_error"),
+        other("meta.json", "$.indexed_through_block").alias("meta_block"),
+        other("registrations.json", "$.totals.agents").alias("totals_agents"),
+        other("funnel.json", "$.by_owner.denominator").alias("owner_n"),
+        other("funnel.json", "$.by_owner.stages[6].k").alias("owner_k"),
+        other("survival.json", "$.survival.horizons[0].n").alias("survival_document_n"),
+        documents.where("name = 'projects.json'").select(F.size(F.from_json(F.get_json_object(
+            "json", "$.top_projects"), "array<string>")).cast("bigint")).scalar()
+        .alias("top_projects"),
+        documents.where("name = 'index.json'").select(F.size(F.from_json(F.get_json_object(
+            "json", "$.endpoints"), "array<string>")).cast("bigint")).scalar()
+        .alias("endpoints"))
 
 

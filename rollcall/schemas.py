@@ -36,5 +36,12 @@ ENDPOINT_DETAILS = """array<struct<url:string,host:string,ok:boolean,status:stri
 EXCLUDED_HOSTS = "host string, reason string, requested_by string, added_at timestamp"
 
 PROGRESS = """stream string, batch_id bigint, last_block bigint, tip bigint, events bigint,
-    inserted bigint, agents bigint, sanitized bigint, status string, error string,
-    run_at timestamp"""
+    inserted bigint, agents bigint, sanitized bigint, unreadable bigint, status string,
+    error string, run_at timestamp"""
+
+# What a set of events says about an agent; rows of disjoint sets merge.
+PARTIAL_STATES = """agent_id string, reg struct<block_number: bigint, log_index: int,
+    owner: string, agent_uri: string, block_time: timestamp, tx_hash: string>,
+    uri struct<block_number: bigint, log_index: int, agent_uri: string>,
+    hold struct<block_number: bigint, log_index: int, owner: string>, uri_changes bigint,
+    transfers bigint, registrations bigint"""

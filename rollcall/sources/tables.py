@@ -7,19 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollcall.operators.dedupe import new_rows
-from rollcall.schemas import REGISTRATION_EVENTS
-
-# How many directories an id-partitioned table has. A deployment sets this once; with 100 TB
-# of events 8192 buckets are about 12 GB each, a few files per bucket.
-ID_BUCKETS = 64
-
-
-def id_bucket(agent_id: Column, buckets: int = ID_BUCKETS) -> Column:
-    """Directory of an agent. Events without an agent share bucket 0."""
-    return F.when(agent_id.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(agent_id), F.lit(buckets))).cast("int")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -30,8 +17,15 @@ def read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame | None:
-    return read(spark, path, REGISTRATION_EVENTS + ", id_bucket int")
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the complete folders version=N below a path, ascending."""
+    if not exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in
+             target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+    found = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
+    return sorted(n for n in found if exists(spark, f"{path}/version={n}/_SUCCESS"))
 
 
 def append_new(incoming: DataFrame, path: str, schema: str, keys: Sequence[str],

@@ -1,19 +1,21 @@
 """
 Continuous ingest: raw log files in, event log, current state and progress out.
 
-The file source's checkpoint is the cursor. Each micro-batch is one chunk: it is decoded,
-rows already stored are dropped, the rest is appended, and the touched buckets of the state
-are rebuilt from the event log. Every step can run twice with the same outcome, so a batch
-that is repeated after a failure leaves nothing behind: the append skips what the first try
-stored, the rebuild derives state from the log alone, and progress is written per batch id.
-No state is held in the stream.
+The file source's checkpoint is the cursor. Each micro-batch is one chunk, and costs what the chunk
+holds, not what was stored before: it meets only its own block ranges of the event log, its new rows
+are stamped with its number, and what they say about each agent is written as one more partial
+state. Now and then the partial states are merged into a new version of the state.
+
+Every step can run twice with the same outcome. A batch that is repeated after a failure appends
+only what the first try did not store, and everything after that is derived from the rows that
+carry its number, those of the first try included.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.constants import ANCHOR_BLOCK, ANCHOR_EPOCH_SECONDS, CHUNK_BLOCKS, \
@@ -22,18 +24,29 @@ from rollcall.functions.abi import quantity
 from rollcall.operators.blocktime import with_block_time
 from rollcall.operators.decode import decode_logs, ingestible, keep_raw_when_needed
 from rollcall.operators.dedupe import LOG_KEY, new_rows
-from rollcall.operators.state import current_state
-from rollcall.schemas import PROGRESS, RAW_LOGS, REGISTRATION_EVENTS
-from rollcall.sources import tables
+from rollcall.operators.state import finished_state, merged_state, partial_state
+from rollcall.schemas import PARTIAL_STATES, PROGRESS, RAW_LOGS, REGISTRATION_EVENTS
+from rollcall.session import discard
+from rollcall.sources import logs, tables
+
+EVENTS = REGISTRATION_EVENTS + ", batch_id bigint, block_range bigint"
+# Progress rows of so many batches share a folder.
+PROGRESS_GROUP = 256
 
 
 @dataclass(frozen=True)
 class Store:
-    """Where one stream keeps its tables. All paths are on storage every executor reads."""
+    """
+    Where one stream keeps its tables, on storage every executor reads.
+
+    Events lie in a folder for every `range_blocks` blocks. After every `merge_every` batches the
+    partial states are merged.
+    """
 
     root: str
+    range_blocks: int
     stream: str = "identity_registry_base"
-    buckets: int = tables.ID_BUCKETS
+    merge_every: int = 64
 
     @property
     def events(self) -> str:
@@ -43,6 +56,10 @@ class Store:
     def agents(self) -> str:
         return f"{self.root}/agents"
 
+    @property
+    def changes(self) -> str:
+        return f"{self.root}/agent_changes"
+
     @property
     def progress(self) -> str:
         return f"{self.root}/progress"
@@ -51,6 +68,10 @@ class Store:
     def unconfirmed(self) -> str:
         return f"{self.root}/unconfirmed"
 
+    @property
+    def unreadable(self) -> str:
+        return f"{self.root}/unreadable"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -77,8 +98,16 @@ def raw_log_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def read_progress(spark: SparkSession, store: Store) -> DataFrame:
-    rows = tables.read(spark, store.progress, PROGRESS)
-    return rows if rows is not None else spark.createDataFrame([], PROGRESS)
+    schema = PROGRESS + ", group int"
+    rows = tables.read(spark, store.progress, schema)
+    return rows if rows is not None else spark.createDataFrame([], schema)
+
+
+def last_run(spark: SparkSession, store: Store) -> DataFrame:
+    """One row: the status and error of the batch that was tried last; nulls before the first."""
+    return read_progress(spark, store).agg(
+        F.max_by("status", F.struct("batch_id", "run_at")).alias("status"),
+        F.max_by("error", F.struct("batch_id", "run_at")).alias("error"))
 
 
 def cursor(spark: SparkSession, store: Store) -> DataFrame:
@@ -98,15 +127,30 @@ def stall_report(spark: SparkSession, store: Store, limit_hours: float = STALL_H
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
-                 blocks: DataFrame | None = None) -> None:
+                 blocks: DataFrame | None = None, ranges: DataFrame | None = None) -> None:
     """
     Take one batch of raw logs into the store.
 
-    Logs less than `confirmations` blocks below the highest block seen wait in a side table,
-    written per batch id, until a later batch confirms them.
+    Logs above the committed height wait in a side table until a later batch confirms them: those
+    less than `confirmations` blocks below the tip, and those behind a gap in `ranges`
+    (from_block, to_block, readable), if given. The tip is the highest block of `blocks`, if
+    given, or else of any log. Logs whose block number cannot be read are kept apart and counted.
+    A batch that fails leaves its error in the progress and is tried again by the stream.
     """
+    try:
+        row = _take_in(batch, batch_id, store, settings, blocks, ranges)
+    except Exception as failure:
+        _record(batch.sparkSession, store, batch_id, status="error", error=str(failure)[:500])
+        raise
+    _record(batch.sparkSession, store, batch_id, status="ok", **row)
+    if batch_id % store.merge_every == store.merge_every - 1:
+        merge_states(batch.sparkSession, store, batch_id)
+
+
+def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
+             blocks: DataFrame | None, ranges: DataFrame | None) -> dict:
     spark = batch.sparkSession
-    waiting = tables.read(spark, f"{store.unconfirmed}/batch={batch_id - 1}", RAW_LOGS)
+    waiting = tables.read(spark, f"{store.unconfirmed}/version={batch_id - 1}", RAW_LOGS)
     raw = batch.select("address", "topics", "data", "blockNumber", "transactionHash", "logIndex")
     if waiting is not None:
         raw = raw.unionByName(waiting)
@@ -114,104 +158,134 @@ def ingest_batch(batch: DataFrame, batch_id: int, store: Store, settings: Settin
         raw = ingestible(raw)
     decoded = decode_logs(raw).persist()
     try:
-        # Two numbers; everything else stays distributed.
-        seen = decoded.agg(F.max("block_number")).first()[0]
+        # A few numbers; everything else stays distributed.
+        seen, unreadable = decoded.agg(
+            F.max("block_number"), F.count_if(F.col("block_number").isNull())).first()
         known = read_progress(spark, store).where(F.col("batch_id") < batch_id) \
             .agg(F.max("tip")).first()[0]
-        tip = max((n for n in (seen, known) if n is not None), default=None)
+        top = blocks.agg(F.max("block_number")).first()[0] if blocks is not None else None
+        tip = max((n for n in (seen, known, top) if n is not None), default=None)
         last_block = None if tip is None else tip - settings.confirmations
+        if ranges is not None and last_block is not None:
+            last_block = min(last_block, logs.readable_through(ranges, settings.anchor_block)
+                             .first()["commit_to"])
         height = F.lit(-1 if last_block is None else last_block)
-        _hold_back(raw, height, store, batch_id)
-
+        number = quantity(F.col("blockNumber"))
+        raw.where(number > height).write.mode("overwrite") \
+            .parquet(f"{store.unconfirmed}/version={batch_id}")
+        # The one before is needed if this batch is repeated, older ones never.
+        discard(spark, f"{store.unconfirmed}/version={batch_id - 2}")
+        if unreadable:
+            tables.overwrite_partitions(raw.where(number.isNull()).withColumn(
+                "batch", F.lit(batch_id)), store.unreadable, "batch")
         confirmed = decoded.where(F.col("block_number") <= height)
-        timed = with_block_time(confirmed, blocks, settings.anchor_block, settings.chunk_blocks,
-                                settings.anchor_block, settings.anchor_seconds)
-        rows = keep_raw_when_needed(timed, settings.store_raw_data) \
-            .withColumn("ingested_at", F.current_timestamp()) \
-            .withColumn("id_bucket", tables.id_bucket(F.col("agent_id"), store.buckets))
-        bounds = confirmed.agg(F.min("block_number"), F.max("block_number"),
-                               F.count(F.lit(1)), F.countDistinct("agent_id"),
-                               F.count_if("sanitized")).first()
-        first, last, events, agents, sanitized = bounds
+        first, last, events, agents, sanitized = confirmed.agg(
+            F.min("block_number"), F.max("block_number"), F.count(F.lit(1)),
+            F.countDistinct("agent_id"), F.count_if("sanitized")).first()
         inserted = 0
         if events:
-            inserted = _append_events(rows, first, last, store)
-            _rebuild_state(spark, confirmed, store, settings)
-        progress = spark.range(1).select(
-            F.lit(store.stream).alias("stream"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(last_block).cast("bigint").alias("last_block"),
-            F.lit(tip).cast("bigint").alias("tip"), F.lit(events).cast("bigint").alias("events"),
-            F.lit(inserted).cast("bigint").alias("inserted"),
-            F.lit(agents).cast("bigint").alias("agents"),
-            F.lit(sanitized).cast("bigint").alias("sanitized"), F.lit("ok").alias("status"),
-            F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("run_at"),
-            F.lit(batch_id).alias("batch"))
-        tables.overwrite_partitions(progress, store.progress, "batch")
+            near = blocks.where(F.col("block_number").between(first, last)) \
+                if blocks is not None else None
+            timed = with_block_time(confirmed, near, settings.anchor_block,
+                                    settings.chunk_blocks, settings.anchor_block,
+                                    settings.anchor_seconds)
+            rows = keep_raw_when_needed(timed, settings.store_raw_data) \
+                .withColumn("ingested_at", F.current_timestamp())
+            own = _append_events(rows, batch_id, first, last, store)
+            inserted = own.count()
+            tables.overwrite_partitions(partial_state(own, settings.zero_address).withColumn(
+                "batch", F.lit(batch_id)), store.changes, "batch")
+        return {"last_block": last_block, "tip": tip, "events": events, "inserted": inserted,
+                "agents": agents, "sanitized": sanitized, "unreadable": unreadable}
     finally:
         decoded.unpersist()
 
 
-def _hold_back(raw: DataFrame, height, store: Store, batch_id: int) -> None:
-    raw.where(quantity(F.col("blockNumber")) > height).write.mode("overwrite") \
-        .parquet(f"{store.unconfirmed}/batch={batch_id}")
-
-
-def _append_events(rows: DataFrame, first: int, last: int, store: Store) -> int:
+def _append_events(rows: DataFrame, batch_id: int, first: int, last: int,
+                   store: Store) -> DataFrame:
     """
-    Append new events and return their number.
+    Append new events and return all that carry the batch's number.
 
-    The stored side of the check is cut to the block range of the batch; with rows stored in
-    block order that skips nearly all row groups.
+    Only the folders of the batch's own block ranges are looked at. Rows are dealt evenly to
+    files of a good size, also where one range has nearly all of them.
     """
     spark = rows.sparkSession
-    stored = tables.read_events(spark, store.events)
-    if stored is not None:
-        stored = stored.where(F.col("block_number").between(first, last))
-    columns = [c.strip().split(" ")[0] for c in REGISTRATION_EVENTS.split(",")] + ["id_bucket"]
-    counted = Observation()
-    fresh = new_rows(rows, stored, LOG_KEY).select(*columns) \
-        .observe(counted, F.count(F.lit(1)).alias("inserted"))
-    fresh.sortWithinPartitions("id_bucket", "block_number", "log_index") \
-        .write.partitionBy("id_bucket").mode("append").parquet(store.events)
-    return counted.get["inserted"]
-
-
-def _rebuild_state(spark: SparkSession, confirmed: DataFrame, store: Store,
-                   settings: Settings) -> None:
+    touched = F.col("block_range").between(first // store.range_blocks, last // store.range_blocks)
+    stored = tables.read(spark, store.events, EVENTS)
+    columns = [c.strip().split(" ")[0] for c in REGISTRATION_EVENTS.split(",")]
+    fresh = new_rows(rows, stored.where(touched) if stored is not None else None, LOG_KEY) \
+        .select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.floor(F.col("block_number") / store.range_blocks).alias("block_range"))
+    fresh.hint("rebalance", "block_range").write.partitionBy("block_range").mode("append") \
+        .parquet(store.events)
+    return tables.read(spark, store.events, EVENTS) \
+        .where(touched & (F.col("batch_id") == batch_id))
+
+
+def _record(spark: SparkSession, store: Store, batch_id: int, **values) -> None:
+    """Write a batch's progress row; the few rows that share its folder are written with it."""
+    group = batch_id // PROGRESS_GROUP
+    others = [] if not tables.exists(spark, store.progress) else read_progress(spark, store) \
+        .where((F.col("group") == group) & (F.col("batch_id") != batch_id)).drop("group").collect()
+    names = [c.strip().split(" ")[0] for c in PROGRESS.split(",")]
+    own = spark.createDataFrame([tuple({"stream": store.stream, "batch_id": batch_id, **values}
+                                       .get(n) for n in names)], PROGRESS)
+    rows = spark.createDataFrame(others, PROGRESS).unionByName(
+        own.withColumn("run_at", F.current_timestamp()))
+    tables.overwrite_partitions(rows.coalesce(1).withColumn("group", F.lit(group)),
+                                store.progress, "group")
+
+
+def _partial_states(spark: SparkSession, store: Store) -> DataFrame | None:
+    """The last merged version and all changes after it."""
+    version = (tables.versions(spark, store.agents) or [-1])[-1]
+    changes = tables.read(spark, store.changes, PARTIAL_STATES + ", batch int")
+    parts = [] if changes is None else [changes.where(F.col("batch") > version).drop("batch")]
+    if version >= 0:
+        parts.append(spark.read.schema(PARTIAL_STATES).parquet(f"{store.agents}/version={version}"))
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def merge_states(spark: SparkSession, store: Store, batch_id: int) -> None:
     """
-    Rebuild the buckets of all touched agents from the event log.
+    Merge all partial states up to a batch into one version.
 
-    The buckets are at most `buckets` small numbers, so they go into the scan as a partition
-    filter; whole buckets are replaced, which needs no merge with the old state.
+    A version counts once it is complete; the changes it holds, and the versions before the last
+    two, are removed after that. Removed or not, they are never read again.
     """
-    touched = confirmed.where("agent_id IS NOT NULL") \
-        .select(tables.id_bucket(F.col("agent_id"), store.buckets).alias("b")).distinct()
-    buckets = [row.b for row in touched.collect()]
-    if not buckets:
+    older = tables.versions(spark, store.agents)
+    parts = _partial_states(spark, store)
+    if parts is None or batch_id in older:
         return
-    events = tables.read_events(spark, store.events).where(F.col("id_bucket").isin(*buckets))
-    state = current_state(events, settings.zero_address) \
-        .withColumn("id_bucket", tables.id_bucket(F.col("agent_id"), store.buckets))
-    tables.overwrite_partitions(state, store.agents, "id_bucket")
+    merged_state(parts).write.mode("overwrite").parquet(f"{store.agents}/version={batch_id}")
+    for version in older[:-1]:
+        discard(spark, f"{store.agents}/version={version}")
+    low = older[-1] + 1 if older else 0
+    for batch in range(low, batch_id + 1):
+        discard(spark, f"{store.changes}/batch={batch}")
 
 
 def start_ingest(spark: SparkSession, source: str, store: Store, settings: Settings = Settings(),
                  files_per_batch: int | None = None, blocks: DataFrame | None = None,
-                 fmt: str = "parquet", once: bool = True) -> StreamingQuery:
+                 ranges: DataFrame | None = None, fmt: str = "parquet",
+                 once: bool = True) -> StreamingQuery:
     """
     Start the stream. With once=True it ends when the files present now are taken in, which
     is how a scheduled, bounded run works; otherwise it keeps waiting for files.
     """
     stream = raw_log_stream(spark, source, files_per_batch, fmt)
     writer = stream.writeStream.option("checkpointLocation", store.checkpoint).foreachBatch(
-        lambda batch, batch_id: ingest_batch(batch, batch_id, store, settings, blocks))
+        lambda batch, batch_id: ingest_batch(batch, batch_id, store, settings, blocks, ranges))
     return (writer.trigger(availableNow=True) if once
             else writer.trigger(processingTime="1 minute")).start()
 
 
 def stored_agents(spark: SparkSession, store: Store) -> DataFrame:
-    return spark.read.parquet(store.agents).drop("id_bucket")
+    """The current state: merged versions and later changes, put together when read."""
+    parts = _partial_states(spark, store)
+    return finished_state(merged_state(parts if parts is not None
+                                       else spark.createDataFrame([], PARTIAL_STATES)))
 
 
 def stored_events(spark: SparkSession, store: Store) -> DataFrame:
-    return tables.read_events(spark, store.events).drop("id_bucket")
+    return tables.read(spark, store.events, EVENTS).drop("batch_id", "block_range")

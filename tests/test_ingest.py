@@ -125,7 +125,7 @@ def test_state_rules(spark):
 @pytest.fixture
 def stream(spark):
     source = fresh_path(spark, "test-logs")
-    store = ingest.Store(fresh_path(spark, "test-store"), buckets=4)
+    store = ingest.Store(fresh_path(spark, "test-store"), range_blocks=40, merge_every=2)
 
     def feed(rows):
         frame(spark, rows).coalesce(1).write.mode("append").parquet(source)
@@ -205,3 +205,68 @@ def test_tables(spark):
                                 "run_id")
     stored = spark.read.parquet(path)
     assert sorted((r.k, r.run_id) for r in stored.collect()) == [(1, 1), (2, 1), (9, 2)]
+
+
+def test_failure_between_append_and_progress(spark, stream, monkeypatch):
+    """What the first try stored is counted by the second, and the error is seen between."""
+    rows = [registered(i, "u", block=ANCHOR_BLOCK) for i in range(5)]
+    batch = frame(spark, rows + [registered(6, "u", block=ANCHOR_BLOCK + 100)])
+    monkeypatch.setattr(ingest, "partial_state", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest.ingest_batch(batch, 0, stream.store, ingest.Settings())
+    assert tuple(ingest.last_run(spark, stream.store).first()) == ("error", "division by zero")
+    assert ingest.cursor(spark, stream.store).first().events_ingested == 0
+    monkeypatch.undo()
+    ingest.ingest_batch(batch, 0, stream.store, ingest.Settings())
+    assert tuple(ingest.last_run(spark, stream.store).first()) == ("ok", None)
+    row = ingest.read_progress(spark, stream.store).first()
+    assert (row.events, row.inserted) == (5, 5)
+    assert ingest.cursor(spark, stream.store).first().events_ingested == 5
+    assert len(state_of(spark, stream.store)) == 5
+
+
+def test_unreadable_block_numbers_are_kept_and_counted(spark, stream):
+    odd = [registered(i, "u")[:3] + (number,) + registered(i, "u")[4:]
+           for i, number in enumerate([None, "0xzz", "0x1" + "0" * 20])]
+    stream(odd + [registered(7, "a"), registered(8, "tip", block=ANCHOR_BLOCK + 60)])
+    assert [r[0] for r in state_of(spark, stream.store)] == ["7"]
+    assert spark.read.parquet(stream.store.unreadable).count() == 3
+    assert ingest.read_progress(spark, stream.store).first().unreadable == 3
+
+
+def test_gap_and_tip(spark, stream):
+    """The tip comes from the blocks, and nothing behind an unread range is taken in."""
+    blocks = spark.range(ANCHOR_BLOCK, ANCHOR_BLOCK + 2000).selectExpr(
+        "id AS block_number", f"timestamp_seconds({ANCHOR_EPOCH_SECONDS} + (id - {ANCHOR_BLOCK}) * 2)"
+                              " AS block_time")
+    ranges = "from_block bigint, to_block bigint, readable boolean"
+    batch = frame(spark, [registered(i, "u", block=ANCHOR_BLOCK + 100 * i) for i in range(8)])
+    gap = spark.createDataFrame([(ANCHOR_BLOCK, ANCHOR_BLOCK + 299, True),
+                                 (ANCHOR_BLOCK + 400, ANCHOR_BLOCK + 900, True)], ranges)
+    ingest.ingest_batch(batch, 0, stream.store, ingest.Settings(), blocks, gap)
+    assert [r[0] for r in state_of(spark, stream.store)] == ["0", "1", "2"]
+    assert ingest.cursor(spark, stream.store).first().last_block == ANCHOR_BLOCK + 299
+    whole = spark.createDataFrame([(ANCHOR_BLOCK, ANCHOR_BLOCK + 900, True)], ranges)
+    ingest.ingest_batch(batch.limit(0), 1, stream.store, ingest.Settings(), blocks, whole)
+    assert len(state_of(spark, stream.store)) == 8
+    assert ingest.cursor(spark, stream.store).first().last_block == ANCHOR_BLOCK + 900
+
+
+def test_a_batch_reads_its_own_ranges_only(spark, stream):
+    """Folders, files and rows that a later batch meets do not grow with what is stored."""
+    for k in range(6):
+        ingest.ingest_batch(frame(spark, [
+            registered(i, f"u{k}", block=ANCHOR_BLOCK + 200 * k + i) for i in range(4)]
+            + [registered(99, "t", block=ANCHOR_BLOCK + 200 * k + 60)]), k, stream.store,
+            ingest.Settings())
+    ranges = {r.block_range for r in spark.read.parquet(stream.store.events).collect()}
+    assert len(ranges) >= 6
+    own = tables.read(spark, stream.store.events, ingest.EVENTS)
+    last = (ANCHOR_BLOCK + 1000) // 40
+    assert len(own.where(F.col("block_range").between(last, last)).inputFiles()) > 0
+    plan = own.where(F.col("block_range").between(last, last)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block_range" in plan
+    assert tables.versions(spark, stream.store.unconfirmed) == [4, 5]
+    assert tables.versions(spark, stream.store.agents) == [3, 5]
+    assert ingest.stored_events(spark, stream.store).count() == 29
