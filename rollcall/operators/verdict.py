@@ -111,7 +111,8 @@ def fetch_outcomes(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MO
         .when(F.lit(not dialect.study) & ~F.col("robots_allowed"), "robots_disallowed")
         .when(F.col("inline") & ~answered, "data_uri_malformed")
         .when(~answered, error_category(F.col("error_class"), F.col("error_message")))
-        .when(~F.col("inline") & ~in_2xx, http_category(F.col("status")))
+        .when(~F.col("inline") & ~in_2xx, F.coalesce(http_category(F.col("status")),
+                                                     F.lit("prober_error")))
         .when((F.lit(dialect.study) | ~F.col("inline")) & no_text, "empty_body"))
     detail = (
         F.when(F.col("_category").isin("excluded_by_request", "robots_disallowed"), host)

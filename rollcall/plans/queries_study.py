@@ -24,11 +24,11 @@ from rollcall.sources import csvfiles, jsondocs
     coalesce(strftime(to_timestamp(seconds) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ'), '')
         AS datetime_utc
     FROM decoded LEFT JOIN blocks USING (block_number)
-    WHERE source_type = 'signup' AND event_id % 31 <> 0""")
+    WHERE source_type = 'signup'""")
 def study_registrations(spark, sf_dir):
     raw = b.log_table(spark, sf_dir)
     rows = decode.study_registrations(raw)
-    return study.with_times(rows.where("log_index % 31 <> 0"), _block_table(raw)) \
+    return study.with_times(rows, _block_table(raw)) \
         .drop("tx_hash", "log_index")
 
 
@@ -46,11 +46,11 @@ def study_cut_payloads(spark, sf_dir):
     CASE WHEN event_id % 7 <> 0 THEN 'https://h' || (event_id % 97) || '.test/ü' END
         AS agent_uri_current,
     CASE WHEN event_id % 7 = 0 THEN false ELSE event_id % 5 = 0 END AS changed
-    FROM decoded WHERE source_type = 'signup' AND event_id % 31 <> 0 AND event_id % 23 <> 0""")
+    FROM decoded WHERE source_type = 'signup' AND event_id % 31 <> 0""")
 def study_current_uris(spark, sf_dir):
     """Current URIs by lookup; one agent in seven did not answer."""
     rows = materialise(decode.decode_logs(b.raw_logs(spark, sf_dir)).where(
-        "event_type = 'Registered' AND log_index % 23 <> 0").select(
+        "event_type = 'Registered'").select(
         F.col("tx_hash").alias("agent_id"), F.col("agent_uri").alias("agent_uri_at_registration"),
         "log_index"), "registered")
     answers = rows.where("log_index % 7 <> 0").select("agent_id", F.concat(
@@ -175,39 +175,35 @@ def owner_top5(spark, sf_dir):
 
 @query("study_verdict", f"""WITH {GRADED_SQL}, s AS (SELECT *,
         CASE WHEN u IN (0, 1) THEN 0 WHEN u = 4 THEN 1
-            WHEN u = 2 THEN CASE q % 3 WHEN 1 THEN 1 ELSE 2 END WHEN u = 3 THEN 2
-            WHEN q IN (0, 1, 3) THEN 1 ELSE 2 END AS got FROM graded WHERE pass = 1 AND q <> 4
-            AND NOT (u = 2 AND q % 3 = 2) AND d <> 6),
+            WHEN u = 2 THEN CASE q % 3 WHEN 0 THEN 2 ELSE 1 END WHEN u = 3 THEN 2
+            WHEN q IN (0, 1, 3, 4) THEN 1 ELSE 2 END AS got FROM graded WHERE pass = 1),
     t AS (SELECT *, CASE WHEN got < 2 THEN got WHEN d IN (0, 1) OR (u >= 5 AND q = 2) THEN 2
             WHEN d = 2 THEN 3
             WHEN d = 3 THEN 4 WHEN d IN (4, 5) THEN 5 ELSE 6 END AS funnel_stage FROM s)
     SELECT CAST(k AS VARCHAR) AS agent_id, funnel_stage,
         CASE WHEN got < 2 AND u = 4 THEN 'unsupported_scheme:other'
             WHEN u >= 5 AND q = 1 THEN 'ReadTimeout: slow' ELSE '' END AS fetch_error,
-        CASE WHEN u IN (0, 1, 4) THEN '' WHEN u = 2 THEN '200' WHEN u = 3 THEN 'data'
-            WHEN q = 0 THEN '404' WHEN q = 1 THEN '' WHEN q = 3 THEN '429' ELSE '200' END
+        CASE WHEN u IN (0, 1, 4) THEN '' WHEN u = 2 THEN CASE WHEN q % 3 = 2 THEN '' ELSE '200' END
+            WHEN u = 3 THEN 'data' WHEN q = 0 THEN '404' WHEN q IN (1, 4) THEN '' WHEN q = 3 THEN '429' ELSE '200' END
             AS http_status,
         CASE WHEN funnel_stage < 4 OR (d = 3) THEN CASE WHEN funnel_stage >= 4 THEN '0' ELSE '' END
-            ELSE CASE d WHEN 4 THEN '2' WHEN 5 THEN '3' ELSE '6' END END AS services_count,
+            ELSE CASE d WHEN 4 THEN '2' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '6' END END
+            AS services_count,
         CASE WHEN funnel_stage >= 5 AND d = 4 THEN 'x'
-            WHEN funnel_stage >= 5 AND d = 5 THEN 'web' ELSE '' END AS service_types
+            WHEN funnel_stage >= 5 AND d = 5 THEN 'web' WHEN funnel_stage >= 5 AND d = 6 THEN 'z|b'
+            ELSE '' END AS service_types
     FROM t""")
 def study_verdict(spark, sf_dir):
-    """The same attempts under the study's rules, which know neither robots nor exclusions."""
-    targets = materialise(b.probe_targets(spark, sf_dir).where(
-        "pass = 1 AND q <> 4 AND NOT (u = 2 AND q % 3 = 2) AND d <> 6"), "targets")
+    """The same attempts under the study's rules: neither robots nor exclusions, and any 2xx
+    answer ends the search."""
+    targets = materialise(b.probe_targets(spark, sf_dir).where("pass = 1"), "targets")
     rows = targets.select("run_id", "agent_id", "pass", "uri", F.lit("").alias("owner"),
                           F.lit("agent_uri_current").alias("uri_source"), "checked_at")
-    graded = verdict.grade_study(rows, _study_fetches(targets), b.endpoint_probes(targets))
+    graded = verdict.grade_study(rows, b.fetches(targets), b.endpoint_probes(targets))
     return graded.select("agent_id", F.col("funnel_stage").cast("int"), "fetch_error",
                          "http_status", "services_count", "service_types")
 
 
-def _study_fetches(targets):
-    """The study's crawler sent blank bodies through and stopped at any 2xx answer."""
-    return b.fetches(targets).where("NOT (pos = 2)")
-
-
 # --- files and documents ----------------------------------------------------------------
 
 @query("csv_round_trip", """SELECT CAST(doc_id AS VARCHAR) AS agent_id,
@@ -231,7 +227,7 @@ def csv_round_trip(spark, sf_dir):
 def text_round_trip(spark, sf_dir):
     path = fresh_path(spark, "txt")
     b.table(spark, sf_dir, "orders").orderBy("o_orderkey").selectExpr(
-        "'  https://a/' || o_orderkey || ' ' AS value").coalesce(1).write.text(path)
+        "'  https://a/' || o_orderkey || ' ' AS value").write.text(path)
     return csvfiles.uris_from_text(spark, path).select("agent_id", "uri")
 
 
