@@ -56,6 +56,7 @@ def wilson_sql(k: str, n: str) -> str:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from rollcall.plans import queries_analyse, queries_ingest, queries_measure, queries_study
+    from rollcall.plans import queries_analyse, queries_files, queries_ingest, \
+        queries_measure, queries_study
 
-    del queries_analyse, queries_ingest, queries_measure, queries_study
+    del queries_analyse, queries_files, queries_ingest, queries_measure, queries_study
