@@ -75,9 +75,13 @@ def decode_metadata_texts(spark, sf_dir):
     WHERE source_type IN ('signup', 'view') AND block_number
         BETWEEN {ANCHOR_BLOCK + 100_000} AND {ANCHOR_BLOCK + 600_000}""")
 def scan_logs(spark, sf_dir):
-    rows = logs.scan_logs(b.raw_logs(spark, sf_dir), ANCHOR_BLOCK + 100_000,
+    """Logs are stored with columns that scans can skip by, then one range is read."""
+    path = fresh_path(spark, "logs")
+    logs.write_logs(b.raw_logs(spark, sf_dir), path, 250_000)
+    rows = logs.scan_logs(logs.stored_logs(spark, path), ANCHOR_BLOCK + 100_000,
                           ANCHOR_BLOCK + 600_000,
-                          [decode.TOPIC_REGISTERED, decode.TOPIC_URI_UPDATED])
+                          [decode.TOPIC_REGISTERED, decode.TOPIC_URI_UPDATED],
+                          range_blocks=250_000)
     return rows.select(F.lower("transactionHash").alias("tx_hash"), "block_number")
 
 

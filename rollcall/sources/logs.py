@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rollcall.constants import CONFIRMATIONS, EVENT_TOPICS, REGISTRY_CONTRACT
 from rollcall.functions import abi
+from rollcall.schemas import RAW_LOGS
+
+STORED_LOGS = RAW_LOGS + ", block_number bigint, topic0 string, block_range bigint"
 
 
 def with_block_number(raw_logs: DataFrame) -> DataFrame:
@@ -20,17 +23,46 @@ def with_block_number(raw_logs: DataFrame) -> DataFrame:
     return raw_logs.withColumn("block_number", abi.quantity(F.col("blockNumber")))
 
 
+def write_logs(raw_logs: DataFrame, path: str, range_blocks: int) -> None:
+    """
+    Store logs so that scans can skip: lower-case address and first topic, the block number as a
+    number, a folder for every `range_blocks` blocks. Logs without a readable number come too, in
+    a folder of their own.
+    """
+    with_block_number(raw_logs).withColumns({
+        "address": F.lower("address"), "topic0": F.lower(F.get("topics", F.lit(0))),
+        "block_range": F.floor(F.col("block_number") / range_blocks)}) \
+        .hint("rebalance", "block_range").sortWithinPartitions("block_range", "block_number") \
+        .write.partitionBy("block_range").mode("append").parquet(path)
+
+
+def stored_logs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED_LOGS).parquet(path)
+
+
 def scan_logs(raw_logs: DataFrame, from_block: int | None = None, to_block: int | None = None,
-              topics: Sequence[str] | None = None, contract: str = REGISTRY_CONTRACT) -> DataFrame:
-    """Logs of one contract in a block range with one of the given event signatures."""
+              topics: Sequence[str] | None = None, contract: str = REGISTRY_CONTRACT,
+              range_blocks: int | None = None) -> DataFrame:
+    """
+    Logs of one contract in a block range with one of the given event signatures.
+
+    On stored logs every filter reaches the scan, and with `range_blocks`, as they were written
+    with, only the folders of the range are opened; on raw ones hex texts are read for it.
+    """
     rows = raw_logs if "block_number" in raw_logs.columns else with_block_number(raw_logs)
-    rows = rows.where(F.lower("address") == contract.lower())
+    stored = "topic0" in raw_logs.columns
+    rows = rows.where((F.col("address") if stored else F.lower("address")) == contract.lower())
     if from_block is not None:
         rows = rows.where(F.col("block_number") >= from_block)
+        if stored and range_blocks:
+            rows = rows.where(F.col("block_range") >= from_block // range_blocks)
     if to_block is not None:
         rows = rows.where(F.col("block_number") <= to_block)
+        if stored and range_blocks:
+            rows = rows.where(F.col("block_range") <= to_block // range_blocks)
     wanted = list(EVENT_TOPICS.values()) if topics is None else list(topics)
-    return rows.where(F.lower(F.get("topics", F.lit(0))).isin(*wanted))
+    topic = F.col("topic0") if stored else F.lower(F.get("topics", F.lit(0)))
+    return rows.where(topic.isin(*[t.lower() for t in wanted]))
 
 
 def recent_logs(logs: DataFrame, count: int) -> DataFrame:

@@ -116,3 +116,32 @@ def test_documents_are_kept(spark, graded):
     rows = graded.select("run_id", "agent_id", F.lit("{}").alias("body"))
     tables.write_documents(rows, path)
     assert spark.read.parquet(path).count() == len(EXPECTED)
+
+
+def test_attempts_have_no_last_position(spark):
+    """A good answer at any position counts; what comes after it does not."""
+    from rollcall.operators import verdict
+    from rollcall.schemas import FETCHES
+
+    def attempt(agent, pos, status, body="{}", **kw):
+        return (1, agent, 1, pos, f"https://g{pos}.test/{agent}", kw.get("excluded", False),
+                kw.get("allowed", True), status, kw.get("error"), None, 5, "t", 2, body)
+
+    fetched = spark.createDataFrame([
+        attempt("a", 0, 504), attempt("a", 3, 200), attempt("a", 9, 404),
+        attempt("b", 0, 504), attempt("b", 40, 502), attempt("c", 0, 504),
+        attempt("c", 5, None, excluded=True), attempt("d", 2, None), attempt("e", 7, 200, "[1]")],
+        FETCHES)
+    targets = spark.createDataFrame(
+        [(1, x, 1, f"ipfs://{x}") for x in "abcde"]
+        + [(1, "f", 1, "data:application/json,{\"x\": 1}"), (1, "g", 1, "data:,[1]")],
+        "run_id bigint, agent_id string, pass int, uri string")
+    outcomes = verdict.choose_attempt(verdict.fetch_outcomes(targets, fetched))
+    got = {r.agent_id: (r.decided.pos, r.decided.category, r.made.pos if r.made else None)
+           for r in outcomes.collect()}
+    assert got == {"a": (3, None, 3), "b": (40, "http_502_bad_gateway", 40),
+                   "c": (5, "excluded_by_request", 0), "d": (2, "prober_error", 2),
+                   "e": (7, None, 7), "f": (0, None, 0), "g": (0, None, 0)}
+    stored = {(r.agent_id, r.pos, r.body)
+              for r in verdict.documents_of_run(targets, fetched).collect()}
+    assert stored == {("a", 3, "{}"), ("f", 0, '{"x": 1}')}
