@@ -1,8 +1,8 @@
 """
 Quality scores of texts by a linear model on Naive Bayes scaled n-gram indicators.
 
-Each text is the set of its n-grams: three bytes in a row, words, pairs of words, and runs of a
-repeated word, hashed to a fixed number of places. An indicator is scaled by the log ratio of
+Each text is the set of its n-grams: three bytes in a row, words and pairs of words, hashed to a
+fixed number of places, and how large a share of its pairs repeats one word. An indicator is scaled by the log ratio of
 its share in the two classes, then a hinge-loss model is fitted by dual coordinate descent
 (Wang and Manning, "Baselines and bigrams", 2012; Hsieh and others, "A dual coordinate descent
 method for large-scale linear SVM", 2008). A sigmoid fitted on rows that the model has not seen
@@ -25,8 +25,12 @@ from rollcall.llm.words import Words, fold, mix, stream, word_slices
 
 SAMPLE = 4000
 BITS = 16
-RUNS = 4                        # longest run of one word that is a feature of its own
-WIDTH = 2 * 2 ** BITS + RUNS
+# Shares of words equal to the one before; each that a text reaches is REPEAT_PLACES indicators,
+# since a long text has thousands of others.
+REPEATS = (0.01, 0.03, 0.1, 0.3, 0.6)
+REPEAT_PLACES = 32
+WIDTH = 2 * 2 ** BITS + len(REPEATS) * REPEAT_PLACES
+DAMPING = 100                   # as many absent indicators damp the margin of a short text
 SMOOTHING, COST, ROUNDS = 1.0, 1.0, 30
 THRESHOLD = 0.7
 
@@ -52,12 +56,10 @@ def indicators(words: Words) -> Iterator[np.ndarray]:
         present[grams[low:max(low, high - 2)]] = True
         present[single[first:end]] = True
         present[pair[first:max(first, end - 1)]] = True
-        run = same[first:max(first, end - 1)]
-        for k in range(RUNS):
-            if not run.any():
-                break
-            present[2 * 2 ** BITS + k] = True
-            run = run[1:] & same[first + k + 1:max(first + k + 1, end - 1)]
+        repeats = same[first:max(first, end - 1)]
+        if len(repeats):
+            reached = int((repeats.mean() >= np.array(REPEATS)).sum())
+            present[2 * 2 ** BITS:2 * 2 ** BITS + reached * REPEAT_PLACES] = True
         yield np.flatnonzero(present)
 
 
@@ -69,7 +71,7 @@ class Model:
     shift: float
 
     def margins(self, rows: list[np.ndarray]) -> np.ndarray:
-        return np.array([self.weights[x].sum() / np.sqrt(max(1, len(x))) + self.bias
+        return np.array([self.weights[x].sum() / np.sqrt(len(x) + DAMPING) + self.bias
                          for x in rows])
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
@@ -88,7 +90,7 @@ def _coordinate_descent(rows: list[np.ndarray], ratios: np.ndarray,
                         sign: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights on the scaled indicators, and the bias, that minimise the hinge loss."""
     weights, bias = np.zeros(WIDTH), 0.0
-    values = [ratios[x] / np.sqrt(max(1, len(x))) for x in rows]
+    values = [ratios[x] / np.sqrt(len(x) + DAMPING) for x in rows]
     squares = np.array([v @ v + 1 for v in values])
     # Both classes weigh the same in total.
     share = np.where(sign > 0, (sign > 0).mean(), (sign < 0).mean())

@@ -54,7 +54,7 @@ def test_coordinate_descent_reaches_the_optimum():
     sign = np.where([x[0] % 2 == 0 for x in rows], 1.0, -1.0)
     ratios = np.ones(classifier.WIDTH)
     weights, bias = classifier._coordinate_descent(rows, ratios, sign)
-    margins = np.array([weights[x].sum() / np.sqrt(20) + bias for x in rows]) * sign
+    margins = np.array([(ratios * weights)[x].sum() / np.sqrt(20 + classifier.DAMPING) + bias for x in rows]) * sign
     share = np.where(sign > 0, (sign > 0).mean(), (sign < 0).mean())
     most = classifier.COST / (2 * share)
     primal = 0.5 * (weights @ weights + bias ** 2) + (most * np.maximum(0, 1 - margins)).sum()
