@@ -14,6 +14,7 @@ groups of a bounded size.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from rollcall.llm.words import buffers
 from rollcall.session import materialise
@@ -30,7 +31,7 @@ from rollcall.session import materialise
 FULL = 0.98
 # A task packs so many tokens together, and a group of the second pass about as many.
 BATCH_TOKENS = 8_000_000
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000            # up to some 100 bytes each, twice, in a worker
 
 
 @dataclass(frozen=True)
@@ -87,43 +88,75 @@ def best_fit(lengths: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarra
     return sequence, offset
 
 
-class _Ids(dict):
-    """Token ids of a word between white space, as bytes, kept for up to WORDS_KEPT words."""
+# Words of ASCII and Latin letters, marks and digits, whose parts are plain to see: for them the
+# tokenizer's own normaliser does no more than lower-case.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
-    def __init__(self, path: str):
+
+class _Parts(dict):
+    """Token ids of the parts that the tokenizer's model sees one at a time."""
+
+    def __init__(self, tokenizer: Tokenizer, kept: int):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.kept = kept
+        self.model = tokenizer.model
+        self.four = [n.to_bytes(4, "little") for n in range(tokenizer.get_vocab_size())]
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spell = lambda part: letters.pre_tokenize_str(part)[0][0]
 
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode() for w in words],
-                                            add_special_tokens=False)
-        self.update(zip(words, (np.array(e.ids, "<u4").tobytes() for e in found)))
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= self.kept:
+            self.clear()
+        tokens = self.model.tokenize(part if part.isascii() else self.spell(part))
+        ids = self[part] = b"".join([self.four[t.id] for t in tokens])
+        return ids
+
+
+class _Vocabulary(dict):
+    """
+    Token ids of words between white space, as bytes: those met lately, in two generations of up
+    to `kept` words. A word of the older one that is met again moves to the newer one.
+    """
+
+    def __init__(self, path: str, kept: int):
+        super().__init__()
+        self.kept = kept
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts = _Parts(self.tokenizer, kept)
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode()
+            if _PLAIN.fullmatch(text) and b"<|" not in word:
+                ids = b"".join([self.parts[p] for p in _PART.findall(text.lower())])
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False)
+                ids = np.array(found.ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
 
-@lru_cache(maxsize=2)
-def _ids(path: str) -> _Ids:
-    return _Ids(path)
+@lru_cache(maxsize=1)
+def _vocabulary(path: str, kept: int) -> _Vocabulary:
+    return _Vocabulary(path, kept)
 
 
-def token_ids(texts: list[bytes], path: str) -> list[bytes]:
+def token_ids(text: bytes, path: str, words_kept: int = WORDS_KEPT) -> bytes:
     """
-    Token ids of whole texts, little-endian unsigned 32-bit.
+    Token ids of a whole text, little-endian unsigned 32-bit.
 
-    The tokenizer drops white space and never joins what stands on either side of it, so a text's
-    ids are those of its words. Words met before are looked up.
+    The tokenizer drops white space, lower-cases, and never joins what stands on either side of
+    white space, so a text's ids are those of its words; their A-Z may be lower-cased before,
+    except where that could write the name of a special token.
     """
-    known = _ids(path)
-    out = []
-    for text in texts:
-        words = text.split()
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > WORDS_KEPT:
-                known.clear()
-                new = list(set(words))
-            known.learn(new)
-        out.append(b"".join(map(known.__getitem__, words)))
-    return out
+    words = (text if b"<|" in text else text.lower()).split()
+    return b"".join(map(_vocabulary(path, words_kept).__getitem__, words))
 
 
 PIECES = ("doc_id long, piece int, start long, length long, ids binary, sequence_id long, "
@@ -166,15 +199,16 @@ def _packer(limits: Limits, space: int):
     return pack
 
 
-def _tokenising(limits: Limits, path: str, end_id: int):
+def _tokenising(limits: Limits, path: str, end_id: int, words_kept: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             data = data.tobytes()
-            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                ids = token_ids([data[offsets[i]:offsets[i + 1]]], path)[0] + end
+            docs = batch.column("doc_id").to_pylist()
+            for doc, low, high in zip(docs, offsets[:-1].tolist(), offsets[1:].tolist()):
+                ids = token_ids(data[low:high], path, words_kept) + end
                 total = len(ids) // 4
                 for k in range(0, total, limits.tokens):
                     n = min(limits.tokens, total - k)
@@ -195,7 +229,7 @@ def _again(limits: Limits):
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(),
-                   end_id: int = 1) -> DataFrame:
+                   end_id: int = 1, words_kept: int = WORDS_KEPT) -> DataFrame:
     """
     (doc_id, piece, start, length, ids, sequence_id, offset), one row per piece of docs (doc_id,
     text, ...).
@@ -204,9 +238,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits
     so every row gives a piece. Documents longer than a sequence are cut at its capacity, others
     never. Rows that repeat a doc_id, or have none, are packed like any other. Other columns are
     not looked at; an empty table gives no rows. ids are little-endian unsigned 32-bit numbers.
+    A Python worker remembers the ids of up to twice `words_kept` words, which changes its speed
+    and memory but no result.
     """
     first = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                        .mapInArrow(_tokenising(limits, tokenizer_path, end_id), PIECES),
+                        .mapInArrow(_tokenising(limits, tokenizer_path, end_id, words_kept),
+                                    PIECES),
                         "packed")
     small = first.where(F.col("used") < FULL * limits.tokens).drop("sequence_id", "offset", "used")
     tokens = small.agg(F.sum("length")).first()[0] or 0

@@ -66,18 +66,15 @@ def test_token_ids_of_odd_texts():
     tokenizer = Tokenizer.from_file(PATH)
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
             for t in odd]
-    assert packing.token_ids([t.encode() for t in odd], PATH) == want
+    assert [packing.token_ids(t.encode(), PATH) for t in odd] == want
 
 
-def test_forgotten_words_are_learnt_again(monkeypatch):
-    monkeypatch.setattr(packing, "WORDS_KEPT", 30)
-    packing._vocabulary.cache_clear()
+def test_forgotten_words_are_learnt_again():
     texts = [" ".join(f"w{(k * 7 + j) % 90}" for j in range(20)) for k in range(30)]
     tokenizer = Tokenizer.from_file(PATH)
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
             for t in texts]
-    assert [packing.token_ids([t.encode()], PATH)[0] for t in texts] == want
-    packing._vocabulary.cache_clear()
+    assert [packing.token_ids(t.encode(), PATH, 30) for t in texts] == want
 
 
 def slow_best_fit(lengths, limits):
