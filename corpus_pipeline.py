@@ -15,6 +15,8 @@ from rollcall.llm import classifier, mixing, packing, passages, setsketch
 from rollcall.llm.queries_text import quality_model
 from rollcall.session import materialise, tune
 
+# The workers of all stages share an executor's memory, so the last one remembers fewer words.
+WORDS_KEPT = 100_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -50,7 +52,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens and their places in sequences."""
     tune(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"),
+                                  words_kept=WORDS_KEPT)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates),
