@@ -121,7 +121,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     `threshold`, which must be above 0. n_links counts the other rows linked directly, equal
     vectors too; component_id is the smallest vec_id that links reach. Vectors that are null,
     empty, zero or hold a null or non-finite component link with nothing, nor do vectors of
-    different lengths. Rows that repeat a vec_id count each. A row without vec_id links with
+    different lengths. Rows that repeat a vec_id count each, and each has its own links. A row without vec_id links with
     nothing, has a null component_id and is kept. Other columns are not looked at; an empty table
     gives an empty one.
     """
@@ -130,11 +130,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     takes_part = usable(F.col("vector")) & F.exists("vector", lambda x: x != 0) \
         & F.col("vec_id").isNotNull()
     rows = rows.withColumn("vector", F.when(takes_part, F.col("vector")))
+    # Classes get numbers of their own, as rows may repeat a vec_id with another vector.
     classes = materialise(rows.where("vector is not null").groupBy("vector").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "classes")
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
+        .withColumn("id", F.monotonically_increasing_id()), "classes")
     tiles = max(1, -(-classes.count() // TILE_ROWS))
-    packed = materialise(tiled(classes.groupBy("id", "vector", "weight").agg(F.lit(1)).drop("1"),
-                               tiles), "tiles")
+    packed = materialise(tiled(classes.select("id", "vector", "weight"), tiles), "tiles")
     other = packed.select(F.col("tile").alias("other"), "dim",
                           *[F.col(c).alias(f"other_{c}") for c in ("ids", "weights", "matrix")])
     # Every two tiles meet once, in whichever order makes a tile's units about half of all.
@@ -146,11 +147,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     found = materialise(units.mapInArrow(_compare(threshold), "kind long, a long, b long"),
                         "vector_links")
     roots = components(found.where("kind = 1").select("a", "b"))
+    members = roots.join(classes.select(F.col("id").alias("vertex"), "least"), "vertex")
+    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = members.join(least, "root").select(F.col("vertex").alias("id"), "component_id")
     links = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("links"))
     known = classes.join(links.withColumnRenamed("a", "id"), "id", "left") \
-        .join(roots.withColumnRenamed("vertex", "id"), "id", "left") \
+        .join(placed, "id", "left") \
         .select("vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                F.coalesce("root", "id").alias("component_id"))
+                F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(known, "vector", "left") \
         .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                 F.coalesce("component_id", "vec_id").alias("component_id")) \

@@ -75,14 +75,15 @@ def top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
 
     Each query's k highest inner products with items of another id, fewer if there are fewer;
     ties go to the smaller id, equal ids count each. Vectors of different lengths do not meet.
-    Queries are known by their ids, of which repeated ones give one list; a null id or vector takes
+    Queries are known by their ids; of a repeated one the least vector is taken; a null id or vector takes
     no part. No queries or no items give no rows.
     """
     def prepared(rows):
         return rows.where("id is not null and vector is not null") \
             .select(F.col("id").cast("long").alias("id"), F.lit(1).cast("long").alias("weight"),
                     "vector")
-    queries = prepared(queries).dropDuplicates(["id"])
+    queries = prepared(queries).groupBy("id").agg(F.min("weight").alias("weight"),
+                                                  F.min("vector").alias("vector"))
     items = prepared(items)
     shards = max(1, -(-items.count() // SHARD_ROWS))
     query_tiles = max(1, -(-queries.count() // QUERY_ROWS))

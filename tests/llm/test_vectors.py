@@ -39,7 +39,7 @@ def brute_links(rows, threshold=0.95):
         unit.append(x / np.linalg.norm(x) if ok else None)
     links = [[j for j, y in enumerate(unit) if j != k and x is not None and y is not None
               and len(x) == len(y) and x @ y >= threshold] for k, x in enumerate(unit)]
-    low = {r[0]: r[0] for r in rows if r[0] is not None}
+    low = list(range(len(rows)))
 
     def find(a):
         while low[a] != a:
@@ -47,17 +47,18 @@ def brute_links(rows, threshold=0.95):
         return a
     for k, others in enumerate(links):
         for j in others:
-            a, b = sorted((find(rows[k][0]), find(rows[j][0])))
+            a, b = sorted((find(k), find(j)), key=lambda n: (rows[n][0] is None, rows[n][0]))
             low[b] = a
-    return [(r[0], len(links[k]), None if r[0] is None else find(r[0])) for k, r in enumerate(rows)]
+    return [(r[0], len(links[k]), None if r[0] is None else rows[find(k)][0])
+            for k, r in enumerate(rows)]
 
 
 @pytest.mark.parametrize("tile_rows", [3000, 7])
 def test_links_and_components(spark, hard, monkeypatch, tile_rows):
     hard([])
     monkeypatch.setattr(quantised, "TILE_ROWS", tile_rows)
-    # A repeated vec_id is one vertex only where its vectors are linked.
-    rows = [r for r in vectors() if r[0] not in (15,)] + [(10, vectors()[2][1], 1, None, None, None)]
+    rows = vectors() + [(10, vectors()[2][1], 1, None, None, None),
+                        (20, vectors()[5][1], 1, None, None, None)]
     got = quantised.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert sorted(map(repr, (tuple(r)[:3] for r in got))) == sorted(map(repr, brute_links(rows)))
     assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in got)
