@@ -190,7 +190,9 @@ class Mix:
             .withColumn("start", F.col("before") - F.col("base")) \
             .select("doc_id", "source", "mark", "size", "source_size", "target", "number", "start",
                     "length")
-        times = self.slots.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
+        # As many rows as blocks, though they come from a small table: never to be broadcast.
+        times = self.slots.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times")) \
+            .hint("merge")
         held = self.placed.where("size > 0").withColumn("block", F.explode(F.sequence(
             F.expr("start div length"), F.expr("(start + size - 1) div length"))))
         first = F.col("block") * F.col("length") - F.col("start")
@@ -204,7 +206,7 @@ class Mix:
         by_doc = ["number", "start", "doc_id", "mark", "size"]
         words = self.segments.groupBy(*by_doc).agg(
             F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
-        found = self.placed.join(words.select("number", "start", "size", "taken"),
+        found = self.placed.join(words.select("number", "start", "size", "taken").hint("merge"),
                                  ["number", "start", "size"], "left")
         return found.select("doc_id", "size", "source_size", "target",
                             F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
@@ -260,7 +262,7 @@ def mixed(docs: DataFrame) -> DataFrame:
                    F.xxhash64("text").alias("mark"))
     keyed = docs.withColumn("_own", own).withColumn("_at", _packed("_own")).drop("_own") \
         .dropDuplicates(["_at"])
-    found = keyed.join(takes, "_at")
+    found = keyed.join(takes.hint("merge"), "_at")
     texts = found.withColumn("_texts", _cut(F.col("text"), F.col("_pieces"), F.col("_copies")))
     return texts.withColumn("_text", F.explode("_texts")) \
         .select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
