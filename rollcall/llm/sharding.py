@@ -23,7 +23,8 @@ from rollcall.session import materialise
 PROBES = 16                     # candidates around a cut in one round
 TOLERANCE = 0.002               # of a shard's bytes
 GROUP_TOLERANCE = 0.05          # the same where it keeps a group of equal texts whole
-PART_BYTES = 64 * 2 ** 20
+PART_BYTES = 16 * 2 ** 20       # of a part of a shard, which one task sorts
+MOST_PARTS = 20_000             # whose boundaries the driver holds; beyond, parts are larger
 LOW, HIGH = -2 ** 63, 2 ** 63 - 1
 HISTOGRAM = ("slot", "bytes", "rows", "f_least", "s_least", "f_most", "s_most")
 
@@ -174,7 +175,7 @@ def shard(docs: DataFrame, shards: int, tolerance: float = TOLERANCE,
     keys = materialise(keyed.select(F.col("_first").alias("first"), F.col("_second").alias("second"),
                                     F.col("size").alias("weight")), "shard_keys")
     total = keys.agg(F.sum("weight")).first()[0] or 0
-    finer = int(max(1, -(-total // (shards * part_bytes))))
+    finer = int(max(1, min(-(-total // (shards * part_bytes)), MOST_PARTS // shards)))
     cuts = shards * finer
     targets = sorted({total * k // cuts for k in range(1, cuts)})
     found = splitters(keys, targets, int(tolerance * total / shards),
