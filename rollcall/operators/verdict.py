@@ -24,6 +24,7 @@ from rollcall.functions.uri import clean_uri, data_uri_parts, dot_suffixes, host
 from rollcall.schemas import ENDPOINT_DETAILS
 
 KEY = ["run_id", "agent_id", "pass"]
+HOME = ["run_id", "agent_id"]
 
 
 @dataclass(frozen=True)
@@ -200,8 +201,11 @@ def _endpoint_details(urls: Column, dialect: Dialect) -> Column:
 
 def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect: Dialect,
             exact_json: bool) -> DataFrame:
-    outcomes = fetch_outcomes(targets, fetches, dialect, exact_json)
+    # Everything about an agent's run meets in one place, so nothing moves again: not to take
+    # the attempts in order, nor to join them, nor to put the two passes together.
+    outcomes = fetch_outcomes(targets, fetches, dialect, exact_json).repartition(*HOME)
     chosen = choose_attempt(outcomes)
+    targets, probes = targets.repartition(*HOME), probes.repartition(*HOME)
     cleaned = stage(targets, {"_clean": clean_uri(F.col("uri"))})
     rows = stage(cleaned, {"uri_scheme": uri_scheme(F.col("_clean"))}) \
         .join(chosen, KEY, "left").join(gather_probes(probes, dialect), KEY, "left")
