@@ -16,7 +16,7 @@ from rollcall.llm.queries_text import quality_model
 from rollcall.session import materialise, tune
 
 # The workers of all stages share an executor's memory, so the last one remembers fewer words.
-WORDS_KEPT = 100_000
+WORDS_KEPT = 50_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

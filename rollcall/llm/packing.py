@@ -30,7 +30,7 @@ from rollcall.session import materialise
 
 FULL = 0.98
 # A task packs so many tokens together, and a group of the second pass about as many.
-BATCH_TOKENS = 4_000_000
+BATCH_TOKENS = 2_000_000
 WORDS_KEPT = 400_000            # up to some 100 bytes each, twice, in a worker
 
 
