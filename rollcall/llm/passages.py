@@ -1,20 +1,24 @@
 """
-Removing passages that repeat across documents, by hashes of lines and their sentences.
+Removing passages that repeat across documents, word by word.
 
-A text is cut into units: lines, and in a line after a word that ends in . ! or ?. A unit is
-normalised to its words, A-Z lower-cased, and known by a 128-bit digest of them. The document with
-the smallest doc_id keeps a unit, all later ones repeat it; in one document the first one counts.
-What is removed are runs of repeated units of at least MIN_WORDS words together, so common short
-lines stay. Units under MIN_UNIT words are not compared and go with a run on both sides of them.
+A window is a run of MIN_WORDS words, A-Z lower-cased, known by a 64-bit digest of them. The
+document with the smallest doc_id keeps a window, all later ones repeat it; in one document the
+first one counts, and later ones that do not overlap it repeat it. What is removed are the words
+that lie in a repeated window: runs of MIN_WORDS words or more that an earlier place has, wherever
+in a line or sentence they begin and end. A word outside such a run always stays.
 
-Only digests and ids are shuffled to find repeats, a unit once for each document. Documents are
-shuffled once, to meet their lists.
+1. Each window holds at least one print, the smallest hash of PRINT words in it (winnowing:
+   Schleimer and others, 2003), so equal windows share a print. Only prints, about one for nine
+   words, are shuffled for all documents.
+2. Documents that share prints give the digests of the windows with those prints, which tell the
+   repeated ones. Documents are shuffled once, and meet the prints and then the digests there.
+
+Among the windows of 30 GB of text, two different ones of the same digest are expected 0.1 times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollcall.llm.words import Words, mix, powers, stream, word_slices
 
 MIN_WORDS = 25
-MIN_UNIT = 4
+MIN_UNIT = 4                    # of the tests' older unit rule; nothing here looks at it
+PRINT = 9
 LAST_ID = 2 ** 63 - 1           # the rank of a row without doc_id
 
 _BASES = stream(31, 2) | np.uint64(1)
@@ -31,78 +36,116 @@ _IS_END = np.zeros(256, bool)
 _IS_END[[ord(c) for c in ".!?"]] = True
 
 
-@dataclass
-class Units:
-    """Units of some texts: index of the first word and one behind the last, text, and digest."""
-
-    first: np.ndarray
-    end: np.ndarray
-    text: np.ndarray
-    digest: np.ndarray           # two columns
-
-    @property
-    def sizes(self) -> np.ndarray:
-        return self.end - self.first
-
-
-def units_of(words: Words) -> Units:
-    total = len(words.codes)
-    if not total:
-        none = np.zeros(0, np.int64)
-        return Units(none, none, none, np.zeros((0, 2), np.int64))
+def unit_counts(words: Words) -> np.ndarray:
+    """The number of units of each text: lines, and in a line after a word that ends in . ! or ?"""
+    if not len(words.codes):
+        return np.zeros(len(words), np.int64)
     text = words.texts()
-    lines = np.cumsum(words.data == 10)
-    line = lines[words.starts]
+    line = np.cumsum(words.data == 10)[words.starts]
     last = _IS_END[words.data[words.ends - 1]]
     last[:-1] |= (line[1:] != line[:-1]) | (text[1:] != text[:-1])
     last[-1] = True
-    end = np.flatnonzero(last) + 1
-    first = np.concatenate([[0], end[:-1]])
-    sizes = end - first
-    place = np.arange(total) - np.repeat(first, sizes)
-    digest = np.empty((len(first), 2), np.uint64)
-    for k, base in enumerate(_BASES):
-        sums = np.add.reduceat(mix(words.codes ^ base) * powers(int(sizes.max()), base)[place],
-                               first)
-        digest[:, k] = mix(sums ^ sizes.astype(np.uint64))
-    return Units(first, end, text[first], digest.view(np.int64))
-
-
-def _first_in_text(units: Units) -> np.ndarray:
-    """For each unit the index of the first equal one in its text."""
-    order = np.lexsort((np.arange(len(units.text)), units.digest[:, 1], units.digest[:, 0],
-                        units.text))
-    d, t = units.digest[order], units.text[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1]).any(1)
-    leader = np.empty(len(order), np.int64)
-    leader[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
-    return leader
+    return np.bincount(text[last], minlength=len(words))
+
+
+def _inside(words: Words, width: int) -> np.ndarray:
+    """Of each run of `width` words, by its first word, whether it lies in one text."""
+    text = words.texts()
+    return text[:len(text) - width + 1] == text[width - 1:]
+
+
+def _hashes(codes: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
+    """A hash of each run of `width` words, at least that many."""
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(mix(codes ^ base) * powers(len(codes), base), out=sums[1:])
+    back = powers(len(codes), np.uint64(pow(int(base), -1, 2 ** 64)))
+    return mix((sums[width:] - sums[:-width]) * back[:len(codes) - width + 1])
+
+
+def _digests(words: Words) -> np.ndarray:
+    """Of each window, by its first word."""
+    return _hashes(words.codes, MIN_WORDS, _BASES[0]).view(np.int64)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _choices(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first words of all windows, the place of the print of each, a hash for each place)."""
+    hashes = _hashes(words.codes, PRINT, _BASES[1])
+    choices = np.lib.stride_tricks.sliding_window_view(hashes, MIN_WORDS - PRINT + 1)
+    at = np.flatnonzero(_inside(words, MIN_WORDS))
+    return at, at + choices[at].argmin(1), hashes.view(np.int64)
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for words in word_slices(batch.column("text")):
-            units = units_of(words)
-            own = np.flatnonzero((_first_in_text(units) == np.arange(len(units.text)))
-                                 & (units.sizes >= MIN_UNIT))
+            if len(words.codes) < MIN_WORDS:
+                continue
+            _, chosen, hashes = _choices(words)
+            own = np.unique(chosen)
             rank = batch.column("rank").slice(words.row, len(words)).to_numpy()
-            yield pa.record_batch({"d1": pa.array(units.digest[own, 0]),
-                                   "d2": pa.array(units.digest[own, 1]),
-                                   "rank": pa.array(rank[units.text[own]])})
+            yield pa.record_batch({"print": pa.array(hashes[own]),
+                                   "rank": pa.array(rank[words.texts()[own]])})
+
+
+def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all values, where each row's begin, and one more)."""
+    listed = lists.fill_null([]) if lists.null_count else lists
+    return listed.flatten().to_numpy(zero_copy_only=False), \
+        np.concatenate([[0], np.cumsum(listed.value_lengths().to_numpy())])
+
+
+def _listed(words: Words, hashes: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which hashes, by their first word, are in the list of their text's row."""
+    found = np.zeros(len(hashes), bool)
+    for t in np.flatnonzero(np.diff(at[words.row:words.row + len(words) + 1])):
+        a, b, row = words.first[t], words.first[t + 1], words.row + t
+        found[a:b] = np.isin(hashes[a:b], flat[at[row]:at[row + 1]])
+    return found
+
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows whose print is in the row's list, once for each row."""
+    for batch in batches:
+        flat, at = _lists(batch.column("_prints"))
+        for words in word_slices(batch.column("text")):
+            if len(words.codes) < MIN_WORDS:
+                continue
+            start, chosen, hashes = _choices(words)
+            own = start[_listed(words, hashes, flat, at)[chosen]]
+            rank = batch.column("_rank").slice(words.row, len(words)).to_numpy()
+            digests, text = _digests(words)[own], words.texts()[own]
+            order = np.lexsort((digests, text))
+            digests, text = digests[order], text[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (text[1:] != text[:-1]) | (digests[1:] != digests[:-1])
+            yield pa.record_batch({"digest": pa.array(digests[fresh]),
+                                   "rank": pa.array(rank[text[fresh]])})
+
+
+def _again(words: Words, digests: np.ndarray) -> np.ndarray:
+    """Windows that their text has before, without a common word."""
+    text = words.texts()[:len(digests)]
+    order = np.lexsort((digests, text))
+    d, t = digests[order], text[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
+    first = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    out = np.zeros(len(order), bool)
+    out[order] = order - first >= MIN_WORDS
+    return out
 
-def _runs(repeated: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of units to remove: runs that begin and end with a repeated unit, with only
-    repeated or uncompared ones between, of MIN_WORDS words or more."""
-    bridge = repeated | (sizes < MIN_UNIT)
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], bridge, [False]]).astype(np.int8)))
-    for low, high in edges.reshape(-1, 2):
-        own = np.flatnonzero(repeated[low:high])
-        if len(own):
-            a, b = low + own[0], low + own[-1] + 1
-            if sizes[a:b].sum() >= MIN_WORDS:
-                yield int(a), int(b)
+
+def _covered(words: Words, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The words of repeated windows."""
+    total = len(words.codes)
+    if total < MIN_WORDS:
+        return np.zeros(total, bool)
+    digests = _digests(words)
+    repeated = _again(words, digests) | _listed(words, digests, flat, at)
+    start = np.flatnonzero(repeated & _inside(words, MIN_WORDS))
+    steps = np.bincount(start, minlength=total + 1) \
+        - np.bincount(start + MIN_WORDS, minlength=total + 1)
+    return np.cumsum(steps)[:total] > 0
 
 
 SPANS = "struct<text: string, removed: array<struct<start: int, end: int>>, units: int>"
@@ -113,32 +156,18 @@ def _without(text: Column, repeats: Column) -> Column:
     @F.arrow_udf(SPANS)
     def without(texts: pa.Array, lists: pa.Array) -> pa.Array:
         kept, spans, counts = [], [], []
-        listed = lists.fill_null([]) if lists.null_count else lists
-        flat, lengths = listed.flatten(), listed.value_lengths().to_numpy()
-        listed_at = np.concatenate([[0], np.cumsum(lengths)])
-        names = [flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+        flat, listed_at = _lists(lists)
         for words in word_slices(texts):
-            units = units_of(words)
-            leader = _first_in_text(units)
-            inner = leader != np.arange(len(leader))
-            bounds = np.searchsorted(units.text, np.arange(len(words) + 1))
+            covered = _covered(words, flat, listed_at)
+            counts += unit_counts(words).tolist()
             data = words.data.tobytes()
             for t in range(len(words)):
-                a, b = bounds[t], bounds[t + 1]
+                a, b = words.first[t], words.first[t + 1]
                 low, high = int(words.offsets[t]), int(words.offsets[t + 1])
-                counts.append(int(b - a))
-                row = words.row + t
-                some = slice(listed_at[row], listed_at[row + 1])
-                repeated = inner[a:b] & (units.sizes[a:b] >= MIN_UNIT)
-                if lengths[row]:
-                    found = set(zip(names[0][some].tolist(), names[1][some].tolist()))
-                    repeated |= np.fromiter((tuple(x) in found for x in
-                                             units.digest[a:b].tolist()), bool, b - a)
-                cuts = []
-                for i, j in _runs(repeated, units.sizes[a:b]) if repeated.any() else ():
-                    start = words.starts[units.first[a + i]]
-                    end = words.starts[units.first[a + j]] if a + j < b else high
-                    cuts.append((int(start), int(end)))
+                edges = np.flatnonzero(np.diff(np.concatenate(
+                    [[False], covered[a:b], [False]]).astype(np.int8)))
+                cuts = [(int(words.starts[a + i]), int(words.starts[a + j]) if a + j < b else high)
+                        for i, j in edges.reshape(-1, 2)]
                 if not cuts:
                     kept.append(data[low:high].decode())
                     spans.append([])
@@ -162,23 +191,33 @@ def _rank(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))
 
 
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key more than one rank has, with the least."""
+    shared = rows.groupBy(key).agg(F.min("rank").alias("least"),
+                                   F.max("rank").alias("most")).where("most > least")
+    return rows.join(shared.hint("merge"), key)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """
     docs (doc_id, text, ...) with all its columns, the text without repeated passages, and
-    removed, an array of (start, end) in characters of the original text, and units, their number
-    in it; columns so named are replaced. Every row stays, if with an empty text.
+    removed, an array of (start, end) in characters of the original text, and units, the number of
+    lines and sentences in it; columns so named are replaced. Every row stays, if with an empty
+    text.
 
     Documents rank by doc_id, rows without one last. Rows that share a doc_id, or have none, are
     one document to others and are not compared with each other. A null text stays null and has no
     units; an empty table gives an empty one.
     """
     ranked = docs.select(_rank(F.col("doc_id")).alias("rank"), "text")
-    units = ranked.mapInArrow(_digests, "d1 long, d2 long, rank long")
-    shared = units.groupBy("d1", "d2").agg(F.min("rank").alias("least"),
-                                           F.max("rank").alias("most")).where("most > least")
-    repeats = units.join(shared.hint("merge"), ["d1", "d2"]).where("rank > least") \
-        .groupBy("rank").agg(F.collect_set(F.struct("d1", "d2")).alias("_repeats"))
+    prints = ranked.mapInArrow(_prints, "print long, rank long")
+    hits = _shared(prints, "print").groupBy("rank").agg(F.collect_set("print").alias("_prints"))
+    # Both joins take all columns of the same rows, so one exchange serves both.
     rows = docs.drop("removed", "units").withColumn("_rank", _rank(F.col("doc_id")))
+    windows = rows.join(hits.hint("merge").withColumnRenamed("rank", "_rank"), "_rank") \
+        .mapInArrow(_windows, "digest long, rank long")
+    repeats = _shared(windows, "digest").where("rank > least") \
+        .groupBy("rank").agg(F.collect_set("digest").alias("_repeats"))
     joined = rows.join(repeats.hint("merge").withColumnRenamed("rank", "_rank"), "_rank", "left")
     cleaned = joined.withColumn("_clean", _without(F.col("text"), F.col("_repeats")))
     return cleaned.select(

@@ -80,3 +80,48 @@ def test_passages_go_and_clean_text_stays(hard):
 
 def test_empty_table(hard):
     assert passages.without_repeats(hard([])).collect() == []
+
+
+def own_words(name, n, line=None):
+    """n words that no other text has; a line holds `line` of them."""
+    return "".join(f"{name}{k}" + ("\n" if line and k % line == line - 1 else " ")
+                   for k in range(n))
+
+
+def cleaned(hard, *texts):
+    rows = [(k + 1, t, "en", "s", 0) for k, t in enumerate(texts)]
+    return [r["text"] for r in sorted(passages.without_repeats(hard(rows)).collect(),
+                                      key=lambda r: r["doc_id"])]
+
+
+def test_passage_inside_a_sentence_goes(hard):
+    plain = own_words("p", 52)
+    parts = own_words("q", 20) + "end. " + own_words("r", 12) + "stop. " + own_words("s", 20)
+    texts = [own_words(f"a{k}x", 30) + p + own_words(f"b{k}x", 30)
+             for k, p in enumerate((plain, parts, plain, parts))]
+    assert cleaned(hard, *texts) == texts[:2] + [own_words(f"a{k}x", 30) + own_words(f"b{k}x", 30)
+                                                 for k in (2, 3)]
+
+
+def word_brute(texts):
+    """The words left of each text."""
+    seen, out = {}, []
+    for d, text in enumerate(texts):
+        w = [x.translate(LOWER) for x in WORD.findall(text)]
+        gone = set()
+        for i in range(len(w) - passages.MIN_WORDS + 1):
+            at = seen.setdefault(tuple(w[i:i + passages.MIN_WORDS]), (d, i))
+            if at[0] < d or i - at[1] >= passages.MIN_WORDS:
+                gone.update(range(i, i + passages.MIN_WORDS))
+        out.append([x for i, x in enumerate(w) if i not in gone])
+    return out
+
+
+def test_words_left_equal_brute_force(hard):
+    by_id = {r[0]: r[1] for r in documents() if r[0] is not None and r[0] != 71 and r[1]}
+    texts = [by_id[d] for d in sorted(by_id)]
+    # Copies of pieces of every length at any place.
+    texts += [own_words(f"c{k}x", 5) + " ".join(texts[-1 - k].split()[k:k + 24 + k % 3])
+              + " " + own_words(f"d{k}x", 5) for k in range(12)]
+    got = [[x.translate(LOWER) for x in WORD.findall(t)] for t in cleaned(hard, *texts)]
+    assert got == word_brute(texts)
