@@ -125,3 +125,13 @@ def test_words_left_equal_brute_force(hard):
               + " " + own_words(f"d{k}x", 5) for k in range(12)]
     got = [[x.translate(LOWER) for x in WORD.findall(t)] for t in cleaned(hard, *texts)]
     assert got == word_brute(texts)
+
+
+def test_text_that_repeats_nowhere_stays(hard):
+    head, foot = "The same heading of pages.\n", "The same footer of pages.\n"
+    texts = [head + own_words(f"n{k}x", 300, 2) + foot for k in range(3)]
+    shared = own_words("h", 30) + "\n"
+    texts += [shared + "漢字" * 400 + f"{k}\n" + own_words("i", 30) + "\n" for k in range(2)]
+    got = cleaned(hard, *texts)
+    assert got[:4] == texts[:4]
+    assert got[4] == "漢字" * 400 + "1\n"
