@@ -135,3 +135,16 @@ def test_text_that_repeats_nowhere_stays(hard):
     got = cleaned(hard, *texts)
     assert got[:4] == texts[:4]
     assert got[4] == "漢字" * 400 + "1\n"
+
+
+def test_passage_of_short_lines_goes(hard):
+    lists = own_words("v", 60, 1), own_words("w", 60, 3)
+    texts = [own_words(f"a{k}x", 30) + "\n" + p + own_words(f"b{k}x", 30)
+             for k, p in enumerate((*lists, *lists))]
+    assert cleaned(hard, *texts) == texts[:2] + [
+        own_words(f"a{k}x", 30) + "\n" + own_words(f"b{k}x", 30) for k in (2, 3)]
+    # Lines that other texts have one by one are no passage.
+    lines = own_words("u", 60, 1).splitlines()
+    alone = [own_words(f"c{k}x", 9) + "\n" + w + "\n" + own_words(f"d{k}x", 9)
+             for k, w in enumerate(lines)]
+    assert cleaned(hard, *alone, "\n".join(lines)) == [*alone, "\n".join(lines)]
