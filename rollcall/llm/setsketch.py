@@ -153,18 +153,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digests[t] = _digest(codes[ends[t] - sizes[t]:ends[t]])
                 packed[t] = regs[next(place)].tobytes()
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id").slice(words.row, len(words)),
+                **{c: batch.column(c).slice(words.row, len(words))
+                   for c in ("doc_id", "text_hash")},
                 "n_shingles": pa.array(sizes, pa.int64()), "d1": pa.array(digests[:, 0]),
                 "d2": pa.array(digests[:, 1]), "registers": pa.array(packed, pa.binary())})
 
 
-SKETCH = "doc_id long, n_shingles long, d1 long, d2 long, registers binary"
+SKETCH = "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, registers binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, registers) of every row; the digest (d1, d2) is that of the
-    shingle set, registers are null for an empty one."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+    """(doc_id, text_hash, n_shingles, d1, d2, registers) of every row; the digest (d1, d2) is that
+    of the shingle set, registers are null for an empty one."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.xxhash64("text").alias("text_hash")) \
         .mapInArrow(_sketch, SKETCH)
 
 
@@ -248,6 +250,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing: its component_id is null and it is kept. Other columns are not looked at; an
     empty table gives an empty one.
     """
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """near_duplicates with d1, d2 and text_hash."""
     sketched = materialise(sketches(docs), "sketches")
     classes = sketched.where("n_shingles > 0 and doc_id is not null") \
         .groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
@@ -269,7 +276,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")) \
         .when(whole, F.col("component_id")).otherwise(F.col("doc_id"))
     return sketched.drop("registers").join(found, ["d1", "d2"], "left") \
-        .select("doc_id", "n_shingles", component.alias("component_id")) \
+        .select("doc_id", "n_shingles", component.alias("component_id"), "d1", "d2",
+                "text_hash") \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -296,9 +304,14 @@ def _confirmed(docs: DataFrame, heads: DataFrame, clusters: DataFrame) -> DataFr
 def deduplicated(docs: DataFrame) -> DataFrame:
     """
     The rows of docs, all columns, of which one document of each group stays: the one with the
-    smallest doc_id, once. Rows without doc_id stay as they are.
+    smallest doc_id, once. Of rows that share a doc_id each different set of shingles is judged by
+    itself, and one row of each that is kept stays. Rows without doc_id stay as they are.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null") \
-        .select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return chosen.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    kept = _judged(docs).where("kept and doc_id is not null").groupBy("doc_id", "d1", "d2") \
+        .agg(F.min("text_hash").alias("_hash")) \
+        .select(F.col("doc_id").alias("_kept"), F.col("_hash").alias("_kept_hash")).distinct()
+    rows = docs.where("doc_id is not null").withColumn("_hash", F.xxhash64("text"))
+    chosen = rows.join(kept, (F.col("doc_id").cast("long") == F.col("_kept"))
+                       & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "_hash"]).drop("_hash") \
+        .unionByName(docs.where("doc_id is null"))

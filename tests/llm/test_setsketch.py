@@ -104,3 +104,11 @@ def test_components_of_chains_stars_and_loops(spark, hard):
 
 def test_tile_roots():
     assert tile_roots(6, np.array([4, 3, 1]), np.array([3, 1, 5])).tolist() == [0, 1, 2, 1, 1, 1]
+
+
+def test_rows_of_one_id_are_kept_by_their_text(hard):
+    a, b, c = ("".join(f"{name}{k} " for k in range(40)) for name in "abc")
+    rows = [(3, a, "en", "s", 0), (7, a, "en", "s", 0), (7, b, "en", "s", 0), (7, b + " ", "en", "s", 0),
+            (8, c, "en", "s", 0), (8, b, "en", "s", 0), (8, c, "en", "s", 0)]
+    got = sorted((r["doc_id"], r["text"].strip()) for r in setsketch.deduplicated(hard(rows)).collect())
+    assert got == [(3, a.strip()), (7, b.strip()), (8, c.strip())]
