@@ -2,7 +2,7 @@
 Visible text of web pages, laid out in lines.
 
 A page is cut into tags and text, a tree is built with the end and start tags that HTML lets authors
-leave out, and the tree is walked once. Hidden parts give nothing; all other text is emitted, blocks
+leave out and with misplaced content of tables in front of them, and the tree is walked once. Hidden parts give nothing; all other text is emitted, blocks
 on lines of their own, list items behind their marks, table cells in aligned columns. Pages are
 independent of each other: one scan, no shuffle, one page in memory besides its Arrow batch.
 """
@@ -21,7 +21,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD_ONLY = frozenset("base link meta noscript script style template title".split())
 NEVER = frozenset("head script style template title iframe noembed noframes object video audio "
-                  "canvas datalist svg math".split())
+                  "canvas datalist".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table hr figure form "
                    "fieldset".split())
 LINED = frozenset("address article aside body center dd details dialog dir div dt figcaption "
@@ -33,6 +33,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("ul ol menu dir".split())
 SECTIONS = frozenset("tbody thead tfoot".split())
 CELLS = frozenset("td th".split())
+ROWED = SECTIONS | {"table", "tr"}              # hold only what lays out a table, and HELD
+LAID = SECTIONS | CELLS | frozenset("caption colgroup col tr".split())
+HELD = LAID | frozenset("form script style template".split())
+UNSEEN = {"svg": frozenset("defs symbol desc metadata clippath mask marker pattern".split()),
+          "math": frozenset({"annotation", "annotation-xml"})}
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 BARRIER = frozenset("table td th caption html template object marquee".split())
 # A start tag on the left ends the nearest open element on the right, if none of the last
@@ -77,15 +82,29 @@ class _Builder:
         self.root = Node("html")
         self.open = [self.root]
         self.count: dict[str, int] = {}
+        self.beside: list[list] = []       # for each open table, the children it is one of
+
+    def put(self, item: Node | str) -> None:
+        """Into the open element; in front of the table what does not belong into its parts."""
+        top, tag = self.open[-1].tag, item.tag if isinstance(item, Node) else ""
+        blank = isinstance(item, str) and not item.strip(" \t\n\f\r")
+        if top in ROWED and not blank and tag not in HELD and self.beside:
+            self.beside[-1].insert(len(self.beside[-1]) - 1, item)
+        else:
+            self.open[-1].children.append(item)
 
     def push(self, node: Node) -> None:
-        self.open[-1].children.append(node)
+        self.put(node)
+        if node.tag == "table":
+            self.beside.append(self.open[-1].children)
         self.open.append(node)
         self.count[node.tag] = self.count.get(node.tag, 0) + 1
 
     def pop_to(self, place: int) -> None:
         for node in self.open[place:]:
             self.count[node.tag] -= 1
+            if node.tag == "table":
+                self.beside.pop()
         del self.open[place:]
 
     def find(self, tags, barrier) -> int:
@@ -105,7 +124,27 @@ class _Builder:
     def leave_head(self) -> None:
         self.end({"head"}, frozenset())
 
-    def start(self, tag: str, attributes: dict[str, str]) -> None:
+    def leave_colgroup(self) -> None:
+        if self.open[-1].tag == "colgroup":
+            self.pop_to(len(self.open) - 1)
+
+    @property
+    def foreign(self) -> bool:
+        return any(self.count.get(t) for t in UNSEEN)
+
+    def lay_out(self, tag: str) -> None:
+        """Before a part of a table, or a table: end what stands open between its parts."""
+        if place := self.find(ROWED | LAID, frozenset({"template"})):
+            if self.open[place].tag in ROWED:
+                if tag == "table":
+                    place = self.find({"table"}, frozenset()) - 1
+                elif tag in ("caption", "colgroup", "col"):
+                    place = self.find({"table"}, frozenset())
+                self.pop_to(place + 1)
+        if tag != "table":
+            self.end({"caption"} if tag == "col" else {"caption", "colgroup"}, CELLS | {"table"})
+
+    def start(self, tag: str, attributes: dict[str, str], closed: bool = False) -> None:
         if tag in ("html", "body"):
             if tag == "body":
                 self.leave_head()
@@ -115,6 +154,10 @@ class _Builder:
             return
         if tag not in HEAD_ONLY and tag != "head":
             self.leave_head()
+        if tag not in ("col", "template"):
+            self.leave_colgroup()
+        if self.count.get("table") and (tag in LAID or tag == "table"):
+            self.lay_out(tag)
         if tag in CLOSES_P:
             self.end({"p"}, BARRIER | {"button"})
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
@@ -132,9 +175,11 @@ class _Builder:
                 self.push(Node("tbody"))
             if self.open[-1].tag in SECTIONS:
                 self.push(Node("tr"))
+        if tag in ("text", "mtr", "mtd") and self.foreign:
+            self.put(" ")
         node = Node(tag, attributes)
-        if tag in VOID:
-            self.open[-1].children.append(node)
+        if tag in VOID or closed or tag == "form" and self.open[-1].tag in ROWED:
+            self.put(node)
         else:
             self.push(node)
 
@@ -163,7 +208,14 @@ class _Builder:
     def text(self, text: str) -> None:
         if self.open[-1].tag == "head" and text.strip(" \t\n\f\r"):
             self.leave_head()
-        self.open[-1].children.append(text)
+        if self.count.get("svg") and not (self.count.get("text")
+                                          or self.count.get("foreignobject")):
+            return
+        if not any(self.count.get(t) and any(map(self.count.get, unseen))
+                   for t, unseen in UNSEEN.items()):
+            if text.strip(" \t\n\f\r"):
+                self.leave_colgroup()
+            self.put(text)
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -186,7 +238,11 @@ def parse(html: str) -> Node:
             if match["end"]:
                 builder.finish(tag)
                 continue
-            builder.start(tag, _attributes(match["rest"]) if match["rest"].strip(" /") else {})
+            closed = builder.foreign and match["rest"].endswith("/")
+            builder.start(tag, _attributes(match["rest"]) if match["rest"].strip(" /") else {},
+                          closed)
+            if closed:
+                continue
             if tag in ("pre", "listing", "textarea") and html.startswith(("\n", "\r\n"), at):
                 at = html.index("\n", at) + 1      # a first line end there does not count
             if tag in RAW:
@@ -366,10 +422,6 @@ def render(node: Node, depth: int = 0) -> str:
         if tag == "hr" or tag in VOID:
             continue
         if tag == "table" and depth < NESTED_TABLES:
-            loose = [c for c in item.children if isinstance(c, str) and c.strip()]
-            for text in loose:
-                lines.inline(text)
-            lines.block(1 if loose else 0)
             _table(item, lines, depth)
             lines.block(gap)
             continue

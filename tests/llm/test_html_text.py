@@ -91,3 +91,33 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         [(1, None, None), (1, None, None), (None, "<p>a", "a"), (2, "", "")], key=str)
     assert extract(spark.createDataFrame([], "html string")).collect() == []
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<table><form><tr><td>x</table>", "x"), ("<table><font><tr><td>x</table>", "x"),
+    ("<table><tr><form><td>x</td></form></tr></table>", "x"),
+    ("<table><colgroup><col><tr><td>x</table>", "x"), ("<table><caption>c<tr><td>x</table>", "c\nx"),
+    ("<table><colgroup><col><td>x<td>y</table>", "x  y"),
+    ("<table><div>a</div><tr><b>b</b><td>x</table>", "a\nb\n\nx"),
+    ("<table>a<tbody>b<tr>c<td>x</table>d", "abc\n\nx\n\nd"), ("<table><colgroup>a<tr><td>x</table>", "a\n\nx"),
+    ("<table><tr><td>x<tr><caption>c</caption><tr><td>y</table>", "c\nx\ny"),
+    ("<table><tr><table><tr><td>y</table>z", "y\n\nz"), ("<b><table><p>a</b>b<td>x</table>", "ab\n\nx"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>t</annotation></math> y", "x=1 y"),
+    ("<svg><defs/><title>t</title>no<text>a</text><path/><text>b</text><desc>d</desc></svg>c", "a bc"),
+])
+def test_no_visible_word_of_misnested_tables_is_lost(html, text):
+    assert text_of(html) == text
+
+
+def test_words_of_random_tables_stay():
+    import random
+    r = random.Random(5)
+    tags = "table tr td th tbody thead caption colgroup col form div b font p li ul span".split()
+    for _ in range(3000):
+        parts, want = [], []
+        for k in range(r.randrange(3, 25)):
+            parts.append(f"<{r.choice(['', '', '/'])}{r.choice(tags)}>")
+            if r.random() < .5:
+                parts.append(f" w{k} ")
+                want.append(f"w{k}")
+        assert sorted(text_of("".join(parts)).replace("-", " ").split()) == sorted(want), parts
