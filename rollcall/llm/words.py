@@ -90,24 +90,26 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_slices(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
-    """The words of a text column, some texts at a time."""
+def word_slices(column: pa.Array, slice_bytes: int = SLICE_BYTES,
+                between: np.ndarray = _IS_SPACE) -> Iterator[Words]:
+    """The words of a text column, some texts at a time; `between` tells for each byte whether it
+    separates words."""
     data, offsets = buffers(column)
     row = 0
     while row < len(offsets) - 1:
         end = int(np.searchsorted(offsets, offsets[row] + slice_bytes, "right")) - 1
         end = min(max(end, row + 1), len(offsets) - 1)
         own = offsets[row:end + 1] - offsets[row]
-        yield _split(row, data[offsets[row]:offsets[end]], own)
+        yield _split(row, data[offsets[row]:offsets[end]], own, between)
         row = end
 
 
-def _split(row: int, data: np.ndarray, offsets: np.ndarray) -> Words:
+def _split(row: int, data: np.ndarray, offsets: np.ndarray, between: np.ndarray) -> Words:
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(row, data, offsets, none, none, np.zeros(len(offsets), np.int64),
                      np.zeros(0, np.uint64))
-    inside = ~_IS_SPACE[data]
+    inside = ~between[data]
     edges = offsets[(offsets > 0) & (offsets < len(data))]
     before = np.concatenate([[False], inside[:-1]])
     before[edges] = False
@@ -122,7 +124,8 @@ def _split(row: int, data: np.ndarray, offsets: np.ndarray) -> Words:
     factors = powers(int(lengths.max()))
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
     np.minimum(place, len(factors) - 1, out=place)
-    codes = np.add.reduceat(_BYTE_CODES[data[starts[0]:]] * factors[place], starts - starts[0])
+    values = np.where(between, np.uint64(0), _BYTE_CODES)
+    codes = np.add.reduceat(values[data[starts[0]:]] * factors[place], starts - starts[0])
     codes = mix(codes ^ (lengths.astype(np.uint64) * _ODD))
     return Words(row, data, offsets, starts, ends, first, codes)
 
