@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 TILE = "tile long, dim int, n int, ids binary, weights binary, matrix binary"
+ROWS = ", rows binary"
 
 
 def usable(vector: Column) -> Column:
@@ -25,6 +26,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, at = members.flatten(), 0
         fields = {flat.type[k].name: flat.field(k) for k in range(flat.type.num_fields)}
         vectors = fields["vector"]
+        numbered = ["rows"] if "row" in fields else []
         values = vectors.flatten().to_numpy(zero_copy_only=False)
         for k, n in enumerate(members.value_lengths().to_pylist()):
             dim = dims[k].as_py()
@@ -34,25 +36,32 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matrix = values[begin:begin + n * dim].reshape(n, dim).astype(np.float64)[order]
             rows.append((tiles[k].as_py(), dim, n, ids[order].tobytes(),
                          fields["weight"].slice(at, n).to_numpy()[order].tobytes(),
-                         matrix.tobytes()))
+                         matrix.tobytes(), *[fields["row"].slice(at, n).to_numpy()[order]
+                                             .tobytes() for _ in numbered]))
             at += n
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        names = ("tile", "dim", "n", "ids", "weights", "matrix")
+        kinds = (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * (3 + len(numbered)))
+        names = ("tile", "dim", "n", "ids", "weights", "matrix", *numbered)
         yield pa.record_batch({name: pa.array([r[k] for r in rows], kind)
                                for k, (name, kind) in enumerate(zip(names, kinds))})
 
 
+def tile_of(key: Column, tiles: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(3)), F.lit(tiles))
+
+
 def tiled(vectors: DataFrame, tiles: int) -> DataFrame:
     """
     (tile, dim, n, ids, weights, matrix) of vectors (id, weight, vector): dealt by a hash of the id
     into `tiles` tiles, one row each and one more for every other dimension. Ids ascend in a
-    tile; the matrix holds doubles, row by row.
+    tile; the matrix holds doubles, row by row. Vectors that have a column row too, a number of
+    their own, are dealt by it, and tiles have rows besides.
     """
+    row = [c for c in vectors.columns if c == "row"]
     members = F.collect_list(F.struct("id", "weight", F.col("vector").cast("array<double>")
-                                      .alias("vector"))).alias("members")
-    return vectors.withColumn("tile", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(tiles))) \
+                                      .alias("vector"), *row)).alias("members")
+    return vectors.withColumn("tile", tile_of(F.col("row" if row else "id"), tiles)) \
         .withColumn("dim", F.size("vector")).groupBy("tile", "dim").agg(members) \
-        .mapInArrow(_pack, TILE)
+        .mapInArrow(_pack, TILE + ROWS * len(row))
 
 
 def unpacked(batch: pa.RecordBatch, row: int, prefix: str = "") -> tuple:
