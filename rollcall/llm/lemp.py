@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.llm.topk import whole_products
-from rollcall.llm.vectors import tile_of, tiled, unpacked
+from rollcall.llm.vectors import numbered, tile_of, tiled, unpacked
 from rollcall.session import materialise
 
 ANCHOR_ROWS, SHARD_ROWS = 1000, 4000
@@ -208,12 +208,11 @@ def hard_negatives(vectors: DataFrame, anchor: Column, low: int = 30, high: int
     Other columns are not looked at; an empty table gives an empty one.
     """
     whole = F.col("vector").cast("array<double>")
-    rows = materialise(
+    rows = numbered(
         vectors.where("vec_id is not null and label is not null and size(vector) > 0")
         .select(F.col("vec_id").cast("long").alias("id"),
                 F.col("label").cast("long").alias("weight"), whole.alias("vector"),
-                F.coalesce(anchor, F.lit(False)).alias("anchor"))
-        .withColumn("row", F.monotonically_increasing_id()), "numbered")
+                F.coalesce(anchor, F.lit(False)).alias("anchor")))
     counts = rows.agg(F.count(F.lit(1)), F.count_if("anchor")).first()
     shards, tiles = max(1, -(-counts[0] // SHARD_ROWS)), max(1, -(-counts[1] // ANCHOR_ROWS))
     items = tiled(rows.drop("anchor"), shards).select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.llm import lemp, quantised, topk
 from rollcall.llm.queries import query, table
-from rollcall.llm.vectors import usable
+from rollcall.llm.vectors import numbered, usable
 
 USABLE_SQL = """vec_id IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(
     embedding, lambda x: x IS NOT NULL AND isfinite(x)))"""
@@ -28,13 +28,13 @@ FROM embeddings JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)"""
 
 TOP_SQL = f"""
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
     FROM embeddings WHERE {USABLE_SQL}),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
+s AS (SELECT q.r AS query, q.vec_id AS query_id, c.vec_id,
              list_inner_product(q.e, c.e)::BIGINT AS score
-      FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
-       AND len(q.e) = len(c.e)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+      FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.r <> q.r AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)::INTEGER
                 AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
@@ -76,7 +76,7 @@ def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_exact_topk", TOP_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = whole(spark, sf_dir).select(F.col("vec_id").alias("id"), "vector")
+    vectors = numbered(whole(spark, sf_dir).select(F.col("vec_id").alias("id"), "vector"))
     return topk.top_k(vectors.where("id % 50 = 0"), vectors, 5)
 
 

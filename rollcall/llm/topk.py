@@ -14,8 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.llm.vectors import tiled, unpacked
-from rollcall.session import materialise
+from rollcall.llm.vectors import numbered, tiled, unpacked
 
 QUERY_ROWS, SHARD_ROWS = 1000, 4000
 FAN_IN = 16
@@ -32,7 +31,7 @@ def whole_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
-def _search(k: int):
+def _search(k: int, by_row: bool):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -40,7 +39,10 @@ def _search(k: int):
                 items, _, y = unpacked(batch, row, "other_")
                 scores = whole_products(x, y)
                 least = np.iinfo(np.int64).min
-                own = ids[:, None] == items[None, :]
+                rows, others = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64)
+                                for c in ("rows", "other_rows"))
+                own = rows[:, None] == others[None, :] if by_row else \
+                    ids[:, None] == items[None, :]
                 lists = []
                 for q in range(len(ids)):
                     s, there = scores[q], ~own[q]
@@ -53,7 +55,7 @@ def _search(k: int):
                         if least in s else place[np.argsort(-s[place], kind="stable")][:k]
                     lists.append([(int(s[p]), int(items[p])) for p in place])
                 yield pa.record_batch({
-                    "query_id": pa.array(ids), "shard": pa.array(
+                    "query": pa.array(rows), "query_id": pa.array(ids), "shard": pa.array(
                         [batch.column("other")[row].as_py()] * len(ids), pa.int64()),
                     "best": pa.array([[{"score": a, "vec_id": b} for a, b in x] for x in lists],
                                      pa.list_(pa.struct([("score", pa.int64()),
@@ -73,18 +75,20 @@ def top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """
     (query_id, rank, vec_id, score) of queries and items, both (id, vector of whole numbers).
 
-    Each query's k highest inner products with items of another id, fewer if there are fewer;
-    ties go to the smaller id, equal ids count each. Vectors of different lengths do not meet.
-    Queries are known by their ids; of a repeated one the least vector is taken; a null id or vector takes
-    no part. No queries or no items give no rows.
+    Each query row's k highest inner products, fewer if there are fewer items; ties go to the
+    smaller id, equal ids count each. Where both have a column row, a number of the row in a common
+    table, a query does not meet its own row; else it does not meet items of its id. Queries that
+    repeat an id have lists of their own. Vectors of different lengths do not meet. A null id or
+    vector takes no part. No queries or no items give no rows.
     """
+    by_row = "row" in queries.columns and "row" in items.columns
+
     def prepared(rows):
-        return rows.where("id is not null and vector is not null") \
+        kept = rows.where("id is not null and vector is not null") \
             .select(F.col("id").cast("long").alias("id"), F.lit(1).cast("long").alias("weight"),
-                    "vector")
-    queries = prepared(queries).groupBy("id").agg(F.min("weight").alias("weight"),
-                                                  F.min("vector").alias("vector"))
-    items = prepared(items)
+                    "vector", *["row"] * by_row)
+        return kept if by_row else numbered(kept)
+    queries, items = prepared(queries), prepared(items)
     shards = max(1, -(-items.count() // SHARD_ROWS))
     query_tiles = max(1, -(-queries.count() // QUERY_ROWS))
     packed = tiled(queries, query_tiles).withColumn(
@@ -92,12 +96,13 @@ def top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
         .withColumn("other", F.col("other").cast("long"))
     other = tiled(items, shards).select(
         F.col("tile").alias("other"), "dim",
-        *[F.col(c).alias(f"other_{c}") for c in ("ids", "weights", "matrix")])
+        *[F.col(c).alias(f"other_{c}") for c in ("ids", "weights", "rows", "matrix")])
     best = packed.join(other, ["other", "dim"]).mapInArrow(
-        _search(k), f"query_id long, shard long, best {BEST}")
+        _search(k, by_row), f"query long, query_id long, shard long, best {BEST}")
+    query = ["query", "query_id"]
     while shards > FAN_IN:
-        best = _merged(best, ["query_id", F.floor(F.col("shard") / FAN_IN).alias("shard")], k)
+        best = _merged(best, [*query, F.floor(F.col("shard") / FAN_IN).alias("shard")], k)
         shards = -(-shards // FAN_IN)
-    return _merged(best, ["query_id"], k) \
+    return _merged(best, query, k) \
         .select("query_id", F.posexplode("best").alias("rank", "found")) \
         .select("query_id", (F.col("rank") + 1).alias("rank"), "found.vec_id", "found.score")

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.session import materialise
+
 TILE = "tile long, dim int, n int, ids binary, weights binary, matrix binary"
 ROWS = ", rows binary"
 
@@ -45,6 +47,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                for k, (name, kind) in enumerate(zip(names, kinds))})
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows, stored, with a number of their own in the column row."""
+    return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
 def tile_of(key: Column, tiles: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(3)), F.lit(tiles))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm import quantised, topk
-from rollcall.llm.vectors import usable
+from rollcall.llm.vectors import numbered, usable
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n_links string, vector string, id string"
 
@@ -98,9 +98,11 @@ def brute_top(rows, k):
     whole = [(i, [math.floor(256 * x) for x in v]) for i, v, *_ in rows
              if i is not None and valid(v)]
     out = []
-    for q, a in {i: v for i, v in whole if i % 50 == 0}.items():
-        scores = sorted(((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole
-                         if i != q and len(b) == len(a)))
+    for row, (q, a) in enumerate(whole):
+        if q % 50:
+            continue
+        scores = sorted(((-sum(x * y for x, y in zip(a, b)), i) for n, (i, b) in enumerate(whole)
+                         if n != row and len(b) == len(a)))
         out += [(q, rank + 1, i, max(min(-s, 2 ** 63 - 1), -2 ** 63))
                 for rank, (s, i) in enumerate(scores[:k])]
     return out
@@ -112,15 +114,20 @@ def test_top_k(spark, hard, monkeypatch, shard_rows):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
     monkeypatch.setattr(topk, "QUERY_ROWS", 4)
     monkeypatch.setattr(topk, "FAN_IN", 3)
-    rows = [r for r in vectors() if r[0] != 1014 and r[0] != 10] + \
+    rows = [r for r in vectors() if r[0] != 1014] + [(50, [1.0] * 12, 1, None, None, None),
+                                                     (100, vectors()[20][1], 1, None, None, None)] + \
         [(2000, [1.0] * 12, 1, None, None, None), (2001, [1.0] * 12, 1, None, None, None),
          (2002, [1.0] * 12, 1, None, None, None), (3050, [1.0, 1.0], 1, None, None, None)]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
-    items = frame.where(usable(F.col("embedding"))).select(
-        F.col("vec_id").alias("id"), whole.alias("vector"))
+    items = numbered(frame.where(usable(F.col("embedding"))).select(
+        F.col("vec_id").alias("id"), whole.alias("vector")))
     got = topk.top_k(items.where("id % 50 = 0"), items, 5).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute_top(rows, 5))
+    # Without row numbers items of the query's id are left out.
+    apart = topk.top_k(items.where("id % 50 = 0").drop("row"), items, 1).collect()
+    assert len(apart) == items.where("id % 50 = 0 and size(vector) in (2, 12)").count()
+    assert all(r["query_id"] != r["vec_id"] for r in apart)
     assert topk.top_k(items.limit(0), items, 5).collect() == []
     assert topk.top_k(items, items.limit(0), 5).collect() == []
 
