@@ -42,13 +42,14 @@ MOST = 2 ** 63 - 1
 class Probes:
     """The rows of a shard in length buckets."""
 
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, x: np.ndarray,
+                 bucket: int = BUCKET_ROWS):
         length = np.linalg.norm(x, axis=1)
         order = np.argsort(-length, kind="stable")
         self.ids, self.labels, self.rows = ids[order], labels[order], rows[order]
         self.x, self.length = x[order], length[order]
         self.unit = self.x / np.where(self.length > 0, self.length, 1)[:, None]
-        self.buckets = [(k, min(k + BUCKET_ROWS, len(ids))) for k in range(0, len(ids), BUCKET_ROWS)]
+        self.buckets = [(k, min(k + bucket, len(ids))) for k in range(0, len(ids), bucket)]
         self.largest = np.abs(x).max(initial=0)
         self._lists: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
@@ -134,7 +135,7 @@ def _longs(columns: dict[str, list]) -> pa.RecordBatch:
                             for c, v in columns.items()})
 
 
-def _units(batch: pa.RecordBatch) -> Iterator[tuple]:
+def _units(batch: pa.RecordBatch, bucket: int) -> Iterator[tuple]:
     """(row of the batch, anchors as (ids, labels, rows, matrix), shard)."""
     for k in range(batch.num_rows):
         both = []
@@ -142,13 +143,13 @@ def _units(batch: pa.RecordBatch) -> Iterator[tuple]:
             ids, labels, x = unpacked(batch, k, prefix)
             rows = np.frombuffer(batch.column(prefix + "rows")[k].as_buffer(), np.int64)
             both.append((ids, labels, rows, x))
-        yield k, both[0], Probes(*both[1])
+        yield k, both[0], Probes(*both[1], bucket)
 
 
-def _find_positives(k: int):
+def _find_positives(k: int, bucket: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, (ids, labels, rows, x), probes in _units(batch):
+            for _, (ids, labels, rows, x), probes in _units(batch, bucket):
                 out = {c: [] for c in ("anchor", "positive", "positive_id", "positive_score")}
                 for q in range(len(ids)):
                     eligible = (probes.labels == labels[q]) & (probes.rows != rows[q])
@@ -161,10 +162,10 @@ def _find_positives(k: int):
     return find
 
 
-def _find_negatives(low: int, high: int, k: int):
+def _find_negatives(low: int, high: int, k: int, bucket: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, (ids, labels, rows, x), probes in _units(batch):
+            for row, (ids, labels, rows, x), probes in _units(batch, bucket):
                 wanted: dict[int, list] = {}
                 for p in batch.column("positives")[row].as_py():
                     score = p["positive_score"]
@@ -222,8 +223,8 @@ def hard_negatives(vectors: DataFrame, anchor: Column, low: int = 30, high: int
     meets = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
 
     found = anchors.withColumn("other", meets).join(items, ["other", "dim"]) \
-        .mapInArrow(_find_positives(positives), "anchor long, positive long, positive_id long, "
-                                                "positive_score long")
+        .mapInArrow(_find_positives(positives, BUCKET_ROWS),
+                    "anchor long, positive long, positive_id long, positive_score long")
     order = Window.partitionBy("anchor").orderBy(F.desc("positive_score"), "positive_id", "positive")
     chosen = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= positives) \
         .drop("rank")
@@ -233,7 +234,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, low: int = 30, high: int
              .alias("positives"))
     asking = materialise(anchors.join(listed, "tile"), "anchors")
     mined = asking.withColumn("other", meets).join(items, ["other", "dim"]) \
-        .mapInArrow(_find_negatives(low, high, negatives),
+        .mapInArrow(_find_negatives(low, high, negatives, BUCKET_ROWS),
                     "anchor long, anchor_id long, positive long, positive_id long, "
                     "positive_score long, row long, negative_id long, negative_score long")
     order = Window.partitionBy("anchor", "positive") \

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import wumanber
+from rollcall.llm import divergence, wumanber
 from rollcall.llm.queries import query, table
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -44,3 +44,47 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
+
+
+DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, {UPPER_LOWER}),
+             '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term
+                   HAVING count(DISTINCT r) >= 3),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term)
+                   GROUP BY lang, source, term),
+g AS MATERIALIZED (
+    SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+p AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+           1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.v) AS q
+    FROM g JOIN k USING (lang) JOIN l USING (lang)
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+    SELECT g.lang, g.source, o.source AS item, coalesce(any_value(f), 0)::BIGINT AS value
+    FROM g JOIN g AS o ON g.lang = o.lang AND g.source <> o.source
+    LEFT JOIN (SELECT a.lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // b.p) AS f
+               FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term
+                AND a.source <> b.source GROUP BY a.lang, a.source, b.source) AS s
+      ON s.lang = g.lang AND s.source = g.source AND s.other = o.source
+    GROUP BY g.lang, g.source, o.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+          FROM p WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))

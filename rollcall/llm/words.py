@@ -159,3 +159,18 @@ def shingle_sets(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     fresh = np.ones(len(codes), bool)
     fresh[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
     return codes[fresh], np.bincount(owner[fresh], minlength=len(words))
+
+
+def prefix_codes(words: Words, at: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the first `width` bytes of the words at `at`; of a word that is not longer, one that
+    tells it from longer words that begin so."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    starts, lengths = words.starts[at], words.ends[at] - words.starts[at]
+    cut = np.minimum(lengths, width)
+    first = np.cumsum(cut) - cut
+    place = np.arange(first[-1] + cut[-1]) - np.repeat(first, cut)
+    values = _BYTE_CODES[words.data[np.repeat(starts, cut) + place]] \
+        * powers(int(cut.max()))[place]
+    sums = np.add.reduceat(values, first)
+    return mix(sums ^ ((2 * cut + (lengths <= width)).astype(np.uint64) * _ODD))

@@ -70,7 +70,7 @@ class Table:
     """Shift table and suffix buckets of distinct windows that all have `width` words."""
 
     def __init__(self, windows: list[bytes], width: int):
-        self.width, self.block = width, min(BLOCK, width)
+        self.width, self.block, self.lane = width, min(BLOCK, width), LANE
         (words,) = word_slices(pa.array([w.decode() for w in windows]), 2 ** 62, SEPARATES)
         codes = words.codes.reshape(-1, width)
         bits = max(12, (8 * codes.size).bit_length())
@@ -91,11 +91,11 @@ class Table:
     def _stops(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(last word, block hash) of every place with shift 0."""
         begin = words.first[:-1] + self.width - 1
-        lanes = np.maximum(0, -(-(words.first[1:] - begin) // LANE))
+        lanes = np.maximum(0, -(-(words.first[1:] - begin) // self.lane))
         text = np.repeat(np.arange(len(words)), lanes)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        at = begin[text] + nth * LANE
-        end = np.minimum(at + LANE, words.first[1:][text])
+        at = begin[text] + nth * self.lane
+        end = np.minimum(at + self.lane, words.first[1:][text])
         stops, hashes = [], []
         while len(at):
             found = self._hash(words.codes, at)
