@@ -255,6 +255,44 @@ def stream_ingest(spark, sf_dir):
         .withColumn("registered_at", F.unix_seconds("registered_at"))
 
 
+RUN_BLOCKS = 500_000
+
+
+def _bounded(spark, sf_dir):
+    """Three runs over stored logs: one of so many blocks, one without time, one to the end."""
+    path = fresh_path(spark, "logs")
+    logs.write_logs(decode.ingestible(b.raw_logs(spark, sf_dir)), path, 500_000)
+    store = ingest.Store(fresh_path(spark, "store"), range_blocks=500_000, merge_every=2)
+    ended = []
+    for bounds in ({"max_blocks": RUN_BLOCKS}, {"max_seconds": 0}, {}):
+        why = ingest.run_blocks(spark, path, store, chunk=400_000, **bounds)
+        ended.append((len(ended) + 1, why, ingest.cursor(spark, store).first()["last_block"]))
+    return store, ended
+
+
+@query("bounded_ingest", f"WITH {STREAM_STATE_SQL}")
+def bounded_ingest(spark, sf_dir):
+    """The state after runs that stop at a block and go on behind it."""
+    store, _ = _bounded(spark, sf_dir)
+    return ingest.stored_agents(spark, store) \
+        .withColumn("registered_at", F.unix_seconds("registered_at"))
+
+
+@query("bounded_runs", f"""WITH {b.DECODED_SQL}, span AS (
+    SELECT min(block_number) AS low, max(block_number) - 50 AS height FROM decoded
+    WHERE source_type <> 'error'), runs AS (
+    SELECT *, least(low + {RUN_BLOCKS} - 1, height) AS first_end FROM span)
+    SELECT 1 AS run, CASE WHEN first_end < height THEN 'max blocks' ELSE 'confirmed' END AS ended,
+        first_end AS last_block FROM runs
+    UNION ALL SELECT 2, CASE WHEN first_end < height THEN 'max seconds' ELSE 'confirmed' END,
+        first_end FROM runs
+    UNION ALL SELECT 3, 'confirmed', height FROM runs""")
+def bounded_runs(spark, sf_dir):
+    """Why each of the runs ended, and the cursor behind it."""
+    _, ended = _bounded(spark, sf_dir)
+    return spark.createDataFrame(ended, "run int, ended string, last_block bigint")
+
+
 @query("stream_gap", f"""WITH {STREAM_STATE_SQL.replace(
     "max(block_number) - 50 AS height", f"max({ANCHOR_BLOCK} + 299999) AS height")}""")
 def stream_gap(spark, sf_dir):

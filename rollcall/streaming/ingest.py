@@ -1,21 +1,28 @@
 """
-Continuous ingest: raw log files in, event log, current state and progress out.
+Continuous ingest: raw log files or stored logs in, event log, current state and progress out.
 
-The file source's checkpoint is the cursor. Each micro-batch is one chunk, and costs what the chunk
-holds, not what was stored before: it meets only its own block ranges of the event log, its new rows
-are stamped with its number, and what they say about each agent is written as one more partial
-state. Now and then the partial states are merged into a new version of the state.
+Each micro-batch is one chunk, and costs what the chunk holds, not what was stored before. Its new
+events go to a folder of their own, and what they say about each agent is one more partial state;
+both become visible with the batch's commit, which also moves the cursor. Only a batch whose blocks
+begin below the highest stored one has to look for events that are stored already, and then in the
+batches of those blocks.
 
-Every step can run twice with the same outcome. A batch that is repeated after a failure appends
-only what the first try did not store, and everything after that is derived from the rows that
-carry its number, those of the first try included.
+Partial states are merged by levels: `merge_every` batches make a run of the first level, as many such
+runs one of the second, and so on. So an agent's state lies in few runs, a batch is merged again only
+as often as there are levels, and a run is cut by a hash of the agent, so that a look at few agents
+opens few files.
+
+A batch that is repeated after a failure writes to a new folder; what the first try left is never
+read.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.constants import ANCHOR_BLOCK, ANCHOR_EPOCH_SECONDS, CHUNK_BLOCKS, \
@@ -25,13 +32,13 @@ from rollcall.operators.blocktime import with_block_time
 from rollcall.operators.decode import decode_logs, ingestible, keep_raw_when_needed
 from rollcall.operators.dedupe import LOG_KEY, new_rows
 from rollcall.operators.state import finished_state, merged_state, partial_state
-from rollcall.schemas import PARTIAL_STATES, PROGRESS, RAW_LOGS, REGISTRATION_EVENTS
+from rollcall.schemas import PARTIAL_STATES, RAW_LOGS, REGISTRATION_EVENTS
 from rollcall.session import discard
 from rollcall.sources import logs, tables
+from rollcall.streaming.commits import Commits
+from rollcall.streaming.ranges import BlockRanges
 
-EVENTS = REGISTRATION_EVENTS + ", batch_id bigint, block_range bigint"
-# Progress rows of so many batches share a folder.
-PROGRESS_GROUP = 256
+EVENTS = REGISTRATION_EVENTS + ", batch_id bigint, attempt string, block_range bigint"
 
 
 @dataclass(frozen=True)
@@ -39,14 +46,15 @@ class Store:
     """
     Where one stream keeps its tables, on storage every executor reads.
 
-    Events lie in a folder for every `range_blocks` blocks. After every `merge_every` batches the
-    partial states are merged.
+    A batch's events lie in a folder for every `range_blocks` blocks. Partial states are merged
+    `merge_every` at a time; merged runs are cut into `buckets` by a hash of the agent.
     """
 
     root: str
     range_blocks: int
     stream: str = "identity_registry_base"
-    merge_every: int = 64
+    merge_every: int = 8
+    buckets: int = 64
 
     @property
     def events(self) -> str:
@@ -97,10 +105,13 @@ def raw_log_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.load(path)
 
 
+def commits(spark: SparkSession, store: Store) -> Commits:
+    return Commits(spark, store.progress)
+
+
 def read_progress(spark: SparkSession, store: Store) -> DataFrame:
-    schema = PROGRESS + ", group int"
-    rows = tables.read(spark, store.progress, schema)
-    return rows if rows is not None else spark.createDataFrame([], schema)
+    """One row for each batch: what it took in, or the error of its last try."""
+    return commits(spark, store).rows()
 
 
 def last_run(spark: SparkSession, store: Store) -> DataFrame:
@@ -127,28 +138,40 @@ def stall_report(spark: SparkSession, store: Store, limit_hours: float = STALL_H
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
-                 blocks: DataFrame | None = None, ranges: DataFrame | None = None) -> None:
+                 blocks: DataFrame | None = None, ranges: DataFrame | None = None,
+                 tip: int | None = None, through: int | None = None) -> None:
     """
     Take one batch of raw logs into the store.
 
     Logs above the committed height wait in a side table until a later batch confirms them: those
     less than `confirmations` blocks below the tip, and those behind a gap in `ranges`
-    (from_block, to_block, readable), if given. The tip is the highest block of `blocks`, if
-    given, or else of any log. Logs whose block number cannot be read are kept apart and counted.
-    A batch that fails leaves its error in the progress and is tried again by the stream.
+    (from_block, to_block, readable) or above the block `through`, if given. The tip is the highest
+    of `tip` and of the blocks of `blocks`, if given, and of any log. Logs whose block number cannot be read are kept apart and counted.
+    A batch that fails leaves its error in the progress and is tried again by the stream; one that
+    is committed already is left as it is.
     """
-    try:
-        row = _take_in(batch, batch_id, store, settings, blocks, ranges)
-    except Exception as failure:
-        _record(batch.sparkSession, store, batch_id, status="error", error=str(failure)[:500])
-        raise
-    _record(batch.sparkSession, store, batch_id, status="ok", **row)
-    if batch_id % store.merge_every == store.merge_every - 1:
-        merge_states(batch.sparkSession, store, batch_id)
+    done = commits(batch.sparkSession, store)
+    if done.get(batch_id) is None:
+        try:
+            row = _take_in(batch, batch_id, store, settings, blocks, ranges, tip, through,
+                           done.get(batch_id - 1) or {})
+            done.add(batch_id, {"stream": store.stream, **row})
+        except Exception as failure:
+            if done.get(batch_id) is None:
+                done.fail(batch_id, {"stream": store.stream, "error": str(failure)[:500]})
+            raise
+    # The one before is needed if this batch is repeated, older ones never.
+    discard(batch.sparkSession, f"{store.unconfirmed}/version={batch_id - 2}")
+    merge_states(batch.sparkSession, store, batch_id)
+
+
+def _highest(*numbers: int | None) -> int | None:
+    return max((n for n in numbers if n is not None), default=None)
 
 
 def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
-             blocks: DataFrame | None, ranges: DataFrame | None) -> dict:
+             blocks: DataFrame | None, ranges: DataFrame | None, tip: int | None,
+             through: int | None, before: dict) -> dict:
     spark = batch.sparkSession
     waiting = tables.read(spark, f"{store.unconfirmed}/version={batch_id - 1}", RAW_LOGS)
     raw = batch.select("address", "topics", "data", "blockNumber", "transactionHash", "logIndex")
@@ -161,20 +184,18 @@ def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
         # A few numbers; everything else stays distributed.
         seen, unreadable = decoded.agg(
             F.max("block_number"), F.count_if(F.col("block_number").isNull())).first()
-        known = read_progress(spark, store).where(F.col("batch_id") < batch_id) \
-            .agg(F.max("tip")).first()[0]
         top = blocks.agg(F.max("block_number")).first()[0] if blocks is not None else None
-        tip = max((n for n in (seen, known, top) if n is not None), default=None)
+        tip = _highest(seen, before.get("tip"), top, tip)
         last_block = None if tip is None else tip - settings.confirmations
         if ranges is not None and last_block is not None:
             last_block = min(last_block, logs.readable_through(ranges, settings.anchor_block)
                              .first()["commit_to"])
+        if through is not None and last_block is not None:
+            last_block = min(last_block, through)
         height = F.lit(-1 if last_block is None else last_block)
         number = quantity(F.col("blockNumber"))
         raw.where(number > height).write.mode("overwrite") \
             .parquet(f"{store.unconfirmed}/version={batch_id}")
-        # The one before is needed if this batch is repeated, older ones never.
-        discard(spark, f"{store.unconfirmed}/version={batch_id - 2}")
         if unreadable:
             tables.overwrite_partitions(raw.where(number.isNull()).withColumn(
                 "batch", F.lit(batch_id)), store.unreadable, "batch")
@@ -182,7 +203,7 @@ def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
         first, last, events, agents, sanitized = confirmed.agg(
             F.min("block_number"), F.max("block_number"), F.count(F.lit(1)),
             F.countDistinct("agent_id"), F.count_if("sanitized")).first()
-        inserted = 0
+        inserted, attempt = 0, uuid.uuid4().hex
         if events:
             near = blocks.where(F.col("block_number").between(first, last)) \
                 if blocks is not None else None
@@ -191,78 +212,127 @@ def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
                                     settings.anchor_seconds)
             rows = keep_raw_when_needed(timed, settings.store_raw_data) \
                 .withColumn("ingested_at", F.current_timestamp())
-            own = _append_events(rows, batch_id, first, last, store)
-            inserted = own.count()
-            tables.overwrite_partitions(partial_state(own, settings.zero_address).withColumn(
-                "batch", F.lit(batch_id)), store.changes, "batch")
+            again = first <= (before.get("top_block") or -1)
+            known = committed_events(spark, store, first, last) if again else None
+            own, inserted = _store_events(rows, known, f"{store.events}/batch_id={batch_id}"
+                                                       f"/attempt={attempt}", store)
+            if inserted:
+                partial_state(own, settings.zero_address).sortWithinPartitions("agent_id") \
+                    .write.mode("overwrite").parquet(f"{store.changes}/batch={batch_id}")
+        if not inserted:
+            # A first try may have left something that is not of this one.
+            discard(spark, f"{store.changes}/batch={batch_id}")
         return {"last_block": last_block, "tip": tip, "events": events, "inserted": inserted,
-                "agents": agents, "sanitized": sanitized, "unreadable": unreadable}
+                "agents": agents, "sanitized": sanitized, "unreadable": unreadable,
+                "attempt": attempt, "first_block": first, "through": last,
+                "top_block": _highest(before.get("top_block"), last)}
     finally:
         decoded.unpersist()
 
 
-def _append_events(rows: DataFrame, batch_id: int, first: int, last: int,
-                   store: Store) -> DataFrame:
+def _store_events(rows: DataFrame, known: DataFrame | None, path: str,
+                  store: Store) -> tuple[DataFrame, int]:
     """
-    Append new events and return all that carry the batch's number.
+    Write the events that are not known yet; what was written, and how many.
 
-    Only the folders of the batch's own block ranges are looked at. Rows are dealt evenly to
-    files of a good size, also where one range has nearly all of them.
+    Rows are dealt evenly to files of a good size, also where one range has nearly all of them.
     """
-    spark = rows.sparkSession
-    touched = F.col("block_range").between(first // store.range_blocks, last // store.range_blocks)
-    stored = tables.read(spark, store.events, EVENTS)
     columns = [c.strip().split(" ")[0] for c in REGISTRATION_EVENTS.split(",")]
-    fresh = new_rows(rows, stored.where(touched) if stored is not None else None, LOG_KEY) \
-        .select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"),
-                F.floor(F.col("block_number") / store.range_blocks).alias("block_range"))
-    fresh.hint("rebalance", "block_range").write.partitionBy("block_range").mode("append") \
-        .parquet(store.events)
-    return tables.read(spark, store.events, EVENTS) \
-        .where(touched & (F.col("batch_id") == batch_id))
-
-
-def _record(spark: SparkSession, store: Store, batch_id: int, **values) -> None:
-    """Write a batch's progress row; the few rows that share its folder are written with it."""
-    group = batch_id // PROGRESS_GROUP
-    others = [] if not tables.exists(spark, store.progress) else read_progress(spark, store) \
-        .where((F.col("group") == group) & (F.col("batch_id") != batch_id)).drop("group").collect()
-    names = [c.strip().split(" ")[0] for c in PROGRESS.split(",")]
-    own = spark.createDataFrame([tuple({"stream": store.stream, "batch_id": batch_id, **values}
-                                       .get(n) for n in names)], PROGRESS)
-    rows = spark.createDataFrame(others, PROGRESS).unionByName(
-        own.withColumn("run_at", F.current_timestamp()))
-    tables.overwrite_partitions(rows.coalesce(1).withColumn("group", F.lit(group)),
-                                store.progress, "group")
-
-
-def _partial_states(spark: SparkSession, store: Store) -> DataFrame | None:
-    """The last merged version and all changes after it."""
-    version = (tables.versions(spark, store.agents) or [-1])[-1]
-    changes = tables.read(spark, store.changes, PARTIAL_STATES + ", batch int")
-    parts = [] if changes is None else [changes.where(F.col("batch") > version).drop("batch")]
-    if version >= 0:
-        parts.append(spark.read.schema(PARTIAL_STATES).parquet(f"{store.agents}/version={version}"))
-    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    seen = Observation()
+    new_rows(rows, known, LOG_KEY) \
+        .select(*columns, F.floor(F.col("block_number") / store.range_blocks).alias("block_range")) \
+        .hint("rebalance", "block_range").observe(seen, F.count(F.lit(1)).alias("n")) \
+        .write.partitionBy("block_range").parquet(path)
+    own = rows.sparkSession.read.schema(REGISTRATION_EVENTS + ", block_range bigint").parquet(path)
+    return own, seen.get["n"]
+
+
+def committed_events(spark: SparkSession, store: Store, low: int | None = None,
+                     high: int | None = None) -> DataFrame:
+    """Events that commits name, of blocks low to high if given: only their folders are read."""
+    stored = tables.read(spark, store.events, EVENTS)
+    if stored is None:
+        return spark.createDataFrame([], EVENTS)
+    if low is not None:
+        stored = stored.where(F.col("block_range").between(
+            low // store.range_blocks, high // store.range_blocks))
+    return stored.join(commits(spark, store).named(low, high), ["batch_id", "attempt"], "left_semi")
+
+
+def _span(store: Store, batch_id: int) -> int:
+    """How many batches the merged run that ends at a batch holds: the largest power that fits."""
+    span = 1
+    while (batch_id + 1) % (span * store.merge_every) == 0:
+        span *= store.merge_every
+    return span
+
+
+def _runs(spark: SparkSession, store: Store, end: int, span: int, merged: bool) -> list[str]:
+    """
+    The folders that together hold `span` batches up to `end`: the merged run, if it is wanted and
+    complete, or else the runs that it is made of.
+    """
+    if span == 1:
+        path = f"{store.changes}/batch={end}"
+        return [path] if tables.exists(spark, f"{path}/_SUCCESS") else []
+    if merged and tables.exists(spark, f"{store.agents}/version={end}/_SUCCESS"):
+        return [f"{store.agents}/version={end}"]
+    part = span // store.merge_every
+    return [path for k in range(store.merge_every) for path in _runs(
+        spark, store, end - k * part, part, k > 0)]
+
+
+def _partial_states(spark: SparkSession, store: Store) -> list[str]:
+    """The folders of all runs, at most merge_every - 1 for each level."""
+    end, out = commits(spark, store).last(), []
+    while end >= 0:
+        span = _span(store, end)
+        out += _runs(spark, store, end, span, True)
+        end -= span
+    return out
+
+
+def _read_runs(spark: SparkSession, store: Store, paths: list[str],
+               agents: list[str] | None = None) -> DataFrame:
+    """The partial states in runs; of some agents only, from their buckets."""
+    parts = []
+    for path in paths:
+        rows = spark.read.schema(PARTIAL_STATES + ", bucket int").parquet(path)
+        if agents is not None:
+            rows = rows.where(F.col("agent_id").isin(agents))
+            if path.startswith(f"{store.agents}/"):
+                rows = rows.where(F.col("bucket").isin([_bucket(F.lit(a), store)
+                                                        for a in agents]))
+        parts.append(rows.drop("bucket"))
+    out = spark.createDataFrame([], PARTIAL_STATES)
+    for rows in parts:
+        out = out.unionByName(rows)
+    return out
+
+
+def _bucket(agent_id: Column, store: Store) -> Column:
+    return F.pmod(F.xxhash64(agent_id), F.lit(store.buckets)).cast("int")
 
 
 def merge_states(spark: SparkSession, store: Store, batch_id: int) -> None:
     """
-    Merge all partial states up to a batch into one version.
+    Merge the runs that end at a batch, if it completes a level.
 
-    A version counts once it is complete; the changes it holds, and the versions before the last
-    two, are removed after that. Removed or not, they are never read again.
+    A merged run counts once it is complete; what it is made of is removed after that. Removed or
+    not, it is never read again.
     """
-    older = tables.versions(spark, store.agents)
-    parts = _partial_states(spark, store)
-    if parts is None or batch_id in older:
+    span, path = _span(store, batch_id), f"{store.agents}/version={batch_id}"
+    if span == 1 or tables.exists(spark, f"{path}/_SUCCESS"):
+        return
+    paths = _runs(spark, store, batch_id, span, False)
+    if not paths:
         return
-    merged_state(parts).write.mode("overwrite").parquet(f"{store.agents}/version={batch_id}")
-    for version in older[:-1]:
-        discard(spark, f"{store.agents}/version={version}")
-    low = older[-1] + 1 if older else 0
-    for batch in range(low, batch_id + 1):
-        discard(spark, f"{store.changes}/batch={batch}")
+    merged_state(_read_runs(spark, store, paths)) \
+        .withColumn("bucket", _bucket(F.col("agent_id"), store)).hint("rebalance", "bucket") \
+        .sortWithinPartitions("bucket", "agent_id") \
+        .write.partitionBy("bucket").mode("overwrite").parquet(path)
+    for part in paths:
+        discard(spark, part)
 
 
 def start_ingest(spark: SparkSession, source: str, store: Store, settings: Settings = Settings(),
@@ -280,12 +350,71 @@ def start_ingest(spark: SparkSession, source: str, store: Store, settings: Setti
             else writer.trigger(processingTime="1 minute")).start()
 
 
-def stored_agents(spark: SparkSession, store: Store) -> DataFrame:
-    """The current state: merged versions and later changes, put together when read."""
-    parts = _partial_states(spark, store)
-    return finished_state(merged_state(parts if parts is not None
-                                       else spark.createDataFrame([], PARTIAL_STATES)))
+def last_stored_block(logs_path: str, spark: SparkSession) -> tuple[int, int] | None:
+    """The first and the last block of stored logs."""
+    found = logs.stored_logs(spark, logs_path).agg(F.min("block_number"),
+                                                   F.max("block_number")).first()
+    return None if found[0] is None else (found[0], found[1])
+
+
+def run_blocks(spark: SparkSession, logs_path: str, store: Store, settings: Settings = Settings(),
+               max_blocks: int | None = None, max_seconds: float | None = None,
+               chunk: int = 1_000_000, tip: int | None = None,
+               blocks: DataFrame | None = None) -> str:
+    """
+    Take stored logs (`logs.write_logs`, with the store's range_blocks) in by block ranges: one
+    bounded run. Why it ended: "confirmed", "max blocks" or "max seconds".
+
+    The run begins behind the last block of the run before, or at the first stored one, and takes
+    at most `max_blocks` blocks, `chunk` in a batch, none that has fewer than `confirmations` blocks
+    below the tip: `tip`, or else the last stored block. After `max_seconds` no further batch
+    begins. A batch reads the folders of its own blocks only. A run that is killed is continued by the
+    next one.
+    """
+    span = last_stored_block(logs_path, spark)
+    if span is None:
+        return "confirmed"
+    tip = span[1] if tip is None else tip
+    done = commits(spark, store)
+    last = done.get(done.last()) or {}
+    start = span[0] if last.get("last_block") is None else last["last_block"] + 1
+    confirmed = tip - settings.confirmations
+    target = confirmed if max_blocks is None else min(confirmed, start + max_blocks - 1)
+    if target < start:
+        return "confirmed"
+    spark.dataSource.register(BlockRanges)
+    stream = spark.readStream.format("block_ranges").option("start", start) \
+        .option("target", target).option("chunk", chunk)
+    if max_seconds is not None:
+        stream = stream.option("deadline", time.time() + max_seconds)
+
+    def take(admitted: DataFrame, batch_id: int) -> None:
+        for low, high in admitted.collect():
+            rows = logs.stored_logs(spark, logs_path).where(
+                F.col("block_number").between(low, high)
+                & F.col("block_range").between(low // store.range_blocks,
+                                               high // store.range_blocks))
+            ingest_batch(rows, batch_id, store, settings, blocks, tip=tip, through=high)
+    run = stream.load().writeStream.option("checkpointLocation", store.checkpoint) \
+        .foreachBatch(take).start()
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    reached = (done.get(done.last()) or {}).get("last_block", start - 1)
+    return "max seconds" if reached < target else \
+        "max blocks" if target < confirmed else "confirmed"
+
+
+def stored_agents(spark: SparkSession, store: Store,
+                  agents: list[str] | None = None) -> DataFrame:
+    """
+    The current state: merged runs and later changes, put together when read; of some agents only,
+    if a list of few ids is given, from their buckets.
+    """
+    return finished_state(merged_state(_read_runs(spark, store, _partial_states(spark, store),
+                                                  agents)))
 
 
 def stored_events(spark: SparkSession, store: Store) -> DataFrame:
-    return tables.read(spark, store.events, EVENTS).drop("batch_id", "block_range")
+    return committed_events(spark, store).drop("batch_id", "attempt", "block_range")
