@@ -54,7 +54,7 @@ class Store:
     range_blocks: int
     stream: str = "identity_registry_base"
     merge_every: int = 8
-    buckets: int = 64
+    buckets: int = 16
 
     @property
     def events(self) -> str:
