@@ -1,19 +1,18 @@
 """
-Removing passages that repeat across documents, word by word.
-
-A window is a run of MIN_WORDS words, A-Z lower-cased, known by a 64-bit digest of them. The
-document with the smallest doc_id keeps a window, all later ones repeat it; in one document the
-first one counts, and later ones that do not overlap it repeat it. What is removed are the words
-that lie in a repeated window: runs of MIN_WORDS words or more that an earlier place has, wherever
-in a line or sentence they begin and end. A word outside such a run always stays.
-
-1. Each window holds at least one print, the smallest hash of PRINT words in it (winnowing:
-   Schleimer and others, 2003), so equal windows share a print. Only prints, about one for nine
-   words, are shuffled for all documents.
-2. Documents that share prints give the digests of the windows with those prints, which tell the
-   repeated ones. Documents are shuffled once, and meet the prints and then the digests there.
-
-Among the windows of 30 GB of text, two different ones of the same digest are expected 0.1 times.
+Removing passages that repeat across documents: hashed lines, extended word by word.
+
+Lines are cut where the words say so and not where a copy happens to break them: behind every word
+whose hash is the least of some LINE words in a row (A-Z lower-cased, white space folded). A line has
+at most LINE words, and any two texts that share 2 * LINE words share a whole line.
+
+1. Texts of the same words are a class; the row with the smallest doc_id heads it, and all others of it
+   repeat it as a whole. Only the words of a class are compared with other classes.
+2. The digests of all lines are grouped over all texts; lines of one class alone are done with.
+3. A repeated line is extended: the windows of MIN_WORDS words whose own lines are all repeated
+   give 128-bit digests, which are grouped again. The class that ranks first keeps a window, all later ones
+   repeat it; in one text the first one counts, and later ones that do not overlap it repeat it.
+4. The words in repeated windows are removed, and their places in the original text returned. A word
+   outside a run of MIN_WORDS words that an earlier place has always stays.
 """
 
 from __future__ import annotations
@@ -24,28 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.llm.ordering import running
 from rollcall.llm.words import Words, mix, powers, stream, word_slices
+from rollcall.session import materialise
 
 MIN_WORDS = 25
-MIN_UNIT = 4                    # of the tests' older unit rule; nothing here looks at it
-PRINT = 9
-LAST_ID = 2 ** 63 - 1           # the rank of a row without doc_id
+LINE = 12                       # 2 * LINE <= MIN_WORDS, so that every window holds a whole line
 
-_BASES = stream(31, 2) | np.uint64(1)
-_IS_END = np.zeros(256, bool)
-_IS_END[[ord(c) for c in ".!?"]] = True
-
-
-def unit_counts(words: Words) -> np.ndarray:
-    """The number of units of each text: lines, and in a line after a word that ends in . ! or ?"""
-    if not len(words.codes):
-        return np.zeros(len(words), np.int64)
-    text = words.texts()
-    line = np.cumsum(words.data == 10)[words.starts]
-    last = _IS_END[words.data[words.ends - 1]]
-    last[:-1] |= (line[1:] != line[:-1]) | (text[1:] != text[:-1])
-    last[-1] = True
-    return np.bincount(text[last], minlength=len(words))
+_BASES = stream(31, 3) | np.uint64(1)
+_CUT = stream(32, 1)
 
 
 def _inside(words: Words, width: int) -> np.ndarray:
@@ -54,37 +40,59 @@ def _inside(words: Words, width: int) -> np.ndarray:
     return text[:len(text) - width + 1] == text[width - 1:]
 
 
-def _hashes(codes: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
-    """A hash of each run of `width` words, at least that many."""
+def _hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, base: np.uint64) -> np.ndarray:
+    """A hash of each run of words."""
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(mix(codes ^ base) * powers(len(codes), base), out=sums[1:])
-    back = powers(len(codes), np.uint64(pow(int(base), -1, 2 ** 64)))
-    return mix((sums[width:] - sums[:-width]) * back[:len(codes) - width + 1])
+    back = powers(len(codes) + 1, np.uint64(pow(int(base), -1, 2 ** 64)))
+    return mix((sums[end] - sums[begin]) * back[begin] ^ mix((end - begin).astype(np.uint64)))
+
 
+def _cuts(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(by the first of LINE words in a row, which of them is the least; all of these, ascending)."""
+    none = np.zeros(0, np.int64)
+    if len(words.codes) < LINE:
+        return none, none
+    least = np.lib.stride_tricks.sliding_window_view(mix(words.codes ^ _CUT), LINE).argmin(1)
+    least += np.arange(len(least))
+    return least, np.unique(least[_inside(words, LINE)])
 
-def _digests(words: Words) -> np.ndarray:
-    """Of each window, by its first word."""
-    return _hashes(words.codes, MIN_WORDS, _BASES[0]).view(np.int64)
 
+def _lines(words: Words, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the text, a hash) of the line between each cut and the next one; -1 if it is in another text."""
+    text = words.texts()[cuts]
+    return np.where(text[:-1] == text[1:], text[:-1], -1), \
+        _hashes(words.codes, cuts[:-1], cuts[1:], _BASES[2]).view(np.int64)
 
-def _choices(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first words of all windows, the place of the print of each, a hash for each place)."""
-    hashes = _hashes(words.codes, PRINT, _BASES[1])
-    choices = np.lib.stride_tricks.sliding_window_view(hashes, MIN_WORDS - PRINT + 1)
-    at = np.flatnonzero(_inside(words, MIN_WORDS))
-    return at, at + choices[at].argmin(1), hashes.view(np.int64)
+
+def _classes(text: Column) -> Column:
+    """(d1, d2, n) of a text: a digest of all its words, and their number."""
+    @F.arrow_udf("struct<d1: long, d2: long, n: long>")
+    def classes(texts: pa.Array) -> pa.Array:
+        parts = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for words in word_slices(texts):
+            begin, end = words.first[:-1], words.first[1:]
+            for k in (0, 1):
+                parts[k].append(_hashes(words.codes, begin, end, _BASES[k]).view(np.int64))
+            parts[2].append(words.counts)
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(p)) for p in parts],
+                                          ["d1", "d2", "n"])
+    return classes(text)
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(line, _d1) of each text, without repeats."""
     for batch in batches:
         for words in word_slices(batch.column("text")):
-            if len(words.codes) < MIN_WORDS:
-                continue
-            _, chosen, hashes = _choices(words)
-            own = np.unique(chosen)
-            rank = batch.column("rank").slice(words.row, len(words)).to_numpy()
-            yield pa.record_batch({"print": pa.array(hashes[own]),
-                                   "rank": pa.array(rank[words.texts()[own]])})
+            owner, lines = _lines(words, _cuts(words)[1])
+            order = np.lexsort((lines, owner))
+            order = order[owner[order] >= 0]
+            lines, owner = lines[order], owner[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (lines[1:] != lines[:-1]) | (owner[1:] != owner[:-1])
+            d1 = batch.column("_d1").slice(words.row, len(words)).to_numpy()
+            yield pa.record_batch({"line": pa.array(lines[fresh]),
+                                   "_d1": pa.array(d1[owner[fresh]])})
 
 
 def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,32 +102,54 @@ def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.concatenate([[0], np.cumsum(listed.value_lengths().to_numpy())])
 
 
-def _listed(words: Words, hashes: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which hashes, by their first word, are in the list of their text's row."""
+def _listed(words: Words, hashes: np.ndarray, first: np.ndarray, flat: np.ndarray,
+            at: np.ndarray) -> np.ndarray:
+    """Which hashes are in the list of their text's row; `first` has where each text's begin."""
     found = np.zeros(len(hashes), bool)
     for t in np.flatnonzero(np.diff(at[words.row:words.row + len(words) + 1])):
-        a, b, row = words.first[t], words.first[t + 1], words.row + t
+        a, b, row = first[t], first[t + 1], words.row + t
         found[a:b] = np.isin(hashes[a:b], flat[at[row]:at[row + 1]])
     return found
 
 
+def _digests(words: Words, at: np.ndarray, k: int) -> np.ndarray:
+    """Of the windows that begin at these words."""
+    return _hashes(words.codes, at, at + MIN_WORDS, _BASES[k]).view(np.int64)
+
+
+def _steps(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many of the ranges hold each of the places 0 to size - 1."""
+    some = begin < end
+    return np.cumsum(np.bincount(begin[some], minlength=size + 1)
+                     - np.bincount(end[some], minlength=size + 1))[:size]
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows whose print is in the row's list, once for each row."""
+    """(w1, w2, rank) of the windows whose own lines are all in the row's list."""
     for batch in batches:
-        flat, at = _lists(batch.column("_prints"))
+        flat, at = _lists(batch.column("_lines"))
         for words in word_slices(batch.column("text")):
-            if len(words.codes) < MIN_WORDS:
+            total = len(words.codes)
+            if total < MIN_WORDS:
                 continue
-            start, chosen, hashes = _choices(words)
-            own = start[_listed(words, hashes, flat, at)[chosen]]
-            rank = batch.column("_rank").slice(words.row, len(words)).to_numpy()
-            digests, text = _digests(words)[own], words.texts()[own]
-            order = np.lexsort((digests, text))
-            digests, text = digests[order], text[order]
+            least, cuts = _cuts(words)
+            owner, lines = _lines(words, cuts)
+            known = _listed(words, lines, np.searchsorted(cuts, words.first), flat, at)
+            # Whoever shares a window has its lines from the first cut that no word before the
+            # window has a part in to the last that none behind it has.
+            own = np.flatnonzero(_inside(words, MIN_WORDS))
+            low, high = (np.searchsorted(cuts, least[own + k]) for k in (0, MIN_WORDS - LINE))
+            other = np.concatenate([[0], np.cumsum(~known)])
+            own = own[other[high] == other[low]]
+            ranks = batch.column("_rank").slice(words.row, len(words)).to_numpy()
+            text = words.texts()[own]
+            w1, w2 = _digests(words, own, 0), _digests(words, own, 1)
+            order = np.lexsort((w2, w1, text))
+            w1, w2, text = w1[order], w2[order], text[order]
             fresh = np.ones(len(order), bool)
-            fresh[1:] = (text[1:] != text[:-1]) | (digests[1:] != digests[:-1])
-            yield pa.record_batch({"digest": pa.array(digests[fresh]),
-                                   "rank": pa.array(rank[text[fresh]])})
+            fresh[1:] = (text[1:] != text[:-1]) | (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+            yield pa.record_batch({"w1": pa.array(w1[fresh]), "w2": pa.array(w2[fresh]),
+                                   "rank": pa.array(ranks[text[fresh]])})
 
 
 def _again(words: Words, digests: np.ndarray) -> np.ndarray:
@@ -135,31 +165,32 @@ def _again(words: Words, digests: np.ndarray) -> np.ndarray:
     return out
 
 
-def _covered(words: Words, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The words of repeated windows."""
-    total = len(words.codes)
+def _covered(words: Words, flat: np.ndarray, at: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """The words of repeated windows, and all words of copies."""
+    total, text = len(words.codes), words.texts()
+    whole = copies[words.row:words.row + len(words)][text]
     if total < MIN_WORDS:
-        return np.zeros(total, bool)
-    digests = _digests(words)
-    repeated = _again(words, digests) | _listed(words, digests, flat, at)
-    start = np.flatnonzero(repeated & _inside(words, MIN_WORDS))
-    steps = np.bincount(start, minlength=total + 1) \
-        - np.bincount(start + MIN_WORDS, minlength=total + 1)
-    return np.cumsum(steps)[:total] > 0
+        return whole
+    start = np.arange(total - MIN_WORDS + 1)
+    digests = _digests(words, start, 0)
+    first = np.minimum(words.first, len(start))
+    repeated = _again(words, digests) | _listed(words, digests, first, flat, at)
+    start = start[repeated & _inside(words, MIN_WORDS)]
+    return whole | (_steps(total, start, start + MIN_WORDS) > 0)
 
 
-SPANS = "struct<text: string, removed: array<struct<start: int, end: int>>, units: int>"
+SPANS = "struct<text: string, removed: array<struct<start: int, end: int>>>"
 
 
-def _without(text: Column, repeats: Column) -> Column:
+def _without(text: Column, repeats: Column, copy: Column) -> Column:
     """A text without its repeated passages, and their places in characters of the original."""
     @F.arrow_udf(SPANS)
-    def without(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        kept, spans, counts = [], [], []
+    def without(texts: pa.Array, lists: pa.Array, copied: pa.Array) -> pa.Array:
+        kept, spans = [], []
         flat, listed_at = _lists(lists)
+        copies = copied.to_numpy(zero_copy_only=False).astype(bool)
         for words in word_slices(texts):
-            covered = _covered(words, flat, listed_at)
-            counts += unit_counts(words).tolist()
+            covered = _covered(words, flat, listed_at, copies)
             data = words.data.tobytes()
             for t in range(len(words)):
                 a, b = words.first[t], words.first[t + 1]
@@ -182,45 +213,71 @@ def _without(text: Column, repeats: Column) -> Column:
                 kept.append(b"".join([*parts, data[at:high]]).decode())
         place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
         return pa.StructArray.from_arrays(
-            [pa.array(kept, pa.string()), pa.array(spans, pa.list_(place)),
-             pa.array(counts, pa.int32())], ["text", "removed", "units"])
-    return without(text, repeats)
-
-
-def _rank(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))
+            [pa.array(kept, pa.string()), pa.array(spans, pa.list_(place))], ["text", "removed"])
+    return without(text, repeats, copy)
 
 
-def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key more than one rank has, with the least."""
-    shared = rows.groupBy(key).agg(F.min("rank").alias("least"),
-                                   F.max("rank").alias("most")).where("most > least")
-    return rows.join(shared.hint("merge"), key)
+def _shared(rows: DataFrame, keys: list[str], owner: str) -> DataFrame:
+    """The keys that more than one owner has, with the least owner."""
+    return rows.groupBy(*keys).agg(F.min(owner).alias("least"), F.max(owner).alias("most")) \
+        .where("most > least").drop("most")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """
     docs (doc_id, text, ...) with all its columns, the text without repeated passages, and
-    removed, an array of (start, end) in characters of the original text, and units, the number of
-    lines and sentences in it; columns so named are replaced. Every row stays, if with an empty
-    text.
+    removed, an array of (start, end) in characters of the original text; a column so named is
+    replaced. Every row stays, if with an empty text.
 
-    Documents rank by doc_id, rows without one last. Rows that share a doc_id, or have none, are
-    one document to others and are not compared with each other. A null text stays null and has no
-    units; an empty table gives an empty one.
+    Documents rank by doc_id, rows without one last; rows that share a doc_id, or have none, by a
+    digest of their words. Rows of the same words and doc_id rank by a hash of all their columns; of
+    rows that are equal in all columns one keeps its text. A null text stays null, with nothing
+    removed; texts of fewer than MIN_WORDS words stay as they are. An empty table gives an empty one.
     """
-    ranked = docs.select(_rank(F.col("doc_id")).alias("rank"), "text")
-    prints = ranked.mapInArrow(_prints, "print long, rank long")
-    hits = _shared(prints, "print").groupBy("rank").agg(F.collect_set("print").alias("_prints"))
-    # Both joins take all columns of the same rows, so one exchange serves both.
-    rows = docs.drop("removed", "units").withColumn("_rank", _rank(F.col("doc_id")))
-    windows = rows.join(hits.hint("merge").withColumnRenamed("rank", "_rank"), "_rank") \
-        .mapInArrow(_windows, "digest long, rank long")
-    repeats = _shared(windows, "digest").where("rank > least") \
-        .groupBy("rank").agg(F.collect_set("digest").alias("_repeats"))
-    joined = rows.join(repeats.hint("merge").withColumnRenamed("rank", "_rank"), "_rank", "left")
-    cleaned = joined.withColumn("_clean", _without(F.col("text"), F.col("_repeats")))
+    columns = [c for c in docs.columns if c != "removed"]
+    long = F.col("_class.n") >= MIN_WORDS
+    own = F.xxhash64("_id", "_hash")
+    # Rows too short for a passage meet nothing: they are dealt by themselves.
+    rows = docs.select(*columns, F.col("doc_id").cast("long").alias("_id"),
+                       F.xxhash64(*columns).alias("_hash"), _classes(F.col("text")).alias("_class")) \
+        .select(*columns, "_id", "_hash", long.alias("_long"),
+                F.when(long, F.col("_class.d1")).otherwise(own).alias("_d1"),
+                F.when(long, F.col("_class.d2")).otherwise(own).alias("_d2"))
+    place = [F.col("_id").isNull().alias("_none"), F.coalesce("_id", F.lit(0)).alias("_least"),
+             F.col("_hash").alias("_head")]
+    heads = rows.where("_long").groupBy("_d1", "_d2", *place) \
+        .agg(F.count(F.lit(1)).alias("_times")).groupBy("_d1", "_d2") \
+        .agg(F.min(F.struct("_none", "_least", "_head", "_times")).alias("_first")) \
+        .select("_d1", "_d2", "_first.*")
+    # One narrow row for each class, with its place among all.
+    heads = materialise(running(heads, ["_none", "_least", "_d1", "_d2"], F.lit(1), "_rank",
+                                "ranks"), "heads")
+
+    lines = docs.select("text", _classes(F.col("text")).alias("_class")).where(long) \
+        .select("text", F.col("_class.d1").alias("_d1")) \
+        .mapInArrow(_line_rows, "line long, _d1 long")
+    # Stored, so that a line of very many texts can be split in the join.
+    shared = materialise(_shared(lines, ["line"], "_d1").select("line"), "lines")
+    hits = lines.join(shared.hint("merge"), "line").groupBy("_d1") \
+        .agg(F.collect_set("line").alias("_lines"))
+
+    # All joins take all columns of the same rows by class, so one exchange serves them.
+    is_head = (F.col("_id").isNull() == F.col("_none")) & (F.col("_hash") == F.col("_head")) \
+        & (F.coalesce("_id", F.lit(0)) == F.col("_least"))
+    windows = rows.join(heads.join(hits, "_d1").hint("merge"), ["_d1", "_d2"]).where(is_head) \
+        .mapInArrow(_windows, "w1 long, w2 long, rank long").repartition("w1", "w2")
+    repeats = windows.join(_shared(windows, ["w1", "w2"], "rank").hint("merge"), ["w1", "w2"]) \
+        .where("rank > least").groupBy(F.col("rank").alias("_rank")) \
+        .agg(F.collect_set("w1").alias("_repeats"))
+    joined = rows.join(heads.join(repeats, "_rank", "left").hint("merge"), ["_d1", "_d2"], "left") \
+        .withColumn("_copy", F.col("_long") & ~is_head)
+    # Of head rows that are equal in all columns the first keeps its text.
+    alike = ~F.col("_copy") & (F.col("_times") > 1)
+    first = joined.where(alike).dropDuplicates(columns) \
+        .withColumn("_copy", F.explode(F.transform(F.sequence(F.lit(1), F.col("_times").cast("int")),
+                                                   lambda k: k > 1)))
+    cleaned = joined.where(~F.coalesce(alike, F.lit(False))).unionByName(first).withColumn(
+        "_clean", _without(F.col("text"), F.col("_repeats"), F.coalesce("_copy", F.lit(False))))
     return cleaned.select(
         *[F.when(F.col("text").isNotNull(), F.col("_clean.text")).alias("text")
-          if c == "text" else F.col(c) for c in docs.columns if c not in ("removed", "units")],
-        F.col("_clean.removed").alias("removed"), F.col("_clean.units").alias("units"))
+          if c == "text" else F.col(c) for c in columns], F.col("_clean.removed").alias("removed"))

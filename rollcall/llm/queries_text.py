@@ -59,6 +59,6 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = passages.without_repeats(
         table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return clean.select("doc_id", "units", F.to_json("removed").alias("removed"),
+    return clean.select("doc_id", "text", F.to_json("removed").alias("removed"),
                         F.length("text").alias("kept_chars"),
                         F.crc32("text").alias("text_crc32"))

@@ -1,63 +1,57 @@
 import re
 
+import pyarrow as pa
+
 from hard import documents, words
 from rollcall.llm import passages
+from rollcall.llm.words import word_slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({i: i + 32 for i in range(65, 91)})
 UPPER = {b: a for a, b in LOWER.items()}
 
 
-def units(text):
-    """(words, start, start of what follows) of each line or sentence."""
-    out, current, found = [], [], list(WORD.finditer(text))
-    for k, m in enumerate(found):
-        current.append(m)
-        follows = found[k + 1].start() if k + 1 < len(found) else len(text)
-        if m.group()[-1] in ".!?" or "\n" in text[m.end():follows] or k + 1 == len(found):
-            out.append((tuple(x.group().translate(LOWER) for x in current), current[0].start(),
-                        follows))
-            current = []
-    return out
-
-
 def brute(rows):
-    first = {}
-    ranked = [(2 ** 63 - 1 if d is None else d, t) for d, t in rows]
-    for d, t in sorted((r for r in ranked if r[1]), key=lambda r: r[0]):
-        for w, _, _ in units(t):
-            first.setdefault(w, d)
-    out = []
-    for (d, t), (rank, _) in zip(rows, ranked):
-        if t is None:
-            out.append((d, None, [], 0))
-            continue
-        own, seen, repeated = units(t), set(), []
-        for w, _, _ in own:
-            repeated.append(len(w) >= passages.MIN_UNIT and (first[w] != rank or w in seen))
-            seen.add(w)
-        cuts, k = [], 0
-        while k < len(own):
-            if not repeated[k]:
-                k += 1
-                continue
-            j = last = k
-            while j < len(own) and (repeated[j] or len(own[j][0]) < passages.MIN_UNIT):
-                last = j if repeated[j] else last
+    """Windows of MIN_WORDS words by rank of their texts: what an earlier place has goes."""
+    found = [list(WORD.finditer(t or "")) for _, t in rows]
+    own = [[m.group().translate(LOWER) for m in f] for f in found]
+    digests = [tuple(x) for x in passages_digests([" ".join(w) for w in own])]
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0,
+                                                    digests[k]))
+    seen, out, n = {}, [], passages.MIN_WORDS
+    for place, k in enumerate(order):
+        d, t = rows[k]
+        gone = set()
+        for i in range(len(own[k]) - n + 1):
+            at = seen.setdefault(tuple(own[k][i:i + n]), (place, i))
+            if at[0] < place or i - at[1] >= n:
+                gone.update(range(i, i + n))
+        cuts, i = [], 0
+        while i < len(own[k]):
+            j = i
+            while j in gone:
                 j += 1
-            if sum(len(own[x][0]) for x in range(k, last + 1)) >= passages.MIN_WORDS:
-                cuts.append((own[k][1], own[last][2]))
-            k = j
+            if j > i:
+                cuts.append((found[k][i].start(), found[k][j].start() if j < len(own[k]) else len(t)))
+            i = max(j, i + 1)
         kept, at = "", 0
         for a, b in cuts:
             kept, at = kept + t[at:a], b
-        out.append((d, kept + t[at:], cuts, len(own)))
+        out.append((d, None if t is None else kept + t[at:], cuts))
     return out
 
 
+def passages_digests(texts):
+    parts = []
+    for words in word_slices(pa.array(texts)):
+        parts += zip(*[passages._hashes(words.codes, words.first[:-1], words.first[1:],
+                                        passages._BASES[k]).view("int64").tolist() for k in (0, 1)])
+    return parts
+
+
 def result(df):
-    return sorted(repr((r["doc_id"], r["text"], [(x["start"], x["end"]) for x in r["removed"]],
-                        r["units"])) for r in df.collect())
+    return sorted(repr((r["doc_id"], r["text"], [(x["start"], x["end"]) for x in r["removed"]]))
+                  for r in df.collect())
 
 
 def test_equal_to_brute_force(hard):
@@ -66,6 +60,18 @@ def test_equal_to_brute_force(hard):
     assert set(got.columns) == set(hard().columns)
 
 
+def test_rows_without_or_with_a_repeated_id_are_compared(hard):
+    passage, other = own_words("p", 60), own_words("o", 60)
+    rows = [(None, passage, "en", "s", 0)] * 3 + [
+        (None, own_words("a", 9) + passage, "en", "s", 0), (4, other, "en", "s", 0),
+        (4, other, "en", "s", 0), (4, other, "en", "t", 0), (4, own_words("b", 9) + other, "en", "s", 0),
+        (5, other.upper(), "en", "s", 0), (6, "a b", "en", "s", 0), (6, "a b", "en", "s", 0)]
+    got = passages.without_repeats(hard(rows))
+    assert result(got) == sorted(map(repr, brute([(r[0], r[1]) for r in rows])))
+    texts = [r["text"].split() for r in got.collect()]
+    assert sum(t.count("p7") for t in texts) == sum(t.count("o7") for t in texts) == 1
+
+
 def test_passages_go_and_clean_text_stays(hard):
     passage = words(500, 58, 9000)
     rows = [(1, "Own start one two.\n" + passage + ".\nOwn end here.", "en", "s", 0),

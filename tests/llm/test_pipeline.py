@@ -48,7 +48,7 @@ def test_near_duplicates_keep_one_of_each_group(kept):
 
 
 def test_passages_are_removed(kept):
-    want = [(d, t) for d, t, _, _ in without_passages(texts(kept["near_duplicates"]))]
+    want = [(d, t) for d, t, _ in without_passages(texts(kept["near_duplicates"]))]
     assert sorted(texts(kept["repeated_passages"])) == sorted(want)
     assert all(r["n_chars"] == len(r["text"]) for r in kept["repeated_passages"].collect())
 
