@@ -1,12 +1,12 @@
 """
 Splitting documents into shards of near-equal bytes by histogram sort.
 
-Documents are ordered by a hash of their text, then doc_id, so equal texts stand together. Every
-round counts, exactly and over all partitions at once, the bytes and rows below some candidate
+Documents are ordered by a hash of their text, then a stored row number, so equal texts stand
+together. Every round counts, exactly and over all partitions at once, the bytes and rows below some candidate
 boundaries, and replaces them by finer ones around each wanted cut (Solomonik and Kalé, "Highly
 scalable parallel sorting", 2010). A cut between two different texts is taken once it is within
 the tolerance; only where one group of equal texts reaches far across a cut does the cut go inside
-the group, by doc_id. Then all rows move once, to parts of bounded size whose
+the group, by row number. Then all rows move once, to parts of bounded size whose
 boundaries and row counts are known.
 """
 
@@ -164,16 +164,18 @@ def shard(docs: DataFrame, shards: int, tolerance: float = TOLERANCE,
 
     A boundary between shards is off by `tolerance` of a shard at most, or by the group of equal
     texts or the row that it falls into. Such a group stays whole if that leaves the boundary
-    within `group_tolerance`; only a larger one is cut. Null texts are one group, empty ones another. A null doc_id
-    comes first in its group. Rows equal in text and doc_id cannot be told apart and
-    stay together. An empty table gives an empty one.
+    within `group_tolerance`; only a larger one is cut, between any two of its rows, those that are
+    equal in doc_id or have none too. Null texts are one group, empty ones another. doc_id is not
+    looked at. An empty table gives an empty one.
     """
-    keyed = docs.drop("shard", "slot", "size") \
-        .withColumn("_first", F.xxhash64(F.col("text").isNull(), "text")) \
-        .withColumn("_second", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW + 1))) \
-        .withColumn("size", weight(F.col("text")))
-    keys = materialise(keyed.select(F.col("_first").alias("first"), F.col("_second").alias("second"),
-                                    F.col("size").alias("weight")), "shard_keys")
+    # Stored with their numbers, so that equal rows are told apart alike by every scan.
+    keyed = materialise(
+        docs.drop("shard", "slot", "size")
+        .withColumn("_first", F.xxhash64(F.col("text").isNull(), "text"))
+        .withColumn("_second", F.monotonically_increasing_id())
+        .withColumn("size", weight(F.col("text"))), "numbered")
+    keys = keyed.select(F.col("_first").alias("first"), F.col("_second").alias("second"),
+                        F.col("size").alias("weight"))
     total = keys.agg(F.sum("weight")).first()[0] or 0
     finer = int(max(1, min(-(-total // (shards * part_bytes)), MOST_PARTS // shards)))
     cuts = shards * finer

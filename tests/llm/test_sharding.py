@@ -42,7 +42,15 @@ def test_sizes_are_near_equal_and_groups_whole(hard):
     assert all(len(s) == 1 for s in homes.values())
 
 
-def test_a_hot_text_is_cut_by_id(hard):
+def test_rows_equal_in_text_and_id_are_cut_too(hard):
+    rows = [(7, words(0, 30), "en", "s", 0)] * 300 + [(None, words(1, 30), "en", "s", 0)] * 200 + \
+        [(k, words(k, 30), "en", "s", 0) for k in range(500)]
+    sizes, _ = check(sharding.shard(hard(rows), 24), rows, 24)
+    mean = sum(sizes) / 24
+    assert all(abs(s - mean) <= 0.1 * mean for s in sizes)
+
+
+def test_a_hot_text_is_cut(hard):
     rows = [(k, words(0, 40) if k % 3 else words(k, 40), "en", "s", 0) for k in range(1200)]
     sizes, homes = check(sharding.shard(hard(rows), 6), rows, 6)
     mean = sum(sizes) / 6
