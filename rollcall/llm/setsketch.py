@@ -261,7 +261,8 @@ def _judged(docs: DataFrame) -> DataFrame:
     classes = materialise(classes, "classes")
     heads = sketched.where("n_shingles > 0").join(
         classes.select("d1", "d2", F.col("rep").alias("doc_id")), ["d1", "d2", "doc_id"]) \
-        .select(F.col("doc_id").alias("rep"), "n_shingles", "registers", "d1", "d2")
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "registers", "d1", "d2") \
+        .dropDuplicates(["rep", "d1", "d2"])
     tiles = materialise(_buckets(heads), "buckets")
     possible = tiles.select("tile", F.explode("reps").alias("rep")).join(
         heads.drop("d1", "d2"), "rep") \
@@ -289,8 +290,10 @@ def _confirmed(docs: DataFrame, heads: DataFrame, clusters: DataFrame) -> DataFr
     blocks = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS),
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # The same plan at every size: both sides are dealt by id.
+    # The same plan at every size: both sides are dealt by id. Repeated rows give one text.
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text",
+                        F.xxhash64("text").alias("_hash")).repartition("rep") \
+        .dropDuplicates(["rep", "_hash"]).drop("_hash")
     sets = members.join(blocks, "root").drop("n_shingles").hint("merge").join(texts, "rep") \
         .select("root", "blocks", "rep", "d1", "d2", "text") \
         .mapInArrow(_full_sets, "root long, blocks int, rep long, d1 long, d2 long, "

@@ -76,11 +76,27 @@ def test_empty_table_and_kept_rows(hard):
     kept = setsketch.deduplicated(hard())
     assert set(kept.columns) == set(hard().columns)
     ids = [r["doc_id"] for r in kept.collect()]
-    want = {d for d, _, c in brute([(r[0], r[1]) for r in documents()]) if d is not None and d == c}
-    assert collections.Counter(d for d in ids if d is not None) == collections.Counter(want)
+    # Of rows that share an id each different set of shingles is judged, and kept once.
+    rows = [(r[0], r[1]) for r in documents()]
+    want = {(d, shingles(t)) for (d, t), (_, _, c) in zip(rows, brute(rows))
+            if d is not None and d == c}
+    assert collections.Counter(d for d in ids if d is not None) == \
+        collections.Counter(d for d, _ in want)
     assert ids.count(None) == 3
 
 
+def test_rows_that_repeat_very_often(hard):
+    """Copies with one id are one set: tiles and texts hold it once."""
+    base = [f"w{k}" for k in range(60)]
+    near, far = " ".join(["x", *base]), " ".join(f"v{k}" for k in range(60))
+    rows = [(1, " ".join(base), "en", "s", 0)] * 400 + [(2, near, "en", "s", 0)] * 300 + \
+        [(3, far, "en", "s", 0)] * 2
+    got = setsketch.near_duplicates(hard(rows)).collect()
+    assert collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in got) == {
+        (1, 1, True): 400, (2, 1, False): 300, (3, 3, True): 2}
+    assert sorted(r["doc_id"] for r in setsketch.deduplicated(hard(rows)).collect()) == [1, 3]
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2 ** 64, 4000, dtype=np.uint64)
