@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from rollcall.session import discard, fresh_path
+from rollcall.session import discard, fresh_path, materialise
 
 
 def component_labels(edges: DataFrame) -> DataFrame:
@@ -34,6 +34,32 @@ def component_labels(edges: DataFrame) -> DataFrame:
     return current.union(lowest).toDF("vertex", "label")
 
 
+def extended_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """
+    The labels (vertex, label) of a graph, put right for more edges (a, b): what `component_labels`
+    gives for all edges together. Old edges are not needed.
+
+    A component is one vertex here, its label, so an edge inside it falls away and only the edges
+    between components and new vertices go through the rounds. Work grows with the new edges, but for
+    one look at all labels.
+    """
+    new = edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    between = materialise(
+        new.join(labels.toDF("a", "_low"), "a", "left").join(labels.toDF("b", "_high"), "b", "left")
+        .select("a", "b", F.coalesce("_low", "a").alias("_low"),
+                F.coalesce("_high", "b").alias("_high")), "contracted")
+    moved = component_labels(between.select(F.col("_low").alias("a"), F.col("_high").alias("b"))) \
+        .toDF("label", "_moved")
+    # New vertices are named by the new edges; a known one comes with the label it has.
+    ends = between.select(F.inline(F.array(
+        F.struct(F.col("a").alias("vertex"), F.col("_low").alias("label")),
+        F.struct(F.col("b").alias("vertex"), F.col("_high").alias("label"))))).distinct()
+    fresh = ends.join(labels.select("vertex"), "vertex", "left_anti")
+    return labels.select("vertex", "label").unionByName(fresh).join(moved, "label", "left") \
+        .select("vertex", F.coalesce("_moved", "label").alias("label"))
+
+
 def _round(edges: DataFrame) -> DataFrame:
     both = edges.select(F.inline(F.array(F.struct("a", "b"),
                                          F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))

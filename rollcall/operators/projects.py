@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.functions.uri import is_shared_hosting
-from rollcall.operators.components import component_labels
+from rollcall.operators.components import component_labels, extended_labels
 from rollcall.operators.funnel import group_funnel, owner_key
 
 
@@ -21,22 +21,40 @@ def linking_domain(domain: Column) -> Column:
     return F.when(low.isNotNull() & ~is_shared_hosting(low), low)
 
 
-def with_project(checks: DataFrame) -> DataFrame:
+def _tagged(checks: DataFrame) -> DataFrame:
+    owner = F.concat(F.lit("owner "), owner_key(F.col("owner")))
+    domain = F.concat(F.lit("domain "), linking_domain(F.col("uri_root_domain")))
+    return checks.withColumns({"_owner": owner, "_domain": domain})
+
+
+def project_edges(checks: DataFrame) -> DataFrame:
+    """(a, b): the distinct pairs of an owner and a linking domain."""
+    return _tagged(checks).where("_owner IS NOT NULL AND _domain IS NOT NULL").select(
+        F.col("_owner").alias("a"), F.col("_domain").alias("b")).distinct()
+
+
+def project_labels(checks: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """
+    (vertex, label) of owners and domains. With `known`, the stored labels of earlier checks, only
+    what the given checks add to them is worked out.
+    """
+    edges = project_edges(checks)
+    return component_labels(edges) if known is None else extended_labels(known, edges)
+
+
+def with_project(checks: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """
     Add `project`, equal for two rows exactly if their agents belong together.
 
     An agent with neither an owner nor a linking domain is its own project. Only the distinct
-    pairs of owner and domain are written; the labels come back to the rows by a join that the
-    adaptive planner splits where one owner has very many rows.
+    pairs of owner and domain are written; the labels, of these checks if none are given, come back to the
+    rows by a join that the adaptive planner splits where one owner has very many rows.
     """
-    owner = F.concat(F.lit("owner "), owner_key(F.col("owner")))
-    domain = F.concat(F.lit("domain "), linking_domain(F.col("uri_root_domain")))
-    tagged = checks.withColumns({"_owner": owner, "_domain": domain})
-    labels = component_labels(tagged.where("_owner IS NOT NULL AND _domain IS NOT NULL").select(
-        F.col("_owner").alias("a"), F.col("_domain").alias("b")))
+    if labels is None:
+        labels = project_labels(checks)
     # Owners or domains that occur alone carry no edge and label themselves.
     anchor = F.coalesce("_owner", "_domain", F.concat(F.lit("agent "), F.col("agent_id")))
-    return tagged.withColumn("_anchor", anchor) \
+    return _tagged(checks).withColumn("_anchor", anchor) \
         .join(labels.withColumnRenamed("vertex", "_anchor"), "_anchor", "left") \
         .withColumn("project", F.coalesce("label", "_anchor")) \
         .drop("_owner", "_domain", "_anchor", "label")

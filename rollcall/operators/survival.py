@@ -53,19 +53,22 @@ def agent_outcomes(history: DataFrame, agents: DataFrame,
     symmetric. Among equally near checks the earlier wins, then a dead one.
 
     Nearness, side and verdict are packed into one number, so the choice is a plain minimum
-    that is taken before the shuffle. The join with the anchors, one row per agent, is split by the
+    that is taken before the shuffle. A check makes a row for each horizon that it lies near and for no
+    other, however many are asked for. The join with the anchors, one row per agent, is split by the
     adaptive planner where an agent has very many checks.
     """
     anchors = history.groupBy("agent_id").agg(
         F.min(F.when(F.col("live"), F.col("at"))).alias("anchor")).where("anchor IS NOT NULL")
-    offset = F.col("at") - F.col("anchor") - F.col("horizon_days") * F.lit(DAY)
-    inside = (offset >= -tolerance_days * DAY) & (offset < (tolerance_days + 1) * DAY) \
-        & (F.col("at") > F.col("anchor"))
+    age = F.col("at") - F.col("anchor")
+    near = F.filter(F.array(*[F.lit(h) for h in horizons]),
+                    lambda h: (age - h * F.lit(DAY) >= -tolerance_days * DAY)
+                    & (age - h * F.lit(DAY) < (tolerance_days + 1) * DAY))
+    offset = age - F.col("horizon_days") * F.lit(DAY)
     packed = F.abs(offset) * 4 + F.when(offset > 0, 2).otherwise(0) \
         + F.when(F.col("live"), 1).otherwise(0)
-    nearest = history.join(anchors, "agent_id") \
-        .withColumn("horizon_days", F.explode(F.array(*[F.lit(h) for h in horizons]))) \
-        .where(inside).groupBy("agent_id", "horizon_days").agg(F.min(packed).alias("_best"))
+    nearest = history.join(anchors, "agent_id").where(F.col("at") > F.col("anchor")) \
+        .withColumn("horizon_days", F.explode(near)) \
+        .groupBy("agent_id", "horizon_days").agg(F.min(packed).alias("_best"))
     known = agents.select("agent_id", month(F.col("registered_at")).alias("month"))
     return nearest.join(known, "agent_id").select(
         "agent_id", "horizon_days", (F.col("_best") % 2 == 1).alias("survived"), "month")

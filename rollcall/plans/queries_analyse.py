@@ -8,6 +8,7 @@ from rollcall.constants import STAGES
 from rollcall.operators import funnel, ownership, projects, runs, state, survival, totals
 from rollcall.plans import bindings as b
 from rollcall.plans.catalog import percent_sql, query, round_sql, wilson_sql
+from rollcall.session import materialise
 
 HORIZONS, TOLERANCE = (7, 20), 2
 
@@ -392,6 +393,21 @@ def project_components(spark, sf_dir):
         .select("agent_id", "first_agent", "agents")
 
 
+@query("project_increment", f"""WITH RECURSIVE {b.PROJECTS_SQL}
+    SELECT agent_id, min(agent_id) OVER (PARTITION BY project) AS first_agent,
+        count(*) OVER (PARTITION BY project) AS agents FROM projects""")
+def project_increment(spark, sf_dir):
+    """The same projects, from stored labels of most agents and what the others add to them."""
+    checks = materialise(funnel.analysed(b.document_checks(spark, sf_dir)).select(
+        "agent_id", "owner", "uri_root_domain"), "checks")
+    late = F.pmod(F.xxhash64("agent_id"), F.lit(20)) == 0
+    known = materialise(projects.project_labels(checks.where(~late)), "labels")
+    rows = materialise(projects.with_project(checks, projects.project_labels(
+        checks.where(late), known)).select("agent_id", "project"), "projects")
+    return rows.join(projects.project_names(rows), "project") \
+        .select("agent_id", "first_agent", "agents")
+
+
 @query("top_projects", f"""WITH RECURSIVE {b.PROJECTS_SQL},
     grouped AS (SELECT project, count(*) AS agents,
         count(DISTINCT nullif(lower(owner), '')) AS owners,

@@ -44,6 +44,20 @@ GRAPHS = {
 }
 
 
+@pytest.mark.parametrize("name", GRAPHS)
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.97, 1.0])
+def test_more_edges_give_the_labels_of_all(spark, name, share):
+    edges = list(GRAPHS[name])
+    random.Random(1).shuffle(edges)
+    cut = int(len(edges) * share)
+    old, new, both = (spark.createDataFrame(e, "a string, b string") for e in (
+        edges[:cut], edges[cut:] + edges[:2] + [("self", "self"), (None, "x")], edges))
+    labels = components.component_labels(old)
+    got = components.extended_labels(labels, new)
+    assert sorted(map(tuple, got.collect())) == \
+        sorted(map(tuple, components.component_labels(both).collect()))
+
+
 @pytest.mark.parametrize("name", GRAPHS)
 def test_components(spark, name):
     edges = GRAPHS[name]

@@ -70,3 +70,26 @@ def test_horizon_nobody_reached(spark):
     outcomes, horizons = outcome(spark, [("a", 0 * DAYS, True)], (30,))
     row = survival.survival(outcomes, horizons).first()
     assert (row.n, row.k, row.pct) == (0, 0, None)
+
+
+def test_many_horizons(spark):
+    """Fifty horizons against a plain search; a check makes rows for those it lies near only."""
+    import random
+
+    r = random.Random(4)
+    second = dt.timedelta(seconds=1)
+    checks = [(f"a{k % 9}", r.randrange(70 * 86400) * second, r.random() < 0.6) for k in range(300)]
+    horizons = tuple(range(1, 51))
+    outcomes, _ = outcome(spark, checks, horizons, tolerance=2)
+    want = {}
+    for name in {c[0] for c in checks}:
+        own = [(at, live) for a, at, live in checks if a == name]
+        anchor = min(at for at, live in own if live)
+        for h in horizons:
+            near = [(abs(at - anchor - h * DAYS), at, live) for at, live in own if at > anchor
+                    and -2 * DAYS <= at - anchor - h * DAYS < 3 * DAYS]
+            if near:
+                want[name, h] = min(near)[2]
+    assert {(x.agent_id, x.horizon_days): x.survived for x in outcomes.collect()} == want
+    plan = outcomes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(filter(" in plan
