@@ -65,16 +65,19 @@ def _lines(words: Words, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _hashes(words.codes, cuts[:-1], cuts[1:], _BASES[2]).view(np.int64)
 
 
+def _class(words: Words, k: int) -> np.ndarray:
+    """A digest of all words of each text."""
+    return _hashes(words.codes, words.first[:-1], words.first[1:], _BASES[k]).view(np.int64)
+
+
 def _classes(text: Column) -> Column:
     """(d1, d2, n) of a text: a digest of all its words, and their number."""
     @F.arrow_udf("struct<d1: long, d2: long, n: long>")
     def classes(texts: pa.Array) -> pa.Array:
         parts = [[np.zeros(0, np.int64)] for _ in range(3)]
         for words in word_slices(texts):
-            begin, end = words.first[:-1], words.first[1:]
-            for k in (0, 1):
-                parts[k].append(_hashes(words.codes, begin, end, _BASES[k]).view(np.int64))
-            parts[2].append(words.counts)
+            for part, values in zip(parts, (_class(words, 0), _class(words, 1), words.counts)):
+                part.append(values)
         return pa.StructArray.from_arrays([pa.array(np.concatenate(p)) for p in parts],
                                           ["d1", "d2", "n"])
     return classes(text)
@@ -90,9 +93,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines, owner = lines[order], owner[order]
             fresh = np.ones(len(order), bool)
             fresh[1:] = (lines[1:] != lines[:-1]) | (owner[1:] != owner[:-1])
-            d1 = batch.column("_d1").slice(words.row, len(words)).to_numpy()
             yield pa.record_batch({"line": pa.array(lines[fresh]),
-                                   "_d1": pa.array(d1[owner[fresh]])})
+                                   "_d1": pa.array(_class(words, 0)[owner[fresh]])})
 
 
 def _lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -179,6 +181,8 @@ def _covered(words: Words, flat: np.ndarray, at: np.ndarray, copies: np.ndarray)
     return whole | (_steps(total, start, start + MIN_WORDS) > 0)
 
 
+# What cannot be null needs no filter, so that all uses of an exchange are the same.
+LONGS = "w1 long not null, w2 long not null, rank long not null"
 SPANS = "struct<text: string, removed: array<struct<start: int, end: int>>>"
 
 
@@ -241,8 +245,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(*columns, F.col("doc_id").cast("long").alias("_id"),
                        F.xxhash64(*columns).alias("_hash"), _classes(F.col("text")).alias("_class")) \
         .select(*columns, "_id", "_hash", long.alias("_long"),
-                F.when(long, F.col("_class.d1")).otherwise(own).alias("_d1"),
-                F.when(long, F.col("_class.d2")).otherwise(own).alias("_d2"))
+                F.coalesce(F.when(long, F.col("_class.d1")), own).alias("_d1"),
+                F.coalesce(F.when(long, F.col("_class.d2")), own).alias("_d2"))
     place = [F.col("_id").isNull().alias("_none"), F.coalesce("_id", F.lit(0)).alias("_least"),
              F.col("_hash").alias("_head")]
     heads = rows.where("_long").groupBy("_d1", "_d2", *place) \
@@ -253,11 +257,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     heads = materialise(running(heads, ["_none", "_least", "_d1", "_d2"], F.lit(1), "_rank",
                                 "ranks"), "heads")
 
-    lines = docs.select("text", _classes(F.col("text")).alias("_class")).where(long) \
-        .select("text", F.col("_class.d1").alias("_d1")) \
-        .mapInArrow(_line_rows, "line long, _d1 long")
-    # Stored, so that a line of very many texts can be split in the join.
-    shared = materialise(_shared(lines, ["line"], "_d1").select("line"), "lines")
+    # One exchange serves both what counts a line's texts and what gives it back to them.
+    lines = docs.select("text").mapInArrow(
+        _line_rows, "line long not null, _d1 long not null").repartition("line")
+    shared = _shared(lines, ["line"], "_d1").select("line")
     hits = lines.join(shared.hint("merge"), "line").groupBy("_d1") \
         .agg(F.collect_set("line").alias("_lines"))
 
@@ -265,7 +268,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     is_head = (F.col("_id").isNull() == F.col("_none")) & (F.col("_hash") == F.col("_head")) \
         & (F.coalesce("_id", F.lit(0)) == F.col("_least"))
     windows = rows.join(heads.join(hits, "_d1").hint("merge"), ["_d1", "_d2"]).where(is_head) \
-        .mapInArrow(_windows, "w1 long, w2 long, rank long").repartition("w1", "w2")
+        .mapInArrow(_windows, LONGS).repartition("w1", "w2")
     repeats = windows.join(_shared(windows, ["w1", "w2"], "rank").hint("merge"), ["w1", "w2"]) \
         .where("rank > least").groupBy(F.col("rank").alias("_rank")) \
         .agg(F.collect_set("w1").alias("_repeats"))
