@@ -16,8 +16,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splitting a skewed partition is worth an extra exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Rows dealt by a part of a join's keys lie together already.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Python workers get rows of long texts a few megabytes at a time.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Documents are read the way a JSON reader does: the last of two equal keys wins.
