@@ -129,6 +129,7 @@ def _steps(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(w1, w2, rank) of the windows whose own lines are all in the row's list."""
     for batch in batches:
+        batch = batch.filter(batch.column("_own"))
         flat, at = _lists(batch.column("_lines"))
         for words in word_slices(batch.column("text")):
             total = len(words.codes)
@@ -267,8 +268,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     # All joins take all columns of the same rows by class, so one exchange serves them.
     is_head = (F.col("_id").isNull() == F.col("_none")) & (F.col("_hash") == F.col("_head")) \
         & (F.coalesce("_id", F.lit(0)) == F.col("_least"))
-    windows = rows.join(heads.join(hits, "_d1").hint("merge"), ["_d1", "_d2"]).where(is_head) \
-        .mapInArrow(_windows, LONGS).repartition("w1", "w2")
+    # Whether a row heads its class is asked behind the join, which goes by class alone.
+    windows = rows.join(heads.join(hits, "_d1").hint("merge"), ["_d1", "_d2"]) \
+        .withColumn("_own", is_head).mapInArrow(_windows, LONGS).repartition("w1", "w2")
     repeats = windows.join(_shared(windows, ["w1", "w2"], "rank").hint("merge"), ["w1", "w2"]) \
         .where("rank > least").groupBy(F.col("rank").alias("_rank")) \
         .agg(F.collect_set("w1").alias("_repeats"))
