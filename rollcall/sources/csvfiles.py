@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rollcall.functions.text import strip
 from rollcall.operators.sample import numbered
@@ -34,6 +34,52 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
                           inferSchema=False)
 
 
+def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
+    """
+    What `read_table` reads, by as many tasks as the files have blocks.
+
+    A line break ends a record if the quotes before it, counted from the start of the file, are
+    even in number. Every block counts the quotes of its lines on its own, and what comes before it in its
+    file adds up over the blocks, of which a file has few. So each line knows whether it begins a
+    record and the number of that record; only lines of records that have several are put together.
+
+    Files must be UTF-8 with a header of one line each, the same in all. Blank lines between
+    records are left out; a quote that is never closed makes the rest of its file one record, as it
+    does for `read_table`.
+    """
+    columns = read_table(spark, path).columns
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value", (quotes % 2).alias("odd"))
+    block = Window.partitionBy("file", "block").orderBy("line")
+    before = block.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("within", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    # One row for each block. If a quote is open where it begins, its other lines begin records.
+    blocks = counted.groupBy("file", "block").agg(
+        F.sum("odd").alias("odd"), F.count_if(F.col("within") == 0).alias("even_starts"),
+        F.count_if(F.col("within") == 1).alias("odd_starts"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("open", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    starts = F.when(F.col("open") == 0, F.col("even_starts")).otherwise(F.col("odd_starts"))
+    blocks = blocks.withColumn("records", F.coalesce(F.sum(starts).over(earlier), F.lit(0))) \
+        .select("file", "block", "open", "records")
+    start = (F.col("within") == F.col("open")).cast("long")
+    placed = counted.join(blocks, ["file", "block"]).withColumn("start", start).withColumn(
+        "record", F.col("records") + F.sum("start").over(block)) \
+        .withColumn("whole", (F.col("start") == 1) & (F.col("odd") == 0))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "line", "value"))),
+                                    lambda x: x["value"]), "\n")
+    texts = placed.where("whole").select("record", "value").unionByName(
+        placed.where("NOT whole").groupBy("file", "record").agg(text.alias("value"))
+        .select("record", "value"))
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+    value = F.regexp_replace("value", "\r$", "")
+    return texts.where(F.col("record") > 1).where(value != "").select(
+        F.from_csv(value, schema, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+
+
 def agent_uris(rows: DataFrame, uri_column: str | None = None) -> DataFrame:
     """
     (agent_id, owner, uri, uri_source) of a CSV table.
