@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame
 
-from rollcall.session import fresh_path
+from rollcall.operators.components import component_labels
 
 
 def tile_roots(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -32,47 +32,9 @@ def tile_roots(size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return roots
 
 
-def _stored(edges: DataFrame, path: str) -> tuple[DataFrame, tuple]:
-    """Write edges; their number and a sum that tells one set of edges from another."""
-    seen = Observation()
-    edges.observe(seen, F.count(F.lit(1)).alias("edges"),
-                  F.sum(F.xxhash64("a", "b") % 1_000_003).alias("sum")).write.parquet(path)
-    return edges.sparkSession.read.schema("a long, b long").parquet(path), \
-        (seen.get["edges"], seen.get["sum"])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """
     (vertex, root) for every vertex of the edges (a, b), longs; root is the smallest vertex that
     can be reached. Nulls and loops are left out; no edges give no rows.
-
-    Alternating star rounds (Kiveris and others, "Connected components in MapReduce and
-    beyond", 2014). A vertex with very many edges is aggregated before the shuffle, and the
-    joins that tell its neighbours are split by the adaptive planner. Each round is written to
-    the shared folder and starts from what the one before wrote, so a lost executor costs a
-    part of one round. Ends when a round changes nothing.
     """
-    base = fresh_path(edges.sparkSession, "stars")
-    current, mark = _stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(), f"{base}/0")
-    done, turn = None, 0
-    while mark[0] and mark != done:
-        done, turn = mark, turn + 1
-        current, mark = _stored(_star_round(current), f"{base}/{turn}")
-    return current.select(F.col("a").alias("vertex"), F.col("b").alias("root")).union(
-        current.select("b", "b")).distinct()
-
-
-def _star_round(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.inline(F.array(F.struct("a", "b"),
-                                         F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-    # Large star: the higher neighbours of a vertex move to its lowest one.
-    large = both.where("b > a").join(lowest, "a") \
-        .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-    # Small star: the lower neighbours of a vertex, and itself, move to the lowest.
-    lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-    moved = large.join(lowest, "a").where("b <> low") \
-        .select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return moved.union(lowest).distinct()
+    return component_labels(edges.select("a", "b")).withColumnRenamed("label", "root")
