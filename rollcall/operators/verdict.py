@@ -144,18 +144,21 @@ def choose_attempt(outcomes: DataFrame) -> DataFrame:
 
     Attempts are taken in order of `pos`, however many there are, up to the first that ends the
     search: a usable document, or a refusal that is ours. Without one the last attempt decides.
-    Attempts recorded after the end are ignored. One distribution and one sort by target serve
-    the window and the aggregation.
+    Attempts recorded after the end are ignored. One distribution and one sort serve all windows, and
+    no row is packed to be compared: an attempt knows its neighbours. A refusal ends the search, so
+    the last attempt made is the deciding one or the one before it.
     """
     fields = [c for c in outcomes.columns if c not in KEY]
     in_order = Window.partitionBy(*KEY).orderBy("pos", "stops", "category", "target")
     ended = F.max("stops").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    taken = outcomes.withColumns({"_ended": F.coalesce(ended, F.lit(False)),
-                                  "_nth": F.row_number().over(in_order)}).where("NOT _ended")
     attempt = F.struct(*fields)
-    return taken.groupBy(*KEY).agg(
-        F.max_by(attempt, "_nth").alias("decided"),
-        F.max_by(attempt, F.when(~F.col("blocked"), F.col("_nth"))).alias("made"))
+    decides = ~F.coalesce("_ended", F.lit(False)) \
+        & (F.coalesce("stops", F.lit(False)) | F.col("_last"))
+    return outcomes.withColumns({
+        "_ended": ended, "_last": F.lead(F.lit(1)).over(in_order).isNull(),
+        "_before": F.lag(attempt).over(in_order)}).where(decides).select(
+        *KEY, attempt.alias("decided"),
+        F.when(F.col("blocked"), F.col("_before")).otherwise(attempt).alias("made"))
 
 
 def gather_probes(probes: DataFrame, dialect: Dialect = MONITOR) -> DataFrame:
@@ -214,24 +217,21 @@ def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect:
     yes = lambda c: F.coalesce(c, F.lit(False))
     enough = (F.col("decided.analysis.services_count") > 0) if dialect.study else \
         (F.col("decided.analysis.endpoints_total") > 0)
-    rows = stage(rows, {
-        "s1": F.col("uri_scheme") != "empty",
-        "s2": fetchable & yes(F.col("decided.ok")),
-        "_fetchable": fetchable,
-    })
-    s3 = F.col("s2") & found["json_category"].isNull()
-    rows = stage(rows, {"s3": s3, "s4": s3 & yes(found["schema_match"])})
-    rows = stage(rows, {"s5": F.col("s4") & yes(enough)})
+    s2 = fetchable & yes(F.col("decided.ok"))
+    s3 = s2 & found["json_category"].isNull()
+    s4 = s3 & yes(found["schema_match"])
+    rows = stage(rows, {"s1": F.col("uri_scheme") != "empty", "_fetchable": fetchable,
+                        "s2": s2, "s3": s3, "s4": s4, "s5": s4 & yes(enough)})
     rows = stage(rows, {"endpoint_details": F.when(
         F.col("s5"), _endpoint_details(found["urls"], dialect)).cast(ENDPOINT_DETAILS)})
     rows = stage(rows, {"_alive": F.coalesce(
         F.filter("endpoint_details", lambda e: e["ok"]), F.array().cast(ENDPOINT_DETAILS))})
-    rows = stage(rows, {
+    s6 = F.size("_alive") > 0
+    reached = sum((F.when(c, 1).otherwise(0) for c in (*(F.col(f"s{i}") for i in range(1, 6)), s6)),
+                  F.lit(0))
+    return stage(rows, {
         "_ok": F.size("_alive"), "_specific": F.size(F.filter("_alive", lambda e: ~e["generic"])),
-        "s6": F.size("_alive") > 0})
-    reached = sum((F.when(F.col(f"s{i}"), 1).otherwise(0) for i in range(2, 7)),
-                  F.when(F.col("s1"), 1).otherwise(0))
-    return stage(rows, {"funnel_stage": reached})
+        "s6": s6, "funnel_stage": reached})
 
 
 def grade(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
@@ -311,6 +311,18 @@ def grade(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
         F.when(web, registrable_domain(host)).alias("uri_root_domain"))
 
 
+def target_hosts(targets: DataFrame) -> DataFrame:
+    """
+    The targets with uri_host and uri_root_domain, as `grade` gives them: of the URI alone, null
+    unless it is a web address. Nothing has to be fetched or graded for them.
+    """
+    rows = stage(stage(targets, {"_clean": clean_uri(F.col("uri"))}), {
+        "_host": F.when(uri_scheme(F.col("_clean")).isin("http", "https"), host_of(F.col("_clean")))})
+    return rows.withColumns({"uri_host": F.col("_host"),
+                             "uri_root_domain": registrable_domain(F.col("_host"))}) \
+        .drop("_clean", "_host")
+
+
 def reconcile(checks: DataFrame) -> DataFrame:
     """
     One check per run and agent from a normal and a slow pass.
@@ -321,24 +333,25 @@ def reconcile(checks: DataFrame) -> DataFrame:
     throttled = looks_throttled(F.col("live_strict"), F.col("failure_category"),
                                 F.col("endpoint_details"))
     columns = [c for c in checks.columns if c not in ("run_id", "agent_id", "pass")]
-    packed = F.struct(*columns, throttled.alias("_throttled"))
-    both = checks.groupBy("run_id", "agent_id").agg(
-        F.min_by(packed, F.when(F.col("pass") == 1, F.struct("checked_at"))).alias("_first"),
-        F.max_by(packed, F.when(F.col("pass") == 2, F.struct("checked_at"))).alias("_second"))
-    retried = F.col("_first._throttled") & F.col("_second").isNotNull()
-    kept = both.where("_first IS NOT NULL").withColumns({
-        "retried": retried, "_row": F.when(retried, F.col("_second")).otherwise(F.col("_first"))})
-    twice = F.col("retried") & F.col("_row._throttled")
+    home = Window.partitionBy(*HOME)
+    # Of several rows of a pass the earliest first and the latest second one count.
+    turn = F.row_number().over(Window.partitionBy(*HOME, "pass").orderBy(
+        F.when(F.col("pass") == 1, F.col("checked_at")).asc_nulls_first(),
+        F.when(F.col("pass") == 2, F.col("checked_at")).desc_nulls_last()))
+    chosen = checks.where(F.col("pass").isin(1, 2)) \
+        .withColumns({"_throttled": throttled, "_turn": turn}).where("_turn = 1") \
+        .withColumns({"_first": F.max(F.when(F.col("pass") == 1, F.col("_throttled"))).over(home),
+                      "_both": F.count(F.lit(1)).over(home) == 2})
+    retried = F.coalesce(F.col("_first"), F.lit(False)) & F.col("_both")
+    kept = chosen.withColumn("retried", retried) \
+        .where((F.col("pass") == F.when(F.col("retried"), 2).otherwise(1)))
+    twice = F.col("retried") & F.col("_throttled")
     replaced = {
-        "failure_category": F.when(twice, "undetermined")
-        .otherwise(F.col("_row.failure_category")),
-        "failure_detail": F.when(
-            twice, UNDETERMINED_DETAIL)
-        .otherwise(F.col("_row.failure_detail")),
+        "failure_category": F.when(twice, "undetermined").otherwise(F.col("failure_category")),
+        "failure_detail": F.when(twice, UNDETERMINED_DETAIL).otherwise(F.col("failure_detail")),
     }
     return kept.select("run_id", "agent_id",
-                       *[replaced.get(c, F.col(f"_row.{c}")).alias(c) for c in columns],
-                       "retried")
+                       *[replaced.get(c, F.col(c)).alias(c) for c in columns], "retried")
 
 
 def retry_counters(reconciled: DataFrame) -> DataFrame:
@@ -419,4 +432,4 @@ def documents_of_run(targets: DataFrame, fetches: DataFrame, dialect: Dialect =
 __all__ = [
     "MONITOR", "STUDY", "Dialect", "all_attempts", "choose_attempt", "documents_of_run", "excluded_names",
     "fetch_outcomes", "gather_probes", "grade", "grade_study", "mark_excluded", "reconcile",
-    "retry_counters"]
+    "retry_counters", "target_hosts"]

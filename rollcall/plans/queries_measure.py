@@ -365,9 +365,8 @@ def retry_counters(spark, sf_dir):
     CASE WHEN u = 5 THEN 'site.test' WHEN u > 5 THEN 'b.co.uk' ELSE 'old.test' END
         AS uri_root_domain, u >= 5 AS host_changed FROM graded WHERE pass = 1""")
 def agent_hosts(spark, sf_dir):
-    targets = materialise(b.probe_targets(spark, sf_dir).where("pass = 1"), "targets")
-    first = verdict.grade(targets.select("run_id", "agent_id", "pass", "uri", "checked_at"),
-                          b.fetches(targets), b.endpoint_probes(targets))
+    targets = b.probe_targets(spark, sf_dir).where("pass = 1")
+    first = verdict.target_hosts(targets.select("agent_id", "uri"))
     agents = targets.select("agent_id", F.lit("old.test").alias("uri_host"),
                             F.lit("old.test").alias("uri_root_domain"))
     return state.with_agent_hosts(agents, first)
