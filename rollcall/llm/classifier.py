@@ -179,14 +179,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     A model from docs (doc_id, text) and labels (doc_id, good boolean).
 
     At most `sample` labels are taken, by the smallest hash of doc_id; rows without id or label
-    are left out. The text of a repeated doc_id counts once for each of its rows.
+    are left out. Of the rows of a repeated doc_id the text with the smallest hash is taken, so that
+    no more rows than labels are fitted, however often an id occurs.
     """
     chosen = labels.where("doc_id is not null and good is not null") \
         .select(F.col("doc_id").cast("long").alias("doc_id"), "good") \
         .orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # `sample` rows of an id and a flag at most are broadcast.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "good", "text") \
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good") \
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")) \
         .mapInArrow(_indicator_rows, "doc_id long, good boolean, places binary")
     found = rows.repartition(1).mapInArrow(
         _fit_all, "weights binary, bias double, slope double, shift double").first()

@@ -249,5 +249,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits
     tokens = small.agg(F.sum("length")).first()[0] or 0
     groups = int(-(-tokens // BATCH_TOKENS)) or 1
     group = F.pmod(F.xxhash64("doc_id", "piece", "start", "length"), F.lit(groups))
-    again = small.repartition(groups, group).mapInArrow(_again(limits), PIECES)
+    # Rows arrive in any order, which decides their places: what is packed is stored, so that a
+    # lost executor cannot have it packed otherwise under a reader.
+    again = materialise(small.repartition(groups, group).mapInArrow(_again(limits), PIECES),
+                        "packed_again")
     return first.where(F.col("used") >= FULL * limits.tokens).unionByName(again).drop("used")

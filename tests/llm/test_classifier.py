@@ -61,3 +61,43 @@ def test_coordinate_descent_reaches_the_optimum():
     worse = 0.5 * ((1.01 * weights) @ (1.01 * weights) + bias ** 2) + \
         (most * np.maximum(0, 1 - margins * 1.01)).sum()
     assert primal <= worse + 1e-2
+
+
+def test_equal_to_a_plain_dual_solver():
+    """Log ratios by counting in dictionaries, the dual by sweeps over a whole Gram matrix."""
+    r = np.random.default_rng(4)
+    good = np.arange(50) % 3 > 0
+    rows = [np.sort(r.choice(np.arange(40) + 5 * y, 12, replace=False)) for y in good]
+    counts = [{}, {}]
+    for x, y in zip(rows, good):
+        for place in x.tolist():
+            counts[int(y)][place] = counts[int(y)].get(place, 0) + 1
+    totals = [sum(c.values()) + classifier.SMOOTHING * classifier.WIDTH for c in counts]
+    ratio = {p: np.log((counts[1].get(p, 0) + classifier.SMOOTHING) / totals[1]
+                       / ((counts[0].get(p, 0) + classifier.SMOOTHING) / totals[0]))
+             for p in range(50)}
+    ratios = classifier._log_ratios(rows, good)
+    assert all(abs(ratios[p] - v) < 1e-9 for p, v in ratio.items())
+
+    sign = np.where(good, 1.0, -1.0)
+    x = np.zeros((50, 50))
+    for k, places in enumerate(rows):
+        for p in places:
+            x[k, p] = ratio[p] / np.sqrt(len(places) + classifier.DAMPING)
+    gram = (x @ x.T + 1) * np.outer(sign, sign)
+    most = classifier.COST / (2 * np.where(good, good.mean(), (~good).mean()))
+    dual = np.zeros(50)
+    for _ in range(20000):
+        for k in range(50):
+            dual[k] = min(max(dual[k] + (1 - gram[k] @ dual) / gram[k, k], 0.0), most[k])
+    plain = (x @ x.T + 1) @ (dual * sign)
+    weights, bias = classifier._coordinate_descent(rows, ratios, sign)
+    assert abs(x @ weights[:50] + bias - plain).max() < 0.02
+
+
+def test_a_very_often_repeated_id_counts_once(spark, hard):
+    docs = [(k, words(k, 60) if k % 4 else junk(k), "en", "s", 0) for k in range(60)]
+    often = docs + [(7, docs[7][1], "en", "s", 0)] * 300 + [(8, docs[8][1], "en", "s", 0)] * 300
+    labels = spark.range(0, 60).selectExpr("id AS doc_id", "id % 4 > 0 AS good")
+    one, many = (classifier.train(hard(d), labels) for d in (docs, often))
+    assert np.allclose(one.weights, many.weights) and one.shift == many.shift
