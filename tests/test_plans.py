@@ -64,3 +64,23 @@ def test_no_products(spark, query):
 def test_monthly_window_sees_months(spark):
     text = plan(totals.monthly(b.order_checks(spark, SF), F.col("registered_at")))
     assert text.index("Window") < text.index("HashAggregate")
+
+
+def test_grading_packs_no_rows_to_compare(spark):
+    """Attempts and passes are chosen by windows; only the five short probe answers are aggregated."""
+    from rollcall.operators import verdict
+
+    targets = b.probe_targets(spark, SF)
+    graded = verdict.grade(targets.select("run_id", "agent_id", "pass", "uri", "checked_at"),
+                           b.fetches(targets), b.endpoint_probes(targets))
+    tree = plan(verdict.reconcile(graded)).split("\n\n")[0]
+    assert tree.count("SortAggregate") <= 2 and tree.count("Generate") <= 21
+
+
+def test_hosts_need_no_grading(spark):
+    from rollcall.operators import verdict
+
+    pages = b.table(spark, SF, "pages").select(F.col("page_id").alias("agent_id"),
+                                               F.col("url").alias("uri"))
+    text = plan(verdict.target_hosts(pages))
+    assert "Exchange" not in text and "Join" not in text
