@@ -171,6 +171,19 @@ def service_count(service: str) -> str:
         WHEN {value} IS NOT NULL THEN size({_list(value)}) END, 0)"""
 
 
+def _parsed(df: DataFrame, body: str, exact_json: bool) -> DataFrame:
+    source = F.col(body)
+    staged = df.withColumn("_body", finite_json(source) if exact_json else source)
+    staged = stage(staged, {"_boxed": boxed_document(F.col("_body"))})
+    return stage(staged, {"_doc": unboxed_document(F.col("_boxed"), F.col("_body"))})
+
+
+def categorise_documents(df: DataFrame, body: str, exact_json: bool = False) -> DataFrame:
+    """Add the column `json_category` alone: for those who do not need what is in a document."""
+    return stage(_parsed(df, body, exact_json), {"json_category": F.expr(json_category("_doc"))}) \
+        .drop("_body", "_boxed", "_doc")
+
+
 def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] = CANONICAL_TYPES,
                       type_length: int = 400, study: bool = False, exact_json: bool = False,
                       registry_id: str = REGISTRY_CAIP_ID,
@@ -182,10 +195,7 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
     shuffle. With services_of_all=False only documents that match the schema have their
     services listed, which is all that grading needs.
     """
-    source = F.col(body)
-    staged = df.withColumn("_body", finite_json(source) if exact_json else source)
-    staged = stage(staged, {"_boxed": boxed_document(F.col("_body"))})
-    staged = stage(staged, {"_doc": unboxed_document(F.col("_boxed"), F.col("_body"))})
+    staged = _parsed(df, body, exact_json)
     staged = stage(staged, {
         "_kind": F.expr(json_category("_doc")),
         "_type": F.expr(type_field("_doc")),

@@ -18,6 +18,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Python workers get rows of long texts a few megabytes at a time.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    # Generated methods above this size are never compiled by the JVM: such a stage is faster as
+    # several smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Documents are read the way a JSON reader does: the last of two equal keys wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
