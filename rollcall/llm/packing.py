@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from rollcall.llm.words import buffers
+from rollcall.llm.words import buffers, give_back
 from rollcall.session import materialise
 
 FULL = 0.98
@@ -185,17 +185,24 @@ def _packer(limits: Limits, space: int):
         names = ("doc_id", "piece", "start", "length", "ids")
         first = (space << 60) + (TaskContext.get().partitionId() << 36)
         columns, tokens = {n: [] for n in names}, 0
+        give_back()
         for row in rows:
             for n, x in zip(names, row):
                 columns[n].append(x)
             tokens += row[3]
             if tokens >= BATCH_TOKENS:
                 batch, used = _batch(columns, limits, first)
+                columns, tokens = {n: [] for n in names}, 0
                 yield batch
+                del batch
+                give_back()
                 first += used
-                columns, tokens = {n: [] for n in names}, 0
         if tokens:
-            yield _batch(columns, limits, first)[0]
+            batch, _ = _batch(columns, limits, first)
+            del columns
+            yield batch
+            del batch
+        give_back()
     return pack
 
 
@@ -205,10 +212,9 @@ def _tokenising(limits: Limits, path: str, end_id: int, words_kept: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
-            data = data.tobytes()
             docs = batch.column("doc_id").to_pylist()
             for doc, low, high in zip(docs, offsets[:-1].tolist(), offsets[1:].tolist()):
-                ids = token_ids(data[low:high], path, words_kept) + end
+                ids = token_ids(data[low:high].tobytes(), path, words_kept) + end
                 total = len(ids) // 4
                 for k in range(0, total, limits.tokens):
                     n = min(limits.tokens, total - k)

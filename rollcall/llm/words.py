@@ -8,6 +8,7 @@ are. A batch is worked through in slices of bounded size, each holding at least
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,19 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 500_000
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):       # another C library than GNU's
+    _trim = None
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system; earlier tasks leave much of it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,6 +108,7 @@ def word_slices(column: pa.Array, slice_bytes: int = SLICE_BYTES,
                 between: np.ndarray = _IS_SPACE) -> Iterator[Words]:
     """The words of a text column, some texts at a time; `between` tells for each byte whether it
     separates words."""
+    give_back()
     data, offsets = buffers(column)
     row = 0
     while row < len(offsets) - 1:
