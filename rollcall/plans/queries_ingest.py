@@ -237,6 +237,14 @@ STREAM_STATE_SQL = f"""{b.DECODED_SQL}, top AS (SELECT max(block_number) - 50 AS
     LEFT JOIN tally USING (agent_id)"""
 
 
+FILE_LOGS = 250_000
+
+
+def _files(rows) -> int:
+    """How many files logs are dealt to: eight, or as many as keep each at a bounded size."""
+    return max(8, -(-rows.count() // FILE_LOGS))
+
+
 @query("stream_ingest", f"WITH {STREAM_STATE_SQL}")
 def stream_ingest(spark, sf_dir):
     """
@@ -246,10 +254,11 @@ def stream_ingest(spark, sf_dir):
     raw = b.log_table(spark, sf_dir)
     half = logs.with_block_number(raw).where(F.col("block_number") < ANCHOR_BLOCK + 648_000) \
         .drop("block_number")
+    files = _files(raw)
     for rows in (half, raw):
-        rows.repartition(8).write.mode("append").parquet(source)
+        rows.repartition(files).write.mode("append").parquet(source)
     store = ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
-    run = ingest.start_ingest(spark, source, store, files_per_batch=8)
+    run = ingest.start_ingest(spark, source, store, files_per_batch=files)
     run.awaitTermination()
     return ingest.stored_agents(spark, store) \
         .withColumn("registered_at", F.unix_seconds("registered_at"))
@@ -298,7 +307,8 @@ def bounded_runs(spark, sf_dir):
 def stream_gap(spark, sf_dir):
     """The same logs with a range that could not be read: nothing behind it is taken in."""
     source = fresh_path(spark, "logs")
-    b.raw_logs(spark, sf_dir).repartition(8).write.parquet(source)
+    files = _files(b.table(spark, sf_dir, "events"))
+    b.raw_logs(spark, sf_dir).repartition(files).write.parquet(source)
     store = ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
     first = F.col("id") * 100_000 + ANCHOR_BLOCK
     ranges = spark.range(0, 40).select(
