@@ -132,22 +132,42 @@ def service_list(doc: str) -> str:
 
 
 def _first_text(item: str, keys: Sequence[str], allow_empty: bool = False) -> str:
-    members = ", ".join(_member(item, key) for key in keys)
-    wanted = _text_test("m") if allow_empty else f"{_text_test('m')} AND {_text('m')} <> ''"
-    return f"coalesce({_text(f'get(filter(array({members}), m -> {wanted}), 0)')}, '')"
+    """The text of the first of the keys that has one; later keys are not looked at."""
+    found = []
+    for member in (_member(item, key) for key in keys):
+        wanted = _text_test(member) + ("" if allow_empty else f" AND {_text(member)} <> ''")
+        found.append(f"CASE WHEN {wanted} THEN {_text(member)} END")
+    return f"coalesce({', '.join(found)}, '')"
 
 
 def _entry(kind: str, url: str) -> str:
     return f"named_struct('kind', {kind}, 'url', {url})"
 
 
-def service_entries(service: str, body: str, study: bool = False) -> str:
+def service_members(service: str) -> str:
+    """The entries of the object form as a map, NULL for a list."""
+    value = f"{service}.value"
+    return f"CASE WHEN {_object_test(value)} THEN {_object(value)} END"
+
+
+def service_names(service: str, members: str, body: str) -> str:
     """
-    array<struct(kind, url)> in document order.
+    The keys of the object form in document order.
 
     A VARIANT object keeps its keys sorted, so the order of an object's entries is read from
     the text; only documents that use the object form pay for that second look.
     """
+    raw = f"try_element_at(from_json({body}, 'map<string,string>'), {service}.key)"
+    return f"CASE WHEN {members} IS NOT NULL THEN array_distinct(json_object_keys({raw})) END"
+
+
+def service_entries(service: str, members: str, names: str, study: bool = False) -> str:
+    """
+    array<struct(kind, url)> in document order.
+
+    Members and names are columns: a function over arrays computes what stands in it anew for every
+    entry and every use.
+    """
     value = f"{service}.value"
     of_object = _entry(_first_text("item", ENDPOINT_TYPE_KEYS),
                        _first_text("item", ENDPOINT_URL_KEYS))
@@ -155,27 +175,26 @@ def service_entries(service: str, body: str, study: bool = False) -> str:
     from_list = f"""filter(transform({_list(value)}, item -> CASE
         WHEN {_object_test('item')} THEN {of_object}
         WHEN {_text_test('item')} THEN {of_text} END), entry -> entry IS NOT NULL)"""
-    raw = f"try_element_at(from_json({body}, 'map<string,string>'), {service}.key)"
-    member = f"try_element_at({_object(value)}, key)"
+    member = f"try_element_at({members}, key)"
     url = f"CASE WHEN {_text_test(member)} THEN {_text(member)} " \
           f"ELSE {_first_text(member, ENDPOINT_URL_KEYS, allow_empty=study)} END"
-    named = f"transform(array_distinct(json_object_keys({raw})), key -> {_entry('key', url)})"
-    return f"""CASE WHEN {_object_test(value)} THEN {named}
+    named = f"transform({names}, key -> {_entry('key', url)})"
+    return f"""CASE WHEN {members} IS NOT NULL THEN {named}
         WHEN {value} IS NOT NULL THEN {from_list} END"""
 
 
-def service_count(service: str) -> str:
+def service_count(service: str, members: str) -> str:
     """Entries without a URL count too."""
     value = f"{service}.value"
-    return f"""coalesce(CASE WHEN {_object_test(value)} THEN size({_object(value)})
+    return f"""coalesce(CASE WHEN {members} IS NOT NULL THEN size({members})
         WHEN {value} IS NOT NULL THEN size({_list(value)}) END, 0)"""
 
 
 def _parsed(df: DataFrame, body: str, exact_json: bool) -> DataFrame:
     source = F.col(body)
     staged = df.withColumn("_body", finite_json(source) if exact_json else source)
-    staged = stage(staged, {"_boxed": boxed_document(F.col("_body"))})
-    return stage(staged, {"_doc": unboxed_document(F.col("_boxed"), F.col("_body"))})
+    staged = staged.withColumn("_boxed", boxed_document(F.col("_body")))
+    return staged.withColumn("_doc", unboxed_document(F.col("_boxed"), F.col("_body")))
 
 
 def categorise_documents(df: DataFrame, body: str, exact_json: bool = False) -> DataFrame:
@@ -196,23 +215,27 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
     services listed, which is all that grading needs.
     """
     staged = _parsed(df, body, exact_json)
-    staged = stage(staged, {
+    # Plain projections: each of these columns is used more than once by the next, so none is copied
+    # into it, and a document is not copied from step to step. Filters stop at the last step.
+    staged = staged.withColumns({
         "_kind": F.expr(json_category("_doc")),
         "_type": F.expr(type_field("_doc")),
         "_regs": F.expr(registry_entries("_doc")),
     })
     raw_type = F.col("_type")
-    staged = stage(staged, {
+    staged = staged.withColumns({
         "_canonical": (raw_type != "") & F.lower(strip(raw_type)).isin(*canonical_types),
         "_matches": F.expr(names_registry("_regs", registry_id)),
     })
     wanted = "true" if services_of_all else "_canonical OR _matches"
-    staged = stage(staged, {
-        "_service": F.expr(f"CASE WHEN {wanted} THEN {service_list('_doc')} END")})
-    staged = stage(staged, {"_entries": F.expr(
-        f"coalesce({service_entries('_service', '_body', study)}, "
-        "CAST(array() AS ARRAY<STRUCT<kind: STRING, url: STRING>>))")})
-    staged = stage(staged, {"_urls": F.expr("filter(_entries.url, u -> u <> '')")})
+    staged = staged.withColumn("_service", F.expr(
+        f"CASE WHEN {wanted} THEN {service_list('_doc')} END"))
+    staged = staged.withColumn("_members", F.expr(service_members("_service")))
+    staged = staged.withColumn("_names", F.expr(service_names("_service", "_members", "_body")))
+    staged = staged.withColumn("_entries", F.expr(
+        f"coalesce({service_entries('_service', '_members', '_names', study)}, "
+        "CAST(array() AS ARRAY<STRUCT<kind: STRING, url: STRING>>))"))
+    staged = staged.withColumn("_urls", F.expr("filter(_entries.url, u -> u <> '')"))
     analysis = F.expr(f"""named_struct(
         'json_category', _kind,
         'top_level', CASE WHEN _kind = 'json_not_object' THEN {top_level_name('_doc')} END,
@@ -221,11 +244,11 @@ def analyse_documents(df: DataFrame, body: str, canonical_types: Sequence[str] =
         'registry_field_present', size(_regs) > 0,
         'registry_field_matches', _matches,
         'schema_match', _canonical OR _matches,
-        'services_count', {service_count('_service')},
+        'services_count', {service_count('_service', '_members')},
         'endpoints_total', size(_urls),
         'urls', slice(_urls, 1, {MAX_ENDPOINTS}),
         'service_types', substring(array_join(filter(_entries.kind, k -> k <> ''), '|'), 1, 300),
         'doc_sha256', sha2({body}, 256))""")
     return stage(staged, {"analysis": analysis}) \
         .drop("_body", "_boxed", "_doc", "_kind", "_type", "_regs", "_canonical", "_matches",
-              "_service", "_entries", "_urls")
+              "_service", "_members", "_names", "_entries", "_urls")

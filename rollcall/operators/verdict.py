@@ -23,8 +23,10 @@ from rollcall.functions.uri import clean_uri, data_uri_parts, dot_suffixes, host
     is_generic_host, registrable_domain, uri_scheme
 from rollcall.schemas import ENDPOINT_DETAILS
 
-KEY = ["run_id", "agent_id", "pass"]
-HOME = ["run_id", "agent_id"]
+# The agent first: rows are sorted by the beginning of the first column where that tells them apart,
+# and a run's number never does.
+KEY = ["agent_id", "run_id", "pass"]
+HOME = ["agent_id", "run_id"]
 
 
 @dataclass(frozen=True)
@@ -191,11 +193,10 @@ def gather_probes(probes: DataFrame, dialect: Dialect = MONITOR) -> DataFrame:
 
 
 def _endpoint_details(urls: Column, dialect: Dialect) -> Column:
-    answers = F.array(*[F.col(f"_p{i}") for i in range(MAX_ENDPOINTS)])
-
-    def one(url: Column, index: Column) -> Column:
-        answer = F.get(answers, index)
-        host = host_of(url)
+    """One entry for each URL. `_host0` to `_host4` are their hosts, as functions over arrays would
+    take every part of a host's pattern again wherever the host is used, without compiled code."""
+    def one(i: int) -> Column:
+        url, answer, host = F.get(urls, F.lit(i)), F.col(f"_p{i}"), F.col(f"_host{i}")
         web = F.lower(url).rlike("^https?://")
         asked = web & F.coalesce(answer["asked"], F.lit(True))
         return F.struct(
@@ -206,16 +207,15 @@ def _endpoint_details(urls: Column, dialect: Dialect) -> Column:
             F.when(asked, answer["latency_ms"]).alias("latency_ms"),
             (asked & is_generic_host(host)).alias("generic"))
 
-    return F.transform(urls, one)
+    return F.slice(F.array(*[one(i) for i in range(MAX_ENDPOINTS)]), F.lit(1), F.size(urls))
 
 
 def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect: Dialect,
             exact_json: bool) -> DataFrame:
-    # Everything about an agent's run meets in one place, so nothing moves again: not to take
-    # the attempts in order, nor to join them, nor to put the two passes together.
-    outcomes = fetch_outcomes(targets, fetches, dialect, exact_json).repartition(*HOME)
-    chosen = choose_attempt(outcomes)
-    targets, probes = targets.repartition(*HOME), probes.repartition(*HOME)
+    # Windows, aggregation and joins have one key, so each row moves once, and probes are folded
+    # before. An earlier repartition by a part of the key does not serve the joins: Spark wants rows
+    # dealt by all keys of a join, and would move them again.
+    chosen = choose_attempt(fetch_outcomes(targets, fetches, dialect, exact_json))
     cleaned = stage(targets, {"_clean": clean_uri(F.col("uri"))})
     rows = stage(cleaned, {"uri_scheme": uri_scheme(F.col("_clean"))}) \
         .join(chosen, KEY, "left").join(gather_probes(probes, dialect), KEY, "left")
@@ -229,6 +229,8 @@ def _staged(targets: DataFrame, fetches: DataFrame, probes: DataFrame, dialect:
     s4 = s3 & yes(found["schema_match"])
     rows = stage(rows, {"s1": F.col("uri_scheme") != "empty", "_fetchable": fetchable,
                         "s2": s2, "s3": s3, "s4": s4, "s5": s4 & yes(enough)})
+    rows = stage(rows, {f"_host{i}": host_of(F.get(found["urls"], F.lit(i)))
+                        for i in range(MAX_ENDPOINTS)})
     rows = stage(rows, {"endpoint_details": F.when(
         F.col("s5"), _endpoint_details(found["urls"], dialect)).cast(ENDPOINT_DETAILS)})
     rows = stage(rows, {"_alive": F.coalesce(
@@ -345,7 +347,8 @@ def reconcile(checks: DataFrame) -> DataFrame:
     turn = F.row_number().over(Window.partitionBy(*HOME, "pass").orderBy(
         F.when(F.col("pass") == 1, F.col("checked_at")).asc_nulls_first(),
         F.when(F.col("pass") == 2, F.col("checked_at")).desc_nulls_last()))
-    chosen = checks.where(F.col("pass").isin(1, 2)) \
+    # One distribution and one sort serve both windows.
+    chosen = checks.where(F.col("pass").isin(1, 2)).repartition(*HOME) \
         .withColumns({"_throttled": throttled, "_turn": turn}).where("_turn = 1") \
         .withColumns({"_first": F.max(F.when(F.col("pass") == 1, F.col("_throttled"))).over(home),
                       "_both": F.count(F.lit(1)).over(home) == 2})
@@ -422,7 +425,7 @@ def grade_study(targets: DataFrame, fetches: DataFrame, probes: DataFrame,
 def documents_of_run(targets: DataFrame, fetches: DataFrame, dialect: Dialect = MONITOR,
                      exact_json: bool = False) -> DataFrame:
     """
-    (run_id, agent_id, pass, pos, body): the JSON object behind each check that has one, of the
+    (agent_id, run_id, pass, pos, body): the JSON object behind each check that has one, of the
     attempt that decided it, inline documents too.
 
     Documents are only asked whether they are objects, and once; the texts of those that are move on
@@ -434,7 +437,7 @@ def documents_of_run(targets: DataFrame, fetches: DataFrame, dialect: Dialect =
         *KEY, "pos", F.col("_stops").alias("stops"), F.col("_blocked").alias("blocked"),
         F.col("_category").alias("category"), "target",
         F.when(F.col("_ok") & F.col("json_category").isNull(), F.col("body")).alias("body"))
-    return choose_attempt(attempts.repartition(*HOME)).where("decided.body IS NOT NULL") \
+    return choose_attempt(attempts).where("decided.body IS NOT NULL") \
         .join(targets.select(*KEY), KEY, "left_semi") \
         .select(*KEY, F.col("decided.pos").alias("pos"), F.col("decided.body").alias("body"))
 
