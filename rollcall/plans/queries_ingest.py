@@ -326,7 +326,7 @@ def stream_gap(spark, sf_dir):
     UNION ALL SELECT 'failed', true, 'error', NULL""")
 def stall_report(spark, sf_dir):
     """Three stores: one that nothing was taken into, one that is up to date, one that failed."""
-    batch = b.raw_logs(spark, sf_dir)
+    batch = b.log_table(spark, sf_dir)
     stores = {n: ingest.Store(fresh_path(spark, "store"), range_blocks=500_000)
               for n in ("never run", "just run", "failed")}
     ingest.ingest_batch(batch, 0, stores["just run"], ingest.Settings())

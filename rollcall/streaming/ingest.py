@@ -192,9 +192,11 @@ def _take_in(batch: DataFrame, batch_id: int, store: Store, settings: Settings,
                              .first()["commit_to"])
         if through is not None and last_block is not None:
             last_block = min(last_block, through)
-        height = F.lit(-1 if last_block is None else last_block)
-        number = quantity(F.col("blockNumber"))
-        raw.where(number > height).write.mode("overwrite") \
+        highest = -1 if last_block is None else last_block
+        height, number = F.lit(highest), quantity(F.col("blockNumber"))
+        # If nothing waits, the logs are not read again for it: the table is written empty.
+        left = number > height if seen is not None and seen > highest else F.lit(False)
+        raw.where(left).write.mode("overwrite") \
             .parquet(f"{store.unconfirmed}/version={batch_id}")
         if unreadable:
             tables.overwrite_partitions(raw.where(number.isNull()).withColumn(
