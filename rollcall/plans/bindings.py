@@ -120,13 +120,20 @@ ORDER_BASE = "o_orderkey AS id, CAST(o_orderkey AS STRING) AS agent_id, " \
 ORDER_REST = "*, " + _FAILURES.format(censored="state = 'P'", id="id") \
     + f", ({_STAGE_COUNT}) AS funnel_stage"
 
-DOCUMENT_BASE = "doc_id AS id, CAST(doc_id AS STRING) AS agent_id, " \
-    "CASE WHEN doc_id % 29 = 0 THEN '' ELSE 'O' || md5(split_part(text, chr(10), 1)) END " \
-    "AS owner, " \
-    "CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN 'ipfs.io' " \
-    "ELSE md5(split_part(text, chr(10), -1)) || '.test' END AS uri_root_domain, " + _flags([
-        "n_chars > 300", "doc_id % 11 <> 0", "lang <> 'de'", "doc_id % 3 <> 0",
-        "n_chars > 600", "doc_id % 4 <> 1", "doc_id % 5 <> 0"])
+def _document_base(first_line: str, last_line: str) -> str:
+    return "doc_id AS id, CAST(doc_id AS STRING) AS agent_id, " \
+        f"CASE WHEN doc_id % 29 = 0 THEN '' ELSE 'O' || md5({first_line}) END AS owner, " \
+        "CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN 'ipfs.io' " \
+        f"ELSE md5({last_line}) || '.test' END AS uri_root_domain, " + _flags([
+            "n_chars > 300", "doc_id % 11 <> 0", "lang <> 'de'", "doc_id % 3 <> 0",
+            "n_chars > 600", "doc_id % 4 <> 1", "doc_id % 5 <> 0"])
+
+
+DOCUMENT_BASE = _document_base("split_part(text, chr(10), 1)", "split_part(text, chr(10), -1)")
+# The same rows in Spark, whose split_part cuts a whole text by a pattern to give one part of it;
+# this looks for one line break, from the start or from the end.
+_SPARK_DOCUMENT_BASE = _document_base("substring_index(text, chr(10), 1)",
+                                      "substring_index(text, chr(10), -1)")
 DOCUMENT_REST = "*, " + _FAILURES.format(censored="id % 10 = 7", id="id") \
     + f", ({_STAGE_COUNT}) AS funnel_stage"
 
@@ -143,14 +150,27 @@ analysed AS (SELECT * FROM order_checks WHERE coalesce(failure_category, '') NOT
 
 
 def document_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks of one run, one per document; first and last lines tie documents together."""
-    base = _select(spread(table(spark, sf_dir, "documents")), DOCUMENT_BASE)
+    """
+    Checks of one run, one per document; first and last lines tie documents together.
+
+    The keys are made where the texts are read, so no text is ever moved.
+    """
+    base = _select(table(spark, sf_dir, "documents"), _SPARK_DOCUMENT_BASE)
     # The two keys come from whole texts; compute them once per document.
     keys = {"owner": "_owner", "uri_root_domain": "_root"}
     base = stage(base.withColumnsRenamed(keys), {k: F.col(v) for k, v in keys.items()})
     return _select(base.drop(*keys.values()), DOCUMENT_REST)
 
 
+def check_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+    The same checks as a stored table, for jobs that read them more than once.
+
+    They are dealt out by agent, since a file of texts that a scan cannot cut comes in one piece.
+    """
+    return materialise(document_checks(spark, sf_dir).repartition("agent_id"), "checks")
+
+
 DOCUMENT_CHECKS_SQL = f"""document_base AS (SELECT {DOCUMENT_BASE} FROM documents),
 document_checks AS (SELECT {DOCUMENT_REST} FROM document_base),
 analysed AS (SELECT * FROM document_checks WHERE coalesce(failure_category, '') NOT IN

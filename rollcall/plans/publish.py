@@ -30,23 +30,27 @@ def three_denominators(by_agent: DataFrame, by_owner: DataFrame,
         .unionByName(funnel.final_stage(by_project, "per project"))
 
 
+def _packed(order: list[Column], *columns: str) -> Column:
+    keyed = F.struct(F.struct(*order).alias("k"), F.struct(*columns).alias("v"))
+    return F.transform(F.array_sort(F.collect_list(keyed)), lambda s: s["v"])
+
+
 def _rows(df: DataFrame, order: list[Column], *columns: str) -> Column:
     """
     A small result as one array value.
 
     Only finished aggregates come here: seven stages, a few dozen categories, the top twenty.
     """
-    keyed = F.struct(F.struct(*order).alias("k"), F.struct(*columns).alias("v"))
-    packed = df.agg(F.transform(F.array_sort(F.collect_list(keyed)), lambda s: s["v"]).alias("a"))
-    return packed.scalar()
+    return df.agg(_packed(order, *columns).alias("a")).scalar()
 
 
 def _funnel_value(stages: DataFrame) -> Column:
+    """The stages and their total in one value, so a funnel is counted once."""
     named = stages.withColumnRenamed("stage", "key")
-    total = stages.agg(F.max("n")).scalar()
-    return F.struct(total.alias("denominator"), _rows(
-        named, [F.col("stage_no")], "key", "label", "n", "k", "pct", "ci_low", "ci_high",
+    both = named.agg(F.max("n").alias("denominator"), _packed(
+        [F.col("stage_no")], "key", "label", "n", "k", "pct", "ci_low", "ci_high",
         "pct_of_previous").alias("stages"))
+    return _single(both, "denominator", "stages")
 
 
 def _failures_value(checks: DataFrame) -> Column:
@@ -66,7 +70,8 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     The aggregate document as one row: registry, registrations_monthly, liveness, survival.
 
     The rows of the run are written once and read by every figure; each figure is a scalar
-    subquery, so nothing but finished aggregates meets in the one row.
+    subquery, so nothing but finished aggregates meets in the one row. The driver plans the figures
+    of liveness and the others one after the other.
     """
     spark = agents.sparkSession
     run = check_runs.where(F.col("id") == run_id) if run_id is not None \
@@ -87,6 +92,8 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
         F.max(F.when(F.col("status") == "ok", F.col("last_block"))).alias("last_block"),
         F.max("run_at").alias("run_at"), F.max_by("status", tried).alias("status"),
         F.max_by("error", tried).alias("error"))
+    indexed = _single(state.withColumn("run_at", iso(F.col("run_at"))),
+                      "last_block", "run_at", "status", "error")
     registry_value = registry.select(F.struct(
         F.lit(REGISTRY_CHAIN_ID).alias("chain_id"), F.lit(REGISTRY_CHAIN).alias("chain"),
         F.lit(REGISTRY_CONTRACT).alias("contract"), "agents", "distinct_owners",
@@ -94,10 +101,10 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
         wilson(F.col("uri_changed"), F.col("agents")).alias("uri_changed_after_registration"),
         "transferred", iso(F.col("first_registration")).alias("first_registration"),
         iso(F.col("last_registration")).alias("last_registration"), per_type.alias("events"),
-        state.select("last_block").scalar().alias("indexed_through_block"),
-        state.select(iso(F.col("run_at"))).scalar().alias("indexer_last_run"),
-        state.select("status").scalar().alias("indexer_last_status"),
-        state.select("error").scalar().alias("indexer_last_error"))).scalar()
+        indexed["last_block"].alias("indexed_through_block"),
+        indexed["run_at"].alias("indexer_last_run"),
+        indexed["status"].alias("indexer_last_status"),
+        indexed["error"].alias("indexer_last_error"))).scalar()
     monthly = _rows(totals.monthly(agents, F.col("registered_at")), [F.col("month")],
                     "month", "registered", "cumulative")
 
@@ -131,6 +138,8 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
                      "run", "censored", "by_agent", "by_owner", "by_project",
                      "generic_hosts_only", "endpoints", "failures", "cohorts_cross_sectional",
                      "top_projects")]))
+    # Its figures are half of all; written by themselves, fewer subqueries run and are held at once.
+    liveness_row = materialise(spark.range(1).select(liveness_value.alias("liveness")), "liveness")
 
     history = survival.panel_history(checks, check_runs)
     outcomes = materialise(survival.agent_outcomes(history, agents, horizons, tolerance_days),
@@ -146,10 +155,9 @@ def summary(agents: DataFrame, events: DataFrame, checks: DataFrame, check_runs:
     status = survival.survival_status(history, agents, horizons).select(F.struct(
         "status", "history_span_days", "days_until_first_horizon", "agents_with_history",
         "note")).scalar()
-    one = spark.range(1)
-    return one.select(
+    return liveness_row.select(
         iso(generated_at).alias("generated_at"), registry_value.alias("registry"),
-        monthly.alias("registrations_monthly"), liveness_value.alias("liveness"),
+        monthly.alias("registrations_monthly"), F.col("liveness"),
         status.alias("_status"), horizon_rows.alias("_horizons")).select(
         "generated_at", "registry", "registrations_monthly", "liveness",
         F.struct("_status.status", "_status.history_span_days",

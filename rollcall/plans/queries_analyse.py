@@ -47,7 +47,7 @@ def funnel_owners(spark, sf_dir):
 @query("funnel_projects", f"""WITH RECURSIVE {b.PROJECTS_SQL},
     {funnel_sql(grouped_sql('projects', 'project'))}""")
 def funnel_projects(spark, sf_dir):
-    return projects.project_funnel(funnel.analysed(b.document_checks(spark, sf_dir)))
+    return projects.project_funnel(funnel.analysed(b.check_table(spark, sf_dir)))
 
 
 def _final_sql(counted: str, source: str) -> str:
@@ -61,7 +61,7 @@ def _final_sql(counted: str, source: str) -> str:
     UNION ALL {_final_sql('per owner', grouped_sql('analysed', "nullif(lower(owner), '')"))}
     UNION ALL {_final_sql('per project', grouped_sql('projects', 'project'))}""")
 def three_denominators(spark, sf_dir):
-    rows = funnel.analysed(b.document_checks(spark, sf_dir))
+    rows = funnel.analysed(b.check_table(spark, sf_dir))
     return funnel.final_stage(funnel.agent_funnel(rows), "per agent") \
         .unionByName(funnel.final_stage(funnel.owner_funnel(rows), "per owner")) \
         .unionByName(funnel.final_stage(projects.project_funnel(rows), "per project"))
@@ -386,7 +386,7 @@ def run_ledger(spark, sf_dir):
     SELECT agent_id, min(agent_id) OVER (PARTITION BY project) AS first_agent,
         count(*) OVER (PARTITION BY project) AS agents FROM projects""")
 def project_components(spark, sf_dir):
-    rows = projects.with_project(funnel.analysed(b.document_checks(spark, sf_dir))) \
+    rows = projects.with_project(funnel.analysed(b.check_table(spark, sf_dir))) \
         .select("agent_id", "project")
     names = projects.project_names(rows)
     return rows.join(names, "project") \
@@ -420,7 +420,7 @@ def project_increment(spark, sf_dir):
             ELSE owners || ' wallet(s), no domain' END AS label, first_agent
     FROM grouped ORDER BY agents DESC, first_agent LIMIT 20""")
 def top_projects(spark, sf_dir):
-    rows = projects.with_project(funnel.analysed(b.document_checks(spark, sf_dir)))
+    rows = projects.with_project(funnel.analysed(b.check_table(spark, sf_dir)))
     return projects.top_projects(rows, 20).withColumns({
         "domains": F.array_join("domains", " "), "hosted_on": F.array_join("hosted_on", " ")})
 

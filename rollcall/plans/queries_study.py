@@ -247,13 +247,14 @@ def text_round_trip(spark, sf_dir):
 
 
 def _publishable(spark, sf_dir):
-    agents = b.document_checks(spark, sf_dir).selectExpr(
+    stored = b.check_table(spark, sf_dir)
+    agents = stored.selectExpr(
         "agent_id", "owner", "uri_root_domain",
         "CAST(make_date(2023, CAST(id % 12 + 1 AS INT), 1) AS TIMESTAMP) AS registered_at",
         "CASE WHEN id % 5 = 0 THEN '' ELSE 'https://a' END AS current_uri",
         "CASE WHEN id % 4 = 0 THEN '' ELSE 'https://a' END AS uri_at_registration",
         "CAST(id % 3 AS INT) AS uri_change_count", "CAST(id % 2 AS INT) AS transfer_count")
-    checks = b.document_checks(spark, sf_dir).drop("owner", "uri_root_domain").selectExpr(
+    checks = stored.drop("owner", "uri_root_domain").selectExpr(
         "*", "explode(array(1L, 2L)) AS run_id").withColumn(
         "checked_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("run_id") * 2_592_000))
     runs = spark.range(1, 3).selectExpr(
