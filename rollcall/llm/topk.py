@@ -2,19 +2,17 @@
 Exact top-k search by tiled matrix products.
 
 Queries and items are packed into tiles. Every tile of queries meets every shard of items in one
-matrix product, of which each query's best k stay; these lists are merged in a tree, a bounded number
-at a time.
+matrix product, of which each query's best k stay; tiles and shards meet in the cells of a grid, and
+the lists of cells are merged in a tree, a bounded number at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.llm.vectors import numbered, tiled, unpacked
+from rollcall.llm.vectors import cell_shards, cells, numbered, row_numbers, tiled, unpacked
 
 QUERY_ROWS, SHARD_ROWS = 1000, 4000
 FAN_IN = 16
@@ -31,35 +29,53 @@ def whole_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
+def _candidates(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, item) places of each query's k best scores; of equal ones the first items."""
+    there = ~own
+    if scores.shape[1] > k:
+        masked = np.where(there, scores, np.iinfo(np.int64).min)
+        kth = np.partition(masked, -k, axis=1)[:, -k, None]
+        equal = there & (scores == kth)
+        there = there & (scores > kth) | equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= k)
+    return np.nonzero(there)
+
+
+def _best(query: np.ndarray, scores: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k best, best first, ties by item; queries ascend."""
+    order = np.lexsort((items, ~scores, query))     # ~ turns the order as - does, without overflow
+    ranked = query[order]
+    first = np.searchsorted(ranked, ranked)
+    return order[np.arange(len(order)) - first < k]
+
+
 def _search(k: int, by_row: bool):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids, _, x = unpacked(batch, row)
-                items, _, y = unpacked(batch, row, "other_")
+    def search(key: tuple, tiles: pa.Table, shards: pa.Table) -> pa.Table:
+        found = {c: [] for c in ("query", "query_id", "n", "score", "vec_id")}
+        for tile in range(tiles.num_rows if shards.num_rows else 0):
+            ids, _, x = unpacked(tiles, tile)
+            rows = row_numbers(tiles, tile)
+            query, score, item = (np.zeros(0, np.int64) for _ in range(3))
+            for shard in range(shards.num_rows):
+                items, _, y = unpacked(shards, shard)
                 scores = whole_products(x, y)
-                least = np.iinfo(np.int64).min
-                rows, others = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64)
-                                for c in ("rows", "other_rows"))
-                own = rows[:, None] == others[None, :] if by_row else \
+                own = rows[:, None] == row_numbers(shards, shard)[None, :] if by_row else \
                     ids[:, None] == items[None, :]
-                lists = []
-                for q in range(len(ids)):
-                    s, there = scores[q], ~own[q]
-                    if there.sum() > k:
-                        kth = np.partition(np.where(there, s, least), len(s) - k)[len(s) - k]
-                        there &= s >= kth
-                    place = np.flatnonzero(there)
-                    # Items ascend by id, so a stable sort keeps the smaller id of a tie first.
-                    place = place[np.argsort(-s[place].astype(object), kind="stable")][:k] \
-                        if least in s else place[np.argsort(-s[place], kind="stable")][:k]
-                    lists.append([(int(s[p]), int(items[p])) for p in place])
-                yield pa.record_batch({
-                    "query": pa.array(rows), "query_id": pa.array(ids), "shard": pa.array(
-                        [batch.column("other")[row].as_py()] * len(ids), pa.int64()),
-                    "best": pa.array([[{"score": a, "vec_id": b} for a, b in x] for x in lists],
-                                     pa.list_(pa.struct([("score", pa.int64()),
-                                                         ("vec_id", pa.int64())])))})
+                # Items ascend by id, so the first of a tie have the smaller ids.
+                q, place = _candidates(scores, own, k)
+                query, score, item = (np.concatenate(both) for both in (
+                    (query, q), (score, scores[q, place]), (item, items[place])))
+                kept = _best(query, score, item, k)
+                query, score, item = query[kept], score[kept], item[kept]
+            for c, v in (("query", rows), ("query_id", ids), ("score", score), ("vec_id", item),
+                         ("n", np.bincount(query, minlength=len(ids)))):
+                found[c].append(v)
+        query, query_id, n, score, item = (np.concatenate([np.zeros(0, np.int64), *v])
+                                           for v in found.values())
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(
+            [score, item], ["score", "vec_id"]))
+        return pa.table({"query": query, "query_id": query_id, "best": lists,
+                         "cell": np.full(len(query), key[1].as_py(), np.int64)})
     return search
 
 
@@ -91,18 +107,13 @@ def top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     queries, items = prepared(queries), prepared(items)
     shards = max(1, -(-items.count() // SHARD_ROWS))
     query_tiles = max(1, -(-queries.count() // QUERY_ROWS))
-    packed = tiled(queries, query_tiles).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))) \
-        .withColumn("other", F.col("other").cast("long"))
-    other = tiled(items, shards).select(
-        F.col("tile").alias("other"), "dim",
-        *[F.col(c).alias(f"other_{c}") for c in ("ids", "weights", "rows", "matrix")])
-    best = packed.join(other, ["other", "dim"]).mapInArrow(
-        _search(k, by_row), f"query long, query_id long, shard long, best {BEST}")
+    best = cells(tiled(queries, query_tiles), query_tiles, tiled(items, shards), shards) \
+        .applyInArrow(_search(k, by_row), f"query long, query_id long, best {BEST}, cell long")
     query = ["query", "query_id"]
-    while shards > FAN_IN:
-        best = _merged(best, [*query, F.floor(F.col("shard") / FAN_IN).alias("shard")], k)
-        shards = -(-shards // FAN_IN)
+    lists = -(-shards // cell_shards(shards))
+    while lists > FAN_IN:
+        best = _merged(best, [*query, F.floor(F.col("cell") / FAN_IN).alias("cell")], k)
+        lists = -(-lists // FAN_IN)
     return _merged(best, query, k) \
         .select("query_id", F.posexplode("best").alias("rank", "found")) \
         .select("query_id", (F.col("rank") + 1).alias("rank"), "found.vec_id", "found.score")

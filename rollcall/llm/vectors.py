@@ -7,11 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from rollcall.session import materialise
 
 TILE = "tile long, dim int, n int, ids binary, weights binary, matrix binary"
 ROWS = ", rows binary"
+# A cell holds so many tiles and shards at most, but few shards as long as there are few cells.
+CELL_TILES, CELL_SHARDS, FEW_CELLS = 16, 8, 64
 
 
 def usable(vector: Column) -> Column:
@@ -71,9 +74,37 @@ def tiled(vectors: DataFrame, tiles: int) -> DataFrame:
         .mapInArrow(_pack, TILE + ROWS * len(row))
 
 
-def unpacked(batch: pa.RecordBatch, row: int, prefix: str = "") -> tuple:
+def cell_shards(n_shards: int) -> int:
+    """How many shards a cell holds at most."""
+    return min(CELL_SHARDS, -(-n_shards // FEW_CELLS))
+
+
+def cells(tiles: DataFrame, n_tiles: int, shards: DataFrame, n_shards: int) -> PandasCogroupedOps:
+    """
+    The cells of a grid in which every tile meets every shard of its dimension, for applyInArrow.
+
+    Tiles and shards are numbered by their column tile. A cell (i, j, dim) has a bounded number of
+    both, so a shard moves once for all tiles of a cell, and a tile once for all its shards. Both sides
+    are shuffled: copies of tiles are many, and must not be taken for a table small enough to broadcast.
+    """
+    wide = cell_shards(n_shards)
+
+    def copies(rows, own, width, other, n):
+        return rows.withColumn(own, F.floor(F.col("tile") / width).cast("long")).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    left = copies(tiles, "i", CELL_TILES, "j", -(-n_shards // wide))
+    right = copies(shards, "j", wide, "i", -(-n_tiles // CELL_TILES))
+    return left.groupBy("i", "j", "dim").cogroup(right.groupBy("i", "j", "dim"))
+
+
+def unpacked(batch: pa.RecordBatch | pa.Table, row: int, prefix: str = "") -> tuple:
     """(ids, weights, matrix) of one packed tile."""
     def part(name, kind):
         return np.frombuffer(batch.column(prefix + name)[row].as_buffer(), kind)
     return part("ids", np.int64), part("weights", np.int64), \
         part("matrix", np.float64).reshape(-1, batch.column("dim")[row].as_py())
+
+
+def row_numbers(batch: pa.RecordBatch | pa.Table, row: int) -> np.ndarray:
+    """The rows' own numbers of one packed tile."""
+    return np.frombuffer(batch.column("rows")[row].as_buffer(), np.int64)

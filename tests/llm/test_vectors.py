@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import quantised, topk
+from rollcall.llm import quantised, topk, vectors as vectors_module
 from rollcall.llm.vectors import numbered, usable
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n_links string, vector string, id string"
@@ -132,6 +132,37 @@ def test_top_k(spark, hard, monkeypatch, shard_rows):
     assert topk.top_k(items, items.limit(0), 5).collect() == []
 
 
+@pytest.mark.parametrize("few, shards, tiles", [(64, 8, 16), (1, 2, 2)])
+def test_top_k_broadcasts_no_copies_of_tiles(spark, hard, monkeypatch, few, shards, tiles):
+    hard([])
+    for module, name, value in ((topk, "SHARD_ROWS", 20), (topk, "QUERY_ROWS", 5),
+                                (vectors_module, "FEW_CELLS", few),
+                                (vectors_module, "CELL_SHARDS", shards),
+                                (vectors_module, "CELL_TILES", tiles)):
+        monkeypatch.setattr(module, name, value)
+    r = random.Random(4)
+    rows = [(k, [float(r.randrange(-9, 9)) for _ in range(3)]) for k in range(400)]
+    items = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = topk.top_k(items.where("id % 20 = 0"), items, 3)
+    want = []
+    for q, a in rows[::20]:
+        best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:3]
+        want += [(q, n + 1, i, int(-s)) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(x) for x in got.collect()) == want
+    # Copies of tiles are as many as shards: as a broadcast table they would all go through the driver.
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_of_ties_and_least_scores():
+    least = np.iinfo(np.int64).min
+    scores = np.array([[5, 5, 5, 5], [least, least, 1, least], [0, 7, 7, 9]])
+    own = np.array([[True, False, False, False], [False] * 4, [False, False, False, True]])
+    query, item = topk._candidates(scores, own, 2)
+    kept = topk._best(query, scores[query, item], item, 2)
+    assert list(zip(query[kept].tolist(), item[kept].tolist())) == \
+        [(0, 1), (0, 2), (1, 2), (1, 0), (2, 1), (2, 2)]
+
+
 def test_products_beyond_doubles_are_exact():
     a = np.array([[2.0 ** 40 + 1, 3.0]])
     b = np.array([[2.0 ** 20 + 1, 5.0], [2.0 ** 60, 1.0]])
