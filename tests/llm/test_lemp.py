@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import lemp
+from rollcall.llm import lemp, vectors
 
 SCHEMA = "vec_id long, label int, vector array<double>, row string, id string, weight string"
 
@@ -55,6 +55,19 @@ def test_equal_to_brute_force(spark, hard, monkeypatch, shard, bucket, tile):
     assert len(want) > 100 and len({w[0] for w in want}) > 6
 
 
+@pytest.mark.parametrize("few, shards, tiles", [(64, 8, 16), (1, 2, 2)])
+def test_no_copies_of_tiles_are_broadcast(spark, hard, monkeypatch, few, shards, tiles):
+    hard([])
+    for module, name, value in ((lemp, "SHARD_ROWS", 20), (lemp, "ANCHOR_ROWS", 3),
+                                (vectors, "FEW_CELLS", few), (vectors, "CELL_SHARDS", shards),
+                                (vectors, "CELL_TILES", tiles)):
+        monkeypatch.setattr(module, name, value)
+    got = lemp.hard_negatives(spark.createDataFrame(rows(), SCHEMA), F.col("vec_id") % 100 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows())
+    # Copies of tiles are as many as shards: as a broadcast table they would all go through the driver.
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_and_one_sided_tables(spark, hard):
     hard([])
     frame = spark.createDataFrame(rows(), SCHEMA)
