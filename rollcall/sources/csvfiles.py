@@ -27,11 +27,14 @@ LIVENESS_COLUMNS = (
     "endpoints_ok", "s6_any_endpoint_alive", "endpoint_details", "funnel_stage",
     "checked_at")
 
+# Quotes are doubled inside quoted fields. Without the last option Spark's reader takes NUL for the
+# character that escapes an escape, and drops it.
+_QUOTES = {"quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"'}
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file as text columns; quotes are doubled inside quoted fields."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"',
-                          inferSchema=False)
+    return spark.read.csv(path, header=True, multiLine=True, inferSchema=False, **_QUOTES)
 
 
 def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +48,7 @@ def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
 
     Files must be UTF-8 with a header of one line each, the same in all. Blank lines between
     records are left out; a quote that is never closed makes the rest of its file one record, as it
-    does for `read_table`.
+    does for `read_table`. A record ends at U+FFFF, which is no character.
     """
     columns = read_table(spark, path).columns
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
@@ -77,7 +80,7 @@ def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
     value = F.regexp_replace("value", "\r$", "")
     return texts.where(F.col("record") > 1).where(value != "").select(
-        F.from_csv(value, schema, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+        F.from_csv(value, schema, _QUOTES).alias("r")).select("r.*")
 
 
 def agent_uris(rows: DataFrame, uri_column: str | None = None) -> DataFrame:
@@ -114,6 +117,11 @@ def uris_from_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, columns: Sequence[str], append: bool = False) -> None:
-    """Fixed column order; a resumed run appends to what is there."""
+    """
+    Fixed column order; a resumed run appends to what is there.
+
+    Values are written as they are: Spark's writer would cut white space and controls at both ends.
+    """
     df.select(*columns).write.csv(path, header=True, quote='"', escape='"', emptyValue="",
+                                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
                                   mode="append" if append else "overwrite")

@@ -54,3 +54,29 @@ def test_round_trip(spark):
     csvfiles.write_table(rows, path, rows.columns)
     assert sorted(map(tuple, csvfiles.read_cut_table(spark, path).select("agent_id", "uri")
                       .collect())) == sorted((str(k), f'q"{k}\n\n,') for k in range(50))
+
+
+def test_round_trip_keeps_blanks_and_controls(spark):
+    r = random.Random(7)
+    pieces = ['"', '"', "\0", "\n", "\r", "\r\n", ",", " ", "\t", "a", "\\", "é", "\x01", "﻿", " "]
+    texts = [" lead", "trail ", "nl last\n", "\r\ncr first", "end\0", '"q"\0', 'a"\0b', "a\n\0", " ", "\0"]
+    texts += ["".join(r.choice(pieces) for _ in range(r.randrange(9))) for _ in range(800)]
+    given = [(str(k), x, texts[-1 - k]) for k, x in enumerate(texts)]
+    path = fresh_path(spark, "ends")
+    csvfiles.write_table(spark.createDataFrame(given, "agent_id string, uri string, owner string"),
+                         path, ["agent_id", "uri", "owner"])
+    for read in (csvfiles.read_table, csvfiles.read_cut_table):
+        got = [tuple(x or "" for x in row) for row in read(spark, path).collect()]
+        assert sorted(got) == sorted(given)
+
+
+def test_queries_give_texts_as_they_are(spark, tmp_path):
+    from rollcall.plans import queries_study
+
+    texts = [" lead", "trail ", "two\nlines\n", '"q"\0', "\ttab", "plain"]
+    spark.createDataFrame([(3 * k + 1, x) for k, x in enumerate(texts)] + [(3, " none")],
+                          "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted([(str(3 * k + 1), x, "agent_uri_at_registration") for k, x in enumerate(texts)]
+                  + [("3", "", "")])
+    for name in ("csv_round_trip", "csv_cut_round_trip"):
+        assert sorted(map(tuple, getattr(queries_study, name)(spark, str(tmp_path)).collect())) == want
