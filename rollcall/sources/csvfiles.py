@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rollcall.functions.text import strip
 from rollcall.operators.sample import numbered
@@ -32,6 +32,18 @@ LIVENESS_COLUMNS = (
 _QUOTES = {"quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"'}
 
 
+# `from_csv` takes U+FFFF for the end of its text, so it goes there as two other characters.
+_END, _MARK = "\uffff", "\ufdd0"
+
+
+def _without_end(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), F.lit(_END), F.lit(_MARK + "1"))
+
+
+def _with_end(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_MARK + "1"), F.lit(_END)), F.lit(_MARK + "0"), F.lit(_MARK))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file as text columns; quotes are doubled inside quoted fields."""
     return spark.read.csv(path, header=True, multiLine=True, inferSchema=False, **_QUOTES)
@@ -48,7 +60,7 @@ def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
 
     Files must be UTF-8 with a header of one line each, the same in all. Blank lines between
     records are left out; a quote that is never closed makes the rest of its file one record, as it
-    does for `read_table`. A record ends at U+FFFF, which is no character.
+    does for `read_table`.
     """
     columns = read_table(spark, path).columns
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
@@ -79,8 +91,9 @@ def read_cut_table(spark: SparkSession, path: str) -> DataFrame:
         .select("record", "value"))
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
     value = F.regexp_replace("value", "\r$", "")
-    return texts.where(F.col("record") > 1).where(value != "").select(
-        F.from_csv(value, schema, _QUOTES).alias("r")).select("r.*")
+    rows = texts.where(F.col("record") > 1).where(value != "").select(
+        F.from_csv(_without_end(value), schema, _QUOTES).alias("r")).select("r.*")
+    return rows.select(*[_with_end(F.col(f"`{c.replace('`', '``')}`")).alias(c) for c in columns])
 
 
 def agent_uris(rows: DataFrame, uri_column: str | None = None) -> DataFrame:

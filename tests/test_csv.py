@@ -80,3 +80,14 @@ def test_queries_give_texts_as_they_are(spark, tmp_path):
                   + [("3", "", "")])
     for name in ("csv_round_trip", "csv_cut_round_trip"):
         assert sorted(map(tuple, getattr(queries_study, name)(spark, str(tmp_path)).collect())) == want
+
+
+def test_cut_table_reads_on_after_noncharacters(spark):
+    r = random.Random(8)
+    pieces = ["\uffff", "\ufdd0", "\ufdd00", "\ufdd01", "0", "1", '"', "\n", ",", "a"]
+    given = [(str(k), "".join(r.choice(pieces) for _ in range(r.randrange(1, 7))), f"end{k}")
+             for k in range(500)]
+    path = fresh_path(spark, "noncharacters")
+    csvfiles.write_table(spark.createDataFrame(given, "agent_id string, uri string, owner string"),
+                         path, ["agent_id", "uri", "owner"])
+    assert set(map(tuple, csvfiles.read_cut_table(spark, path).collect())) == set(given)
